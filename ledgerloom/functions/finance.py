@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -19,14 +21,28 @@ def future_value(rate: Column, periods: Column, payment: Column, present: Column
     )
 
 
-def _slope(rate: Column, periods: Column, payment: Column, present: Column, due: Column) -> Column:
-    """Derivative of :func:`future_value` by the rate."""
-    growth = F.pow(1 + rate, periods)
-    lift = periods * growth / (1 + rate)
-    at_zero = present * periods + payment * (periods * (periods - 1) / 2 + periods * due)
-    return F.when(F.abs(rate) < TINY, at_zero).otherwise(
-        present * lift + payment * (lift * (1 + rate * due) / rate - (growth - 1) / (rate * rate))
-    )
+def _newton(n, payment, present, target, due, guess: float, steps: int) -> np.ndarray:
+    """Newton steps for a batch of annuities at once; NaN where they do not settle."""
+    rate = np.full(len(n), guess)
+    settled = np.zeros(len(n), dtype=bool)
+    with np.errstate(all="ignore"):
+        for _ in range(steps):
+            growth = (1 + rate) ** n
+            lift = n * growth / (1 + rate)
+            small = np.abs(rate) < TINY
+            r = np.where(small, 1.0, rate)
+            value = np.where(small, present + payment * n, present * growth + payment * (growth - 1) * (1 + r * due) / r)
+            slope = np.where(
+                small,
+                present * n + payment * (n * (n - 1) / 2 + n * due),
+                present * lift + payment * (lift * (1 + r * due) / r - (growth - 1) / (r * r)),
+            )
+            moved = np.maximum(rate - (value - target) / slope, -0.99)
+            settled = np.abs(moved - rate) < 1e-9
+            rate = moved
+            if settled.all():
+                break
+    return np.where(settled, rate, np.nan)
 
 
 def implied_rate(
@@ -36,18 +52,17 @@ def implied_rate(
 
     The sign convention is the caller's: repaying ``-present`` down to a residual needs
     ``target = -residual``. NULL when the steps do not settle.
+
+    A root search has no closed form, and Spark evaluates a folded lambda node by node
+    (measured: over ten times slower), so batches go to numpy through Arrow.
     """
-    args = [c.cast("double") for c in (periods, payment, present, due)]
-    goal = target.cast("double")
 
-    def step(rate: Column, _: Column) -> Column:
-        moved = rate - F.try_divide(future_value(rate, *args) - goal, _slope(rate, *args))
-        return F.greatest(moved, F.lit(-0.99))
+    @F.pandas_udf("double")
+    def solve(n: pd.Series, pmt: pd.Series, pv: pd.Series, fv: pd.Series, at: pd.Series) -> pd.Series:
+        found = _newton(*[x.to_numpy(dtype=float, na_value=np.nan) for x in (n, pmt, pv, fv, at)], guess, steps)
+        return pd.Series(found).astype("object").where(~np.isnan(found), None)
 
-    found = F.aggregate(F.sequence(F.lit(1), F.lit(steps)), F.lit(float(guess)), step)
-    # One more step must not move the result, or it is no root.
-    still = F.abs(step(found, found) - found) < 1e-7
-    return F.when(still, found)
+    return solve(*[c.cast("double") for c in (periods, payment, present, target, due)])
 
 
 def payment_columns(

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -28,6 +28,14 @@ def by_month(dim: DataFrame, beg: str, end: str, first: Column, last: Column, ou
     return dim.filter(lo <= hi).withColumn(out, F.explode(F.sequence(lo, hi)))
 
 
+def months_spanned(df: DataFrame, dates: Sequence[str]) -> tuple[int, int]:
+    """First and last month number of some date columns: one pass over those columns alone."""
+    every = [month_number(F.col(c)) for c in dates]
+    lo, hi = (F.least(*every), F.greatest(*every)) if len(every) > 1 else (every[0], every[0])
+    row = df.agg(F.min(lo), F.max(hi)).first()
+    return (0, -1) if row[0] is None else (row[0], row[1])
+
+
 def effective_lookup(
     df: DataFrame,
     dim: DataFrame,
@@ -38,11 +46,17 @@ def effective_lookup(
     cols: Mapping[str, str],
     constants: Mapping[str, object] | None = None,
     how: str = "left",
+    months: tuple[int, int] | None = None,
+    single: bool = False,
 ) -> DataFrame:
     """Rows of ``dim`` valid on ``df[date]`` (``beg`` <= date <= ``end``), by optional keys.
 
     ``on`` maps df columns to dim columns and may be empty. ``cols`` maps dim columns to
     output names. The date's month joins the keys, which also splits a hot key.
+
+    ``months`` bounds the dates looked up; without it they are found by a subquery on
+    ``df``, so a long job should pass :func:`months_spanned` of its base table. ``single``
+    fails the job when two periods of a key overlap, since the row would be doubled.
     """
     for name, value in (constants or {}).items():
         dim = dim.filter(F.col(name) == F.lit(value))
@@ -52,12 +66,19 @@ def effective_lookup(
         F.col(end).cast("date").alias("__end"),
         *[F.col(c).alias(o) for c, o in cols.items()],
     )
-    months = df.agg(
-        F.min(month_number(F.col(date))).alias("lo"), F.max(month_number(F.col(date))).alias("hi")
-    )
-    keep = by_month(
-        keep, "__beg", "__end", months.select("lo").scalar(), months.select("hi").scalar()
-    )
+    if months is None:
+        span = df.agg(F.min(month_number(F.col(date))).alias("lo"), F.max(month_number(F.col(date))).alias("hi"))
+        first, last = span.select("lo").scalar(), span.select("hi").scalar()
+    else:
+        first, last = F.lit(months[0]), F.lit(months[1])
+    keep = by_month(keep, "__beg", "__end", first, last)
+    if single:
+        earlier = Window.partitionBy("__month", *[f"__k_{b}" for b in on.values()]).orderBy("__beg", "__end")
+        overlap = F.lag("__end").over(earlier) >= F.col("__beg")
+        keep = keep.withColumn(
+            "__month",
+            F.when(overlap, F.raise_error(F.lit(f"overlapping periods for {list(on.values())}"))).otherwise(F.col("__month")),
+        )
     left = df.withColumn("__m", month_number(F.col(date)))
     cond = (left["__m"] == keep["__month"]) & left[date].cast("date").between(keep["__beg"], keep["__end"])
     for a, b in on.items():

@@ -1 +1,156 @@
-"""To come."""
+"""The two contract jobs on line items read as contracts; lookup tables come from the same data."""
+
+from __future__ import annotations
+
+from datetime import date
+
+from pyspark.sql import functions as F
+
+from ledgerloom.functions import bands
+from ledgerloom.functions.scalars import months_since_model_year
+from ledgerloom.jobs import enrichment, profitability
+from ledgerloom.operators.changes import merge_upsert
+from ledgerloom.plans.registry import day, query, rounded, table, total
+
+AS_OF = date(1998, 6, 20)
+
+BASE = """
+    WITH base AS (SELECT l_orderkey * 10 + l_linenumber AS account_no, l_partkey AS part_id,
+      CAST(o_orderdate AS DATE) AS booking_date, CAST(l_shipdate AS DATE) AS lease_date,
+      CAST(l_quantity AS INTEGER) AS term_months, l_extendedprice AS capital_cost, l_extendedprice * 0.45 AS residual,
+      CASE WHEN l_returnflag = 'R' THEN 500.0 ELSE 0.0 END AS subsidy, l_extendedprice * 1.1 AS adjusted_price,
+      0.001 + l_tax / 100 AS money_factor, l_quantity * 10 + 1 AS buy_rate, l_discount / 100 AS markup_rate,
+      l_discount AS markup_amount, l_tax AS tax, CASE WHEN c_nationkey < 10 THEN 'N' || c_nationkey END AS make_code,
+      'NATION_' || c_nationkey AS make, l_linestatus || l_returnflag AS vehicle_code, o_orderpriority AS model,
+      1994 + l_linenumber AS model_year, lpad(CAST(c_nationkey + 1 AS VARCHAR), 2, '0') AS state_code,
+      600 + l_partkey % 200 AS score, l_suppkey % 100 AS credit_score,
+      CASE WHEN l_linenumber % 2 = 1 THEN 'd' ELSE 'n' END AS new_used, o_orderkey AS application_id,
+      c_nationkey % 5 AS manufacturer_key, c_nationkey, l_linenumber, l_suppkey,
+      CASE WHEN l_quantity <= 24 THEN 24 WHEN l_quantity <= 36 THEN 36 WHEN l_quantity <= 39 THEN 39
+           WHEN l_quantity <= 42 THEN 42 WHEN l_quantity <= 48 THEN 48 ELSE 60 END AS term_band,
+      CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END AS subsidised,
+      (year(o_orderdate) - 1994 - l_linenumber) * 12 + month(o_orderdate) - 3 + (day(o_orderdate) - 1) / 31.0 AS age,
+      year(o_orderdate) * 100 + month(o_orderdate) AS booked_period, year(l_shipdate) * 100 + month(l_shipdate) AS lease_period
+      FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey),
+    b AS (SELECT *, CASE WHEN score > 729 THEN 'tier1' WHEN score > 699 THEN 'tier2' WHEN score > 679 THEN 'tier3'
+        WHEN score > 659 THEN 'tier4' ELSE 'tier5' END AS grade,
+      CASE WHEN age < -24 THEN 'used5+' WHEN age <= 0 THEN 'new' WHEN age <= 12 THEN 'used0' WHEN age <= 24 THEN 'used1'
+        WHEN age <= 36 THEN 'used2' WHEN age <= 48 THEN 'used3' WHEN age <= 60 THEN 'used4' ELSE 'used5+' END AS age_class FROM base)
+"""
+
+
+def base_contracts(spark, d):
+    nation = F.col("c_nationkey")
+    ordered = table(spark, d, "orders").join(table(spark, d, "customer"), F.col("o_custkey") == F.col("c_custkey"))
+    joined = table(spark, d, "lineitem").join(ordered, F.col("l_orderkey") == F.col("o_orderkey"))
+    return joined.select(
+        (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("account_no"),
+        F.col("l_partkey").alias("part_id"),
+        F.to_date("o_orderdate").alias("booking_date"),
+        F.to_date("l_shipdate").alias("lease_date"),
+        F.col("l_quantity").cast("int").alias("term_months"),
+        F.col("l_extendedprice").alias("capital_cost"),
+        (F.col("l_extendedprice") * 0.45).alias("residual"),
+        F.when(F.col("l_returnflag") == "R", 500.0).otherwise(0.0).alias("subsidy"),
+        (F.col("l_extendedprice") * 1.1).alias("adjusted_price"),
+        (0.001 + F.col("l_tax") / 100).alias("money_factor"),
+        (F.col("l_quantity") * 10 + 1).alias("buy_rate"),
+        (F.col("l_discount") / 100).alias("markup_rate"),
+        F.col("l_discount").alias("markup_amount"),
+        F.col("l_tax").alias("tax"),
+        F.when(nation < 10, F.concat(F.lit("N"), nation.cast("string"))).alias("make_code"),
+        F.concat(F.lit("NATION_"), nation.cast("string")).alias("make"),
+        F.concat("l_linestatus", "l_returnflag").alias("vehicle_code"),
+        F.col("o_orderpriority").alias("model"),
+        (F.col("l_linenumber") + 1994).alias("model_year"),
+        F.lpad((nation + 1).cast("string"), 2, "0").alias("state_code"),
+        (F.lit(600) + F.col("l_partkey") % 200).alias("score"),
+        (F.col("l_suppkey") % 100).alias("credit_score"),
+        F.when(F.col("l_linenumber") % 2 == 1, "d").otherwise("n").alias("new_used"),
+        F.col("o_orderkey").alias("application_id"),
+        (nation % 5).alias("manufacturer_key"),
+        nation,
+        "l_suppkey",
+        F.when(F.col("l_returnflag") == "R", 1).otherwise(0).alias("subsidised"),
+        bands.band(F.col("l_quantity"), bands.TERM_BANDS, bands.TERM_DEFAULT).alias("term_band"),
+    )
+
+
+@query(
+    "contract_enrichment",
+    BASE + """,
+    terms AS (SELECT l_orderkey * 10 + l_linenumber AS k, CAST(year(o_orderdate) * 100 + month(o_orderdate) AS VARCHAR) AS per,
+      max(l_tax) AS base_pct, max(l_quantity) AS base_amount FROM lineitem JOIN orders ON l_orderkey = o_orderkey
+      WHERE l_returnflag = 'A' GROUP BY 1, 2),
+    apps AS (SELECT o_orderkey AS k, CASE WHEN o_orderstatus = 'O' THEN o_totalprice / 10 END AS invoice,
+      CASE WHEN o_orderstatus = 'F' THEN o_totalprice / 15 ELSE 0 END AS alt FROM orders WHERE o_orderpriority <> '5-LOW'),
+    loyal AS (SELECT o_orderkey AS k, 'y' AS flag FROM orders WHERE o_totalprice > 300000),
+    models AS (SELECT DISTINCT n_nationkey AS make_id, o_orderpriority AS wrong, lower(o_orderpriority) AS correct
+      FROM orders JOIN nation ON n_nationkey % 2 = 0),
+    rates AS (SELECT term_band AS t, grade AS g, round(avg(tax), 6) AS r FROM b GROUP BY 1, 2),
+    coll AS (SELECT c_nationkey % 5 AS m, round(avg(c_acctbal), 4) AS r FROM customer GROUP BY 1),
+    m AS (SELECT b.*, CASE WHEN vehicle_code = 'OR' THEN 'OPEN RETURN' ELSE model END AS clean FROM b
+      WHERE booking_date BETWEEN DATE '1998-06-01' AND DATE '1998-06-20'),
+    e AS (SELECT m.*, base_pct, base_amount, coalesce(flag, 'n') AS loyalty, correct,
+      rates.r + CASE WHEN c_nationkey = 3 THEN 1 ELSE 0 END AS delinquency_rate, coll.r AS collateral_rate,
+      CASE WHEN invoice > 0 THEN invoice ELSE adjusted_price END AS price, alt,
+      (capital_cost - residual) / term_months + (capital_cost + residual) * money_factor AS pmt
+      FROM m LEFT JOIN terms ON terms.k = account_no AND CAST(per AS INTEGER) = booked_period
+      LEFT JOIN apps ON apps.k = application_id LEFT JOIN loyal ON loyal.k = application_id
+      LEFT JOIN models ON models.make_id = c_nationkey AND wrong = clean
+      LEFT JOIN rates ON t = term_band AND g = grade LEFT JOIN coll ON coll.m = manufacturer_key),
+    s AS (SELECT *, list_reduce(list_concat([0.01::DOUBLE], [i::DOUBLE for i in range(25)]), lambda r, i:
+      r - (-capital_cost * pow(1 + r, term_months) + pmt * (pow(1 + r, term_months) - 1) * (1 + r) / r + residual)
+        / (-capital_cost * term_months * pow(1 + r, term_months) / (1 + r)
+           + pmt * (term_months * pow(1 + r, term_months) / r - (pow(1 + r, term_months) - 1) / (r * r)))) AS rate FROM e)
+    SELECT account_no, part_id, term_band, grade, age_class, clean AS model, correct AS canonical_model, c_nationkey AS make_id,
+      CASE WHEN new_used = 'd' THEN 'u' ELSE new_used END AS new_used, loyalty, base_pct AS residual_base_pct, delinquency_rate,
+      collateral_rate, round(capital_cost / price * 100, 4) AS booked_ltv, round(pmt, 6) AS pmt_customer,
+      CASE WHEN term_months > 1 THEN round(12 * rate, 5) END AS rate_customer, 199806 AS run_period FROM s
+    """,
+)
+def contract_enrichment(spark, d):
+    base = base_contracts(spark, d).withColumns(
+        {"period": (F.year("booking_date") * 100 + F.month("booking_date")).cast("string"), "manufacturer_id": F.col("manufacturer_key")}
+    )
+    orders, nation = table(spark, d, "orders"), table(spark, d, "nation")
+    booked = F.date_format("o_orderdate", "yyyyMM")
+    terms = (
+        table(spark, d, "lineitem").filter("l_returnflag = 'A'").join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+        .groupBy((F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("account_no"), booked.alias("period"))
+        .agg(F.max("l_tax").alias("base_pct"), F.max("l_quantity").alias("base_amount"), F.min("l_discount").alias("subsidy_amount"))
+    )
+    price = F.col("o_totalprice")
+    applications = orders.filter("o_orderpriority <> '5-LOW'").select(
+        F.col("o_orderkey").alias("application_id"),
+        F.when(F.col("o_orderstatus") == "O", price / 10).alias("invoice_amount"),
+        (price / 20).alias("wholesale_amount"),
+        F.when(F.col("o_orderstatus") == "F", price / 15).otherwise(0.0).alias("alternate_invoice"),
+        (price / 1000000).alias("loan_to_income"),
+    )
+    loyalty = orders.filter("o_totalprice > 300000").select(F.col("o_orderkey").alias("application_id"), F.lit("y").alias("flag"))
+    aliases = nation.select(F.concat(F.lit("N"), F.col("n_nationkey").cast("string")).alias("misspelled"), F.col("n_nationkey").alias("make_id")).union(
+        nation.select("n_name", "n_nationkey")
+    )
+    # Every priority spelling is known for the even makes.
+    spellings = orders.select("o_orderpriority").distinct().withColumn(
+        "make_id", F.explode(F.array(*[F.lit(i) for i in range(0, 25, 2)]))
+    )
+    models = spellings.select("make_id", F.col("o_orderpriority").alias("misspelled"), F.lower("o_orderpriority").alias("correct"))
+    rates = enrichment.with_bands(base).groupBy("term_band", "grade").agg(rounded(F.avg("tax"), 6).alias("r"))
+    delinquency = rates.select(
+        F.explode(F.create_map(F.lit("othermake"), F.col("r"), F.lit("three"), F.col("r") + 1)).alias("make_group", "rate"),
+        F.col("term_band").alias("term"), "grade",
+    )
+    collateral = table(spark, d, "customer").groupBy((F.col("c_nationkey") % 5).alias("manufacturer_id")).agg(
+        rounded(F.avg("c_acctbal"), 4).alias("rate")
+    )
+    tables = enrichment.EnrichmentTables(base, terms, applications, loyalty, aliases, models, delinquency, collateral)
+    rules = enrichment.EnrichmentRules(make_groups={3: "three"}, model_rules=[(2, "OR", "OR", "OPEN RETURN")])
+    out = enrichment.enrich(tables, rules, AS_OF, txn_id=1)
+    keep = ["account_no", "part_id", "term_band", "grade", "age_class", "model", "canonical_model", "make_id", "new_used", "loyalty",
+            "residual_base_pct", "delinquency_rate", "collateral_rate", "run_period"]
+    return out.select(
+        *keep, F.round("booked_ltv", 4).alias("booked_ltv"), F.round("pmt_customer", 6).alias("pmt_customer"),
+        F.when(F.col("term_months") > 1, F.round("rate_customer", 5)).alias("rate_customer"),
+    )
