@@ -170,7 +170,6 @@ def run_off(
     m1, m2. ``curve_keys``: output name to the df column with the curve's name. If any of
     the curves is missing, everything is 0.
     """
-    first = df.columns
     pieces = runoff_columns(F.col(cost), F.col(residual), F.col(term), F.col(speed), F.col(wacc))
     out = df.withColumns({f"__{k}": v for k, v in pieces.items()})
     out = out.withColumn("__t", F.when(F.col(term) == 0, 1).otherwise(F.col(term)).cast("int"))
@@ -183,12 +182,14 @@ def run_off(
         )
         out = out.join(side, (F.col(key) == F.col(f"__c_{name}")) & (F.col("__t") == F.col(f"__t_{name}")), "left")
         complete = complete & F.col(f"__m1_{name}").isNotNull()
-    final = [F.col(c) for c in first]
+    results = {}
     for name in moments:
         rate = (F.col("__c1") * F.col(f"__m1_{name}") - F.col("__c2") * F.col(f"__m2_{name}")) / F.col("__int_sum")
-        final.append(F.when(complete, rate).otherwise(0.0).alias(name))
+        results[name] = F.when(complete, rate).otherwise(0.0)
     if balances:
         anr, disc = balances
-        final.append(F.when(complete, F.col("__bal_sum") / 12).otherwise(0.0).alias(anr))
-        final.append(F.when(complete, F.col("__bal_disc_sum") / 12).otherwise(0.0).alias(disc))
-    return out.select(*final)
+        results[anr] = F.when(complete, F.col("__bal_sum") / 12).otherwise(0.0)
+        results[disc] = F.when(complete, F.col("__bal_disc_sum") / 12).otherwise(0.0)
+    temporary = [f"__{k}" for k in pieces] + ["__t"]
+    temporary += [f"__{k}_{name}" for name in moments for k in ("c", "t", "m1", "m2")]
+    return out.withColumns(results).drop(*temporary)

@@ -71,7 +71,7 @@ def lookup_equi(
     keyed = require_unique(keyed, [f"__k_{b}" for b in on.values()])
     cond = None
     for a, b in on.items():
-        c = df[a] == keyed[f"__k_{b}"]
+        c = F.col(a) == F.col(f"__k_{b}")
         cond = c if cond is None else cond & c
     return df.join(keyed, cond, "left").drop(*[f"__k_{b}" for b in on.values()])
 
@@ -86,9 +86,9 @@ def lookup_by_either(
     one = require_unique(alias_dim.select(F.col(alias).alias("__a1"), F.col(result).alias("__r1")), ["__a1"])
     two = require_unique(alias_dim.select(F.col(alias).alias("__a2"), F.col(result).alias("__r2")), ["__a2"])
     return (
-        df.join(one, df[first] == one["__a1"], "left")
-        .join(two, df[second] == two["__a2"], "left")
-        .select(*[df[c] for c in df.columns], F.coalesce("__r1", "__r2").alias(out))
+        df.join(one, F.col(first) == F.col("__a1"), "left")
+        .join(two, F.col(second) == F.col("__a2"), "left")
+        .withColumn(out, F.coalesce("__r1", "__r2")).drop("__a1", "__r1", "__a2", "__r2")
     )
 
 

@@ -79,11 +79,11 @@ def effective_lookup(
             "__month",
             F.when(overlap, F.raise_error(F.lit(f"overlapping periods for {list(on.values())}"))).otherwise(F.col("__month")),
         )
-    left = df.withColumn("__m", month_number(F.col(date)))
-    cond = (left["__m"] == keep["__month"]) & left[date].cast("date").between(keep["__beg"], keep["__end"])
+    dated = F.col(date).cast("date")
+    cond = (month_number(dated) == F.col("__month")) & dated.between(F.col("__beg"), F.col("__end"))
     for a, b in on.items():
-        cond = cond & (left[a] == keep[f"__k_{b}"])
-    return left.join(keep, cond, how).select(*[left[c] for c in df.columns], *[keep[o] for o in cols.values()])
+        cond = cond & (F.col(a) == F.col(f"__k_{b}"))
+    return df.join(keep, cond, how).drop("__month", "__beg", "__end", *[f"__k_{b}" for b in on.values()])
 
 
 def band_join(
@@ -105,11 +105,12 @@ def band_join(
     )
     cond = None
     for a, b in on.items():
-        c = df[a] == keep[f"__k_{b}"]
+        c = F.col(a) == F.col(f"__k_{b}")
         cond = c if cond is None else cond & c
     for i, (name, _, _) in enumerate(bands):
-        cond = cond & df[name].between(keep[f"__lo{i}"], keep[f"__hi{i}"])
-    return df.join(keep, cond, how).select(*[df[c] for c in df.columns], *[keep[o] for o in cols.values()])
+        cond = cond & F.col(name).between(F.col(f"__lo{i}"), F.col(f"__hi{i}"))
+    limits = [f"__{side}{i}" for i in range(len(bands)) for side in ("lo", "hi")]
+    return df.join(keep, cond, how).drop(*limits, *[f"__k_{b}" for b in on.values()])
 
 
 def override_lookup(
@@ -132,12 +133,13 @@ def override_lookup(
         F.col("min_val").alias("__min"), F.col("max_val").alias("__max"), F.col("override").alias("__override"),
     )
     cond = (
-        (df[line] == mine["__line"])
-        & df[period].between(mine["__beg"], mine["__end"])
-        & df[value].between(mine["__min"], mine["__max"])
+        (F.col(line) == F.col("__line"))
+        & F.col(period).between(F.col("__beg"), F.col("__end"))
+        & F.col(value).between(F.col("__min"), F.col("__max"))
     )
-    return df.join(mine, cond, "left").select(
-        *[df[c] for c in df.columns if c != out], F.coalesce(mine["__override"], df[value]).alias(out)
+    return (
+        df.join(mine, cond, "left").withColumn(out, F.coalesce(F.col("__override"), F.col(value)))
+        .drop("__line", "__beg", "__end", "__min", "__max", "__override")
     )
 
 

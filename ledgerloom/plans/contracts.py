@@ -154,3 +154,246 @@ def contract_enrichment(spark, d):
         *keep, F.round("booked_ltv", 4).alias("booked_ltv"), F.round("pmt_customer", 6).alias("pmt_customer"),
         F.when(F.col("term_months") > 1, F.round("rate_customer", 5)).alias("rate_customer"),
     )
+
+
+def _dates(df, beg: str, end: str):
+    return df.withColumns({"beg": F.lit(beg).cast("date"), "end": F.lit(end).cast("date")})
+
+
+def _two_periods(dim, early, late):
+    """The same dimension under two periods, with a column that differs."""
+    first = _dates(dim.select("*", *early), "1990-01-01", "1997-12-31")
+    return first.union(_dates(dim.select("*", *late), "1998-01-01", "9999-12-31"))
+
+
+def _packed(mean, step: float):
+    """Eighty-four points rising from a mean, packed with bars."""
+    points = F.transform(F.sequence(F.lit(0), F.lit(83)), lambda i: F.format_number(F.round(mean, 4) + i * step, 6))
+    return F.concat_ws("|", points)
+
+
+def profit_tables(spark, d) -> profitability.ProfitTables:
+    base = base_contracts(spark, d)
+    orders, customer, nation = (table(spark, d, n) for n in ("orders", "customer", "nation"))
+    lines = table(spark, d, "lineitem")
+    key = F.col("c_nationkey")
+    contracts = base.withColumns(
+        {
+            "dealer_location": key.cast("string"),
+            "make_id": key,
+            "loyalty": F.when(F.col("capital_cost") > 50000, "y").otherwise("n"),
+            "residual_subsidy": F.col("subsidy") + 1,
+            "dealer_upfront": F.col("tax") * 1000,
+            "booked_ltv": F.col("money_factor") * 10000,
+            "rate_programme": F.col("markup_rate"),
+        }
+    )
+    account = (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("account_no")
+    stage = lines.groupBy(account).agg(
+        F.max("l_linestatus").alias("new_used_flag"),
+        F.concat(F.lit("tier"), (F.max("l_suppkey") % 3).cast("string")).alias("grade"),
+    )
+    year = F.year("o_orderdate")
+    per_year = orders.groupBy(year.alias("y")).agg(F.avg("o_totalprice").alias("mean"))
+    span = {"beg": F.make_date("y", F.lit(1), F.lit(1)), "end": F.make_date("y", F.lit(12), F.lit(31))}
+    drivers = per_year.select(
+        F.lit("lease").alias("line"),
+        F.explode(F.create_map(F.lit("debt"), F.round(F.col("mean") / 1000, 4), F.lit("capital_charge"), F.round(F.col("mean") / 2000, 4))).alias("dim_key", "measure"),
+        "y",
+    ).withColumns(span)
+    metrics = orders.groupBy(F.to_date("o_orderdate").alias("as_of")).agg(
+        F.min("o_totalprice").alias("lo"), F.max("o_totalprice").alias("hi")
+    ).select("as_of", F.explode(F.create_map(F.lit("1m"), F.col("lo"), F.lit("24m"), F.col("hi"))).alias("label", "value"))
+    regions = nation.select(F.col("n_nationkey").cast("string").alias("dealer_location"), "n_regionkey")
+    late = F.col("n_regionkey") + 10
+    named = lambda c: [c.alias("manufacturer_id"), F.concat(F.lit("M"), c.cast("string")).alias("manufacturer")]
+    dealers = _two_periods(regions, named(F.col("n_regionkey")), named(late))
+    makers = nation.select("n_regionkey").distinct().select(
+        F.explode(F.array(F.col("n_regionkey"), late)).alias("manufacturer_id")
+    )
+    with_cust = orders.join(customer, F.col("o_custkey") == F.col("c_custkey"))
+    capital = with_cust.groupBy(F.col("o_orderpriority").alias("model"), key.alias("make_id"), year.alias("y")).agg(
+        rounded(F.avg("o_totalprice"), 6).alias("capital")
+    ).withColumns({**span, "capital_market": F.col("capital"), "capital_standard": F.col("capital")})
+    by_maker = base.groupBy("c_nationkey", "term_band").agg(F.avg("markup_amount").alias("m"), F.sum("markup_amount").alias("s"), total().alias("n"))
+    owned = by_maker.join(nation, key == F.col("n_nationkey")).groupBy("n_regionkey", "term_band").agg(
+        rounded(F.sum("s") / F.sum("n"), 6).alias("return_rate")
+    )
+    returns = _dates(
+        owned.select(
+            F.explode(F.array(F.col("n_regionkey"), late)).alias("manufacturer_id"), F.col("term_band").alias("term"), "return_rate"
+        ).select("manufacturer_id", "term", "return_rate", F.explode(F.array(F.lit("tier0"), F.lit("tier1"))).alias("grade")),
+        "1990-01-01", "2100-12-31",
+    )
+    curve_types = _dates(
+        makers.select(
+            "manufacturer_id", F.explode(F.array(F.lit(0), F.lit(1))).alias("subsidised"),
+            F.concat(F.lit("T"), (F.col("manufacturer_id") % 3).cast("string")).alias("curve_type"),
+        ),
+        "1990-01-01", "2100-12-31",
+    )
+    kinds = F.explode(F.array(*[F.lit(i) for i in range(3)])).alias("t")
+    daily = orders.groupBy(F.to_date("o_orderdate").alias("day")).agg(F.avg("o_totalprice").alias("mean")).select("day", "mean", kinds)
+    type_name = F.concat(F.lit("T"), F.col("t").cast("string"))
+    dated = daily.select(
+        F.concat_ws("|", F.date_format("day", "yyyy-MM-dd"), type_name).alias("name"),
+        _packed(F.col("mean") / 5000000 + F.col("t") / 1000, 0.0005).alias("curve"),
+    )
+    plain = orders.agg(F.avg("o_totalprice").alias("mean")).select("mean", kinds).select(
+        type_name.alias("name"), _packed(F.col("mean") / 9000000 + F.col("t") / 1000, 0.0002).alias("curve")
+    )
+    liquidity = per_year.select(
+        F.concat(F.lit("L"), F.col("y").cast("string")).alias("name"), _packed(F.col("mean") / 8000000, 0.0001).alias("curve"), "y"
+    ).withColumns(span)
+    ages = F.explode(F.array(F.lit("new"), F.lit("used0"), F.lit("used1"))).alias("age_class")
+    fees = _dates(
+        makers.select("manufacturer_id", F.explode(F.array(F.lit(0), F.lit(1))).alias("subsidised")).select("*", ages).select(
+            "*", (F.col("manufacturer_id") + 100).alias("origination_fee"), F.lit(0.5).alias("revenue_share"), F.lit(1.5).alias("subvention_fund")
+        ),
+        "1996-01-01", "2100-12-31",
+    )
+    credit = _dates(
+        makers.select(
+            F.concat(F.lit("M"), F.col("manufacturer_id").cast("string")).alias("business_line"),
+            F.concat(F.lit("T"), (F.col("manufacturer_id") % 3).cast("string")).alias("curve_type"),
+            (F.col("manufacturer_id") / 100).alias("credit_adjustment"),
+        ),
+        "1995-01-01", "1999-12-31",
+    )
+    overrides = nation.agg(F.min("n_nationkey").alias("lo"), F.max("n_nationkey").alias("hi")).select(
+        F.inline(
+            F.array(
+                F.struct(F.lit("dealer").alias("lookup"), F.lit("manufacturer").alias("lookup_var"), F.lit(-1).alias("min_val"), F.lit(-1).alias("max_val"), F.lit(7).alias("override")),
+                F.struct(F.lit("loyalty").alias("lookup"), F.lit("make").alias("lookup_var"), F.col("lo").alias("min_val"), (F.col("lo") + 4).alias("max_val"), F.lit(99).alias("override")),
+                F.struct(F.lit("portfolio").alias("lookup"), F.lit("make").alias("lookup_var"), (F.col("hi") - 4).alias("min_val"), F.col("hi").alias("max_val"), F.lit(88).alias("override")),
+            )
+        )
+    ).select("*", F.lit("lease").alias("line"), F.lit(199501).alias("beg"), F.lit(199812).alias("end"))
+    periods = {"beg": F.lit(199001), "end": F.lit(210012)}
+    dealer_adj = nation.select(
+        F.col("n_nationkey").alias("make_id"), F.lit(7).alias("manufacturer_id"), (1 + F.col("n_nationkey") / 100).alias("adjustor")
+    ).withColumns(periods)
+    makes = nation.select(F.col("n_nationkey").alias("make_id")).union(nation.select(F.lit(99)).distinct()).union(nation.select(F.lit(88)).distinct())
+    credit_band = {"min_credit": F.lit(0), "max_credit": F.lit(50)}
+    loyalty_adj = makes.select(
+        "make_id", F.explode(F.array(F.lit(0), F.lit(1))).alias("loyal")
+    ).select("*", F.explode(F.array(F.lit("new"), F.lit("used"))).alias("new_used")).withColumns(
+        {**periods, **credit_band, "min_score": F.lit(650), "max_score": F.lit(720), "adjustor": 2 + F.col("make_id") / 100}
+    )
+    portfolio_adj = makes.select("make_id", F.explode(F.array(F.lit(0), F.lit(1))).alias("subsidised")).withColumns(
+        {**periods, **credit_band, "min_score": F.lit(600), "max_score": F.lit(800), "min_term": F.lit(24), "max_term": F.lit(42),
+         "min_ltv": F.lit(0.0), "max_ltv": F.lit(14.0), "adjustor": 3 + F.col("make_id") / 100}
+    )
+    names = profitability.ProfitRules().expense_columns
+    expenses = _dates(
+        makers.select("manufacturer_id", *[(F.col("manufacturer_id") * 2 + i).alias(c) for i, c in enumerate(names)]), "1990-01-01", "2100-12-31"
+    )
+    marginal = _dates(
+        makers.select("manufacturer_id", *[((F.col("manufacturer_id") + i) / 100).alias(f"{c}_rate") for i, c in enumerate(names)]),
+        "1990-01-01", "2100-12-31",
+    )
+    losses = base.groupBy(key.alias("make_id"), F.col("term_band").alias("term")).agg(
+        rounded(F.max("tax"), 6).alias("net_loss")
+    ).select("*", F.explode(F.array(F.lit("tier0"), F.lit("tier2"))).alias("grade"))
+    relations = orders.select(F.col("o_orderkey").alias("application_id"), F.col("o_custkey").alias("deposits"))
+    return profitability.ProfitTables(
+        contracts, stage, drivers, metrics, dealers, capital, returns, curve_types, dated.union(plain), liquidity, fees, credit,
+        overrides, dealer_adj, loyalty_adj, portfolio_adj, expenses, losses, relations, marginal,
+    )
+
+
+RULES = profitability.ProfitRules(region_codes={"1": "NE", "2": "SE", "3": "MW"}, relationship_columns=["deposits"])
+
+PROFIT = BASE + """,
+    x AS (SELECT b.*, n_regionkey + CASE WHEN booking_date >= DATE '1998-01-01' THEN 10 ELSE 0 END AS man, c_nationkey AS make_id,
+      residual AS rv, capital_cost - residual AS dep, CASE WHEN term_months <= 24 THEN 0.03 WHEN term_months <= 48 THEN 0.013 ELSE 0.015 END::DOUBLE AS a,
+      CASE WHEN booking_date >= DATE '2011-01-01' THEN 0.4035 WHEN booking_date >= DATE '2010-01-01' THEN 0.4275
+        WHEN booking_date >= DATE '2009-12-01' THEN 0.4075 WHEN booking_date >= DATE '2006-01-01' THEN 0.395 ELSE 0.39 END::DOUBLE AS tax_rate
+      FROM b JOIN nation ON c_nationkey = n_nationkey),
+    stage AS (SELECT l_orderkey * 10 + l_linenumber AS k, max(l_linestatus) AS flag, 'tier' || (max(l_suppkey) % 3) AS g FROM lineitem GROUP BY 1),
+    yr AS (SELECT year(o_orderdate) AS y, avg(o_totalprice) AS mean FROM orders GROUP BY 1),
+    dy AS (SELECT CAST(o_orderdate AS DATE) AS dt, avg(o_totalprice) AS mean, max(o_totalprice) AS hi, min(o_totalprice) AS lo FROM orders GROUP BY 1),
+    allmean AS (SELECT avg(o_totalprice) AS mean FROM orders),
+    cap AS (SELECT o_orderpriority AS m, c_nationkey AS nk, year(o_orderdate) AS y, round(avg(o_totalprice), 6) AS capital
+      FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY 1, 2, 3),
+    ret AS (SELECT n_regionkey AS r, term_band AS t, round(sum(markup_amount) / count(*), 6) AS rate FROM b JOIN nation ON c_nationkey = n_nationkey GROUP BY 1, 2),
+    loss AS (SELECT c_nationkey AS nk, term_band AS t, round(max(tax), 6) AS net FROM b GROUP BY 1, 2),
+    w AS (SELECT x.*, g, flag, row_number() OVER () AS id, man % 3 AS ty, yl.mean AS ymean, yb.mean AS bymean, dl.mean AS lmean, db.mean AS bmean,
+      db.hi AS hi, capital, ret.rate AS return_rate, net, allmean.mean AS amean
+      FROM x CROSS JOIN allmean LEFT JOIN stage ON k = account_no LEFT JOIN yr yl ON yl.y = year(lease_date) LEFT JOIN yr yb ON yb.y = year(booking_date)
+      LEFT JOIN dy dl ON dl.dt = lease_date LEFT JOIN dy db ON db.dt = booking_date
+      LEFT JOIN cap ON m = model AND nk = make_id AND cap.y = year(booking_date)
+      LEFT JOIN ret ON r = man % 10 AND ret.t = x.term_band AND g IN ('tier0', 'tier1')
+      LEFT JOIN loss ON loss.nk = make_id AND loss.t = x.term_band AND g IN ('tier0', 'tier2')),
+    per AS (SELECT id, p, (dep - dep / term_band * (p - 1)) * (1 - a * (p - 1)) - (dep - dep / term_band * p) * (1 - a * p) + rv * a AS paid,
+      (1 - a * p) * (capital_cost - dep / term_band * p) AS bal,
+      round(round(lmean / 5000000 + ty / 1000, 4) + (p - 1) * 0.0005, 6) AS cl, round(round(bmean / 5000000 + ty / 1000, 4) + (p - 1) * 0.0005, 6) AS cb,
+      round(round(amean / 9000000 + ty / 1000, 4) + (p - 1) * 0.0002, 6) AS cf,
+      round(round(ymean / 8000000, 4) + (p - 1) * 0.0001, 6) AS ll, round(round(bymean / 8000000, 4) + (p - 1) * 0.0001, 6) AS lb
+      FROM w, range(1, 60) AS r(p) WHERE p < term_band),
+    sums AS (SELECT id, 1 + sum(paid * p) AS i, sum(paid * p * cl) AS cof, sum(paid * p * cb) AS bcof, sum(paid * p * cf) AS cf, sum(paid * p * ll) AS lp,
+      sum(bal) AS bal FROM per GROUP BY 1),
+    rates AS (SELECT w.*, CASE WHEN lmean IS NULL OR ymean IS NULL THEN 0 ELSE sums.cof / i END AS cof, CASE WHEN lmean IS NULL OR ymean IS NULL THEN 0 ELSE sums.lp / i END AS lp,
+      sums.bcof / i AS bcof, sums.bal / 12 AS anr FROM w JOIN sums ON sums.id = w.id),
+    wc AS (SELECT *, cof * (1 - tax_rate) * (1 - markup_amount) + markup_amount * 0.1 AS wacc FROM rates),
+    disc AS (SELECT wc.id, sum(bal / pow(1 + wacc / 12, p)) / 12 AS anr_disc FROM wc JOIN per ON per.id = wc.id GROUP BY 1),
+    f AS (SELECT wc.*, anr_disc, CASE WHEN booked_period <= 199812 AND make_id <= 4 THEN 99 ELSE make_id END AS lmake,
+      CASE WHEN booked_period <= 199812 AND make_id >= 20 THEN 88 ELSE make_id END AS pmake FROM wc JOIN disc ON disc.id = wc.id)
+"""
+
+
+@query(
+    "contract_profit",
+    PROFIT + """
+    SELECT account_no, part_id, man AS manufacturer_id, 'M' || man AS business_line, flag AS new_used_flag,
+      CASE make_id WHEN 1 THEN 'NE' WHEN 2 THEN 'SE' WHEN 3 THEN 'MW' END AS region,
+      round(ymean / 1000, 4) AS senior_debt, round(hi, 2) AS index_24m, capital, return_rate, round(cof, 6) AS cof, round(lp, 6) AS lp,
+      round(bcof, 6) AS booked_cof, round(wacc, 6) AS wacc, round(anr, 2) AS anr, round(anr_disc, 2) AS anr_disc,
+      CASE WHEN booking_date >= DATE '1996-01-01' AND age_class IN ('new', 'used0', 'used1') THEN man + 100 END AS origination_fee,
+      CASE WHEN booking_date <= DATE '1999-12-31' THEN round(man / 100, 4) END AS credit_adjustment,
+      round(subsidy * anr / anr_disc, 3) AS subsidy_revenue,
+      CASE WHEN booked_period <= 199812 THEN round(1 + make_id / 100, 4) END AS dealer_adjustor,
+      CASE WHEN score BETWEEN 650 AND 720 AND credit_score <= 50 THEN round(2 + lmake / 100, 4) END AS loyalty_adjustor,
+      CASE WHEN score <= 800 AND term_band <= 42 AND money_factor * 10000 <= 14.0 AND credit_score <= 50 THEN round(3 + pmake / 100, 4) END AS portfolio_adjustor,
+      round((man * 2 + 3) * (man + 3) / 100, 4) AS servicing_marginal, net AS net_loss, round(net * anr, 2) AS loss_reserve_weight,
+      CASE WHEN subsidised = 1 THEN round((buy_rate - 0.0435) * anr, 1) ELSE 0 END AS subsidy_buydown FROM f
+    """,
+)
+def contract_profit(spark, d):
+    out = profitability.profitability(profit_tables(spark, d), RULES)
+    shown = {
+        "senior_debt": 4, "index_24m": 2, "cof": 6, "lp": 6, "booked_cof": 6, "wacc": 6, "anr": 2, "anr_disc": 2,
+        "credit_adjustment": 4, "subsidy_revenue": 3, "dealer_adjustor": 4, "loyalty_adjustor": 4, "portfolio_adjustor": 4,
+        "servicing_marginal": 4, "loss_reserve_weight": 2, "subsidy_buydown": 1,
+    }
+    return out.select(
+        "account_no", "part_id", "manufacturer_id", "business_line", "new_used_flag", "region", "capital", "return_rate",
+        "origination_fee", "net_loss", *[F.round(c, n).alias(c) for c, n in shown.items()],
+    )
+
+
+@query(
+    "contract_period_merge",
+    PROFIT + """,
+    fresh AS (SELECT booked_period AS period, 'M' || man AS business_line, count(*) AS n_contracts, round(sum(anr), 1) AS anr FROM f GROUP BY 1, 2),
+    old AS (SELECT year(o_orderdate) * 100 + month(o_orderdate) AS period, 'M' || n_regionkey AS business_line, count(*) AS n_contracts, -1.0::DOUBLE AS anr
+      FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey WHERE o_orderdate < TIMESTAMP '1996-07-01' GROUP BY 1, 2)
+    SELECT coalesce(o.period, n.period) AS period, coalesce(o.business_line, n.business_line) AS business_line,
+      CASE WHEN n.period IS NULL THEN o.n_contracts ELSE n.n_contracts END AS n_contracts, CASE WHEN n.period IS NULL THEN o.anr ELSE n.anr END AS anr
+    FROM old o FULL JOIN fresh n ON o.period = n.period AND o.business_line = n.business_line
+    """,
+)
+def contract_period_merge(spark, d):
+    """The job's last step: merge totals per period and line into a running table."""
+    fresh = profitability.period_totals(profitability.profitability(profit_tables(spark, d), RULES))
+    fresh = fresh.withColumn("anr", F.round("anr", 1))
+    placed = (
+        table(spark, d, "orders").filter("o_orderdate < TIMESTAMP_NTZ '1996-07-01'")
+        .join(table(spark, d, "customer"), F.col("o_custkey") == F.col("c_custkey"))
+        .join(table(spark, d, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
+    )
+    old = placed.groupBy(
+        (F.year("o_orderdate") * 100 + F.month("o_orderdate")).cast("int").alias("period"),
+        F.concat(F.lit("M"), F.col("n_regionkey").cast("string")).alias("business_line"),
+    ).agg(total().alias("n_contracts"), F.lit(-1.0).alias("anr"))
+    return merge_upsert(old, fresh, ["period", "business_line"])
