@@ -10,7 +10,7 @@ from ledgerloom.functions import bands
 from ledgerloom.functions.scalars import months_since_model_year
 from ledgerloom.jobs import enrichment, profitability
 from ledgerloom.operators.changes import merge_upsert
-from ledgerloom.plans.registry import day, query, rounded, table, total
+from ledgerloom.plans.registry import day, mean, query, rounded, table, total
 
 AS_OF = date(1998, 6, 20)
 
@@ -87,8 +87,8 @@ def base_contracts(spark, d):
     loyal AS (SELECT o_orderkey AS k, 'y' AS flag FROM orders WHERE o_totalprice > 300000),
     models AS (SELECT DISTINCT n_nationkey AS make_id, o_orderpriority AS wrong, lower(o_orderpriority) AS correct
       FROM orders JOIN nation ON n_nationkey % 2 = 0),
-    rates AS (SELECT term_band AS t, grade AS g, round(avg(tax), 6) AS r FROM b GROUP BY 1, 2),
-    coll AS (SELECT c_nationkey % 5 AS m, round(avg(c_acctbal), 4) AS r FROM customer GROUP BY 1),
+    rates AS (SELECT term_band AS t, grade AS g, round(sum(tax), 2) / count(tax) AS r FROM b GROUP BY 1, 2),
+    coll AS (SELECT c_nationkey % 5 AS m, round(sum(c_acctbal), 2) / count(c_acctbal) AS r FROM customer GROUP BY 1),
     m AS (SELECT b.*, CASE WHEN vehicle_code = 'OR' THEN 'OPEN RETURN' ELSE model END AS clean FROM b
       WHERE booking_date BETWEEN DATE '1998-06-01' AND DATE '1998-06-20'),
     e AS (SELECT m.*, base_pct, base_amount, coalesce(flag, 'n') AS loyalty, correct,
@@ -105,7 +105,7 @@ def base_contracts(spark, d):
            + pmt * (term_months * pow(1 + r, term_months) / r - (pow(1 + r, term_months) - 1) / (r * r)))) AS rate FROM e)
     SELECT account_no, part_id, term_band, grade, age_class, clean AS model, correct AS canonical_model, c_nationkey AS make_id,
       CASE WHEN new_used = 'd' THEN 'u' ELSE new_used END AS new_used, loyalty, base_pct AS residual_base_pct, delinquency_rate,
-      collateral_rate, round(capital_cost / price * 100, 4) AS booked_ltv, round(pmt, 6) AS pmt_customer,
+      collateral_rate, round(capital_cost / price * 100, 4) AS booked_ltv, round(pmt, 9) AS pmt_customer,
       CASE WHEN term_months > 1 THEN round(12 * rate, 5) END AS rate_customer, 199806 AS run_period FROM s
     """,
 )
@@ -137,13 +137,13 @@ def contract_enrichment(spark, d):
         "make_id", F.explode(F.array(*[F.lit(i) for i in range(0, 25, 2)]))
     )
     models = spellings.select("make_id", F.col("o_orderpriority").alias("misspelled"), F.lower("o_orderpriority").alias("correct"))
-    rates = enrichment.with_bands(base).groupBy("term_band", "grade").agg(rounded(F.avg("tax"), 6).alias("r"))
+    rates = enrichment.with_bands(base).groupBy("term_band", "grade").agg(mean("tax").alias("r"))
     delinquency = rates.select(
         F.explode(F.create_map(F.lit("othermake"), F.col("r"), F.lit("three"), F.col("r") + 1)).alias("make_group", "rate"),
         F.col("term_band").alias("term"), "grade",
     )
     collateral = table(spark, d, "customer").groupBy((F.col("c_nationkey") % 5).alias("manufacturer_id")).agg(
-        rounded(F.avg("c_acctbal"), 4).alias("rate")
+        mean("c_acctbal").alias("rate")
     )
     tables = enrichment.EnrichmentTables(base, terms, applications, loyalty, aliases, models, delinquency, collateral)
     rules = enrichment.EnrichmentRules(make_groups={3: "three"}, model_rules=[(2, "OR", "OR", "OPEN RETURN")])
@@ -151,7 +151,7 @@ def contract_enrichment(spark, d):
     keep = ["account_no", "part_id", "term_band", "grade", "age_class", "model", "canonical_model", "make_id", "new_used", "loyalty",
             "residual_base_pct", "delinquency_rate", "collateral_rate", "run_period"]
     return out.select(
-        *keep, F.round("booked_ltv", 4).alias("booked_ltv"), F.round("pmt_customer", 6).alias("pmt_customer"),
+        *keep, F.round("booked_ltv", 4).alias("booked_ltv"), F.round("pmt_customer", 9).alias("pmt_customer"),
         F.when(F.col("term_months") > 1, F.round("rate_customer", 5)).alias("rate_customer"),
     )
 
@@ -213,9 +213,9 @@ def profit_tables(spark, d) -> profitability.ProfitTables:
     )
     with_cust = orders.join(customer, F.col("o_custkey") == F.col("c_custkey"))
     capital = with_cust.groupBy(F.col("o_orderpriority").alias("model"), key.alias("make_id"), year.alias("y")).agg(
-        rounded(F.avg("o_totalprice"), 6).alias("capital")
+        mean("o_totalprice").alias("capital")
     ).withColumns({**span, "capital_market": F.col("capital"), "capital_standard": F.col("capital")})
-    by_maker = base.groupBy("c_nationkey", "term_band").agg(F.avg("markup_amount").alias("m"), F.sum("markup_amount").alias("s"), total().alias("n"))
+    by_maker = base.groupBy("c_nationkey", "term_band").agg(F.sum("markup_amount").alias("s"), total().alias("n"))
     owned = by_maker.join(nation, key == F.col("n_nationkey")).groupBy("n_regionkey", "term_band").agg(
         rounded(F.sum("s") / F.sum("n"), 6).alias("return_rate")
     )
@@ -314,7 +314,7 @@ PROFIT = BASE + """,
     yr AS (SELECT year(o_orderdate) AS y, avg(o_totalprice) AS mean FROM orders GROUP BY 1),
     dy AS (SELECT CAST(o_orderdate AS DATE) AS dt, avg(o_totalprice) AS mean, max(o_totalprice) AS hi, min(o_totalprice) AS lo FROM orders GROUP BY 1),
     allmean AS (SELECT avg(o_totalprice) AS mean FROM orders),
-    cap AS (SELECT o_orderpriority AS m, c_nationkey AS nk, year(o_orderdate) AS y, round(avg(o_totalprice), 6) AS capital
+    cap AS (SELECT o_orderpriority AS m, c_nationkey AS nk, year(o_orderdate) AS y, round(sum(o_totalprice), 2) / count(o_totalprice) AS capital
       FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY 1, 2, 3),
     ret AS (SELECT n_regionkey AS r, term_band AS t, round(sum(markup_amount) / count(*), 6) AS rate FROM b JOIN nation ON c_nationkey = n_nationkey GROUP BY 1, 2),
     loss AS (SELECT c_nationkey AS nk, term_band AS t, round(max(tax), 6) AS net FROM b GROUP BY 1, 2),

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ledgerloom.functions import bands, finance
-from ledgerloom.plans.registry import query, table
+from ledgerloom.plans.registry import mean, query, table
 
 KEY = ["l_orderkey", "l_linenumber", "l_partkey"]
 
@@ -54,18 +54,18 @@ def finance_fv(spark, d):
 @query(
     "finance_payments",
     CONTRACTS + """
-    SELECT l_orderkey, l_linenumber, l_partkey, round((cost - residual) / term, 9) AS pmt_depreciation,
-      round((cost - residual) / term + (cost + residual) / buy_rate, 9) AS pmt_buy_rate,
-      round((cost - residual) / term + (cost + residual) * money_factor, 9) AS pmt_customer,
-      round(CASE WHEN subsidised = 1 THEN (cost - residual) / term + (cost + residual) * markup ELSE 0 END, 9) AS pmt_programme,
-      round(CASE WHEN subsidised = 0 THEN (cost - residual) / term + (cost + residual) * markup ELSE 0 END, 9) AS pmt_standard_programme
+    SELECT l_orderkey, l_linenumber, l_partkey, (cost - residual) / term AS pmt_depreciation,
+      (cost - residual) / term + (cost + residual) / buy_rate AS pmt_buy_rate,
+      (cost - residual) / term + (cost + residual) * money_factor AS pmt_customer,
+      CASE WHEN subsidised = 1 THEN (cost - residual) / term + (cost + residual) * markup ELSE 0 END AS pmt_programme,
+      CASE WHEN subsidised = 0 THEN (cost - residual) / term + (cost + residual) * markup ELSE 0 END AS pmt_standard_programme
     FROM c
     """,
 )
 def finance_payments(spark, d):
     names = ["pmt_depreciation", "pmt_buy_rate", "pmt_customer", "pmt_programme", "pmt_standard_programme"]
     paid = finance.payment_columns(contracts(spark, d), "cost", "residual", "term", "buy_rate", "money_factor", "markup", "subsidised")
-    return paid.select(*KEY, *[F.round(n, 9).alias(n) for n in names])
+    return paid.select(*KEY, *names)
 
 
 @query(
@@ -89,8 +89,8 @@ def finance_rate(spark, d):
 def curves(spark, d):
     """Rate curves of 84 points, named by return flag and line status, from the mean tax."""
     lines = table(spark, d, "lineitem")
-    means = lines.groupBy(F.col("l_returnflag").alias("name")).agg(F.avg("l_tax").alias("m")).union(
-        lines.groupBy("l_linestatus").agg(F.avg("l_tax"))
+    means = lines.groupBy(F.col("l_returnflag").alias("name")).agg(mean("l_tax").alias("m")).union(
+        lines.groupBy("l_linestatus").agg(mean("l_tax"))
     )
     points = F.transform(
         F.sequence(F.lit(0), F.lit(83)), lambda i: F.format_number(F.round("m", 4) + i * 0.0005, 6)
@@ -101,8 +101,8 @@ def curves(spark, d):
 @query(
     "finance_runoff",
     CONTRACTS.replace("WITH c", "WITH RECURSIVE c") + """,
-    m AS (SELECT l_returnflag AS name, round(avg(l_tax), 4) AS m FROM lineitem GROUP BY 1
-          UNION ALL SELECT l_linestatus, round(avg(l_tax), 4) FROM lineitem GROUP BY 1),
+    m AS (SELECT l_returnflag AS name, round(round(sum(l_tax), 2) / count(l_tax), 4) AS m FROM lineitem GROUP BY 1
+          UNION ALL SELECT l_linestatus, round(round(sum(l_tax), 2) / count(l_tax), 4) FROM lineitem GROUP BY 1),
     start AS (SELECT c.*, a.m AS ma, b.m AS mb, cost - residual AS dep0, (cost - residual) / term AS z, row_number() OVER () AS id
       FROM c LEFT JOIN m a ON a.name = CASE WHEN l_linenumber < 7 THEN l_returnflag END LEFT JOIN m b ON b.name = l_linestatus),
     r AS (SELECT id, 1 AS p, 0.0::DOUBLE AS b, 0.0::DOUBLE AS rr, 0.0::DOUBLE AS bal, 0.0::DOUBLE AS disc, 1.0::DOUBLE AS intr,
@@ -114,7 +114,7 @@ def curves(spark, d):
       FROM (SELECT *, z * (1 - speed * (p - 1)) + (dep0 - z * (1 - speed * (p - 1)) - b) * speed / (1 - speed * (p - 1)) AS tot,
                    (residual - rr) * speed / (1 - speed * (p - 1)) AS w FROM r WHERE p < term))
     SELECT l_orderkey, l_linenumber, l_partkey, coalesce(round(r.ca / intr * 12, 6), 0) AS cof, coalesce(round(r.cb / intr * 12, 6), 0) AS lp,
-           coalesce(round(bal / 12, 3), 0) AS anr, coalesce(round(disc / 12, 3), 0) AS anr_disc
+           coalesce(round(bal / 12, 1), 0) AS anr, coalesce(round(disc / 12, 1), 0) AS anr_disc
     FROM start LEFT JOIN r ON r.id = start.id AND r.p = start.term
     """,
 )
@@ -129,8 +129,8 @@ def finance_runoff(spark, d):
         "cost", "residual", "term", "speed", "wacc",
     )
     return out.select(
-        *KEY, F.round("cof", 6).alias("cof"), F.round("lp", 6).alias("lp"), F.round("anr", 3).alias("anr"),
-        F.round("anr_disc", 3).alias("anr_disc"),
+        *KEY, F.round("cof", 6).alias("cof"), F.round("lp", 6).alias("lp"), F.round("anr", 1).alias("anr"),
+        F.round("anr_disc", 1).alias("anr_disc"),
     )
 
 

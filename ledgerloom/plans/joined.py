@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.operators import joins, lookups
 from ledgerloom.operators.aggregates import group_share
-from ledgerloom.plans.registry import day, query, rounded, table, total
+from ledgerloom.plans.registry import day, mean, query, rounded, table, total
 
 
 @query(
@@ -212,7 +212,7 @@ def lookup_canonical(spark, d):
 PERIODS = """
     WITH price AS (SELECT o_orderpriority AS k, date_trunc('quarter', o_orderdate)::DATE AS beg,
       (date_trunc('quarter', o_orderdate) + INTERVAL 3 MONTH - INTERVAL 1 DAY)::DATE AS fin,
-      round(avg(o_totalprice), 4) AS price, count(*) AS n FROM orders GROUP BY 1, 2, 3)
+      round(sum(o_totalprice), 2) / count(o_totalprice) AS price, count(*) AS n FROM orders GROUP BY 1, 2, 3)
 """
 
 
@@ -220,7 +220,7 @@ def _price_periods(orders):
     """Quarterly price periods per priority, as an effective-dated lookup table."""
     start = F.to_date(F.date_trunc("quarter", "o_orderdate"))
     return orders.groupBy(F.col("o_orderpriority").alias("k"), start.alias("beg")).agg(
-        rounded(F.avg("o_totalprice"), 4).alias("price"), total().alias("n")
+        mean("o_totalprice").alias("price"), total().alias("n")
     ).withColumn("fin", F.date_sub(F.add_months("beg", 3), 1))
 
 
@@ -277,7 +277,7 @@ def range_join(spark, d):
     "band_join",
     """
     WITH b AS (SELECT p_brand AS brand, (p_size // 10) * 10 AS lo, (p_size // 10) * 10 + 9 AS hi,
-                      round(avg(p_retailprice), 4) AS adjustor FROM part GROUP BY 1, 2, 3)
+                      round(sum(p_retailprice), 2) / count(p_retailprice) AS adjustor FROM part GROUP BY 1, 2, 3)
     SELECT l_orderkey, l_linenumber, l_partkey, adjustor FROM lineitem JOIN part ON l_partkey = p_partkey
     LEFT JOIN b ON brand = p_brand AND l_quantity BETWEEN lo AND hi
     """,
@@ -286,7 +286,7 @@ def band_join(spark, d):
     part = table(spark, d, "part")
     low = F.floor(F.col("p_size") / 10) * 10
     bands = part.groupBy(F.col("p_brand").alias("brand"), low.alias("lo"), (low + 9).alias("hi")).agg(
-        rounded(F.avg("p_retailprice"), 4).alias("adjustor")
+        mean("p_retailprice").alias("adjustor")
     )
     lines = table(spark, d, "lineitem").join(part, F.col("l_partkey") == F.col("p_partkey")).select(
         "l_orderkey", "l_linenumber", "l_partkey", "p_brand", "l_quantity"
@@ -346,7 +346,7 @@ def join_dedup_dim(spark, d):
 @query(
     "metric_lookup",
     """
-    WITH m AS (SELECT CAST(ts AS DATE) AS d, event_type AS label, round(avg(value), 4) AS v FROM events GROUP BY 1, 2)
+    WITH m AS (SELECT CAST(ts AS DATE) AS d, event_type AS label, round(sum(value), 2) / count(value) AS v FROM events GROUP BY 1, 2)
     SELECT event_id, c.v AS click_avg, w.v AS view_avg FROM events
     LEFT JOIN (SELECT * FROM m WHERE label = 'click') c ON CAST(ts AS DATE) = c.d
     LEFT JOIN (SELECT * FROM m WHERE label = 'view') w ON CAST(ts AS DATE) = w.d
@@ -354,7 +354,7 @@ def join_dedup_dim(spark, d):
 )
 def metric_lookup(spark, d):
     events = table(spark, d, "events").withColumn("d", F.to_date("ts"))
-    metrics = events.groupBy("d", "event_type").agg(rounded(F.avg("value"), 4).alias("v"))
+    metrics = events.groupBy("d", "event_type").agg(mean("value").alias("v"))
     out = lookups.metric_lookup(
         events.select("event_id", F.col("d").alias("booked")), metrics, {"booked": "d"}, "event_type", "v",
         {"click": "click_avg", "view": "view_avg"},
@@ -365,13 +365,13 @@ def metric_lookup(spark, d):
 @query(
     "join_group_avg",
     """
-    SELECT o_orderkey, o_custkey, o_totalprice, round(avg_price, 4) AS avg_price FROM orders JOIN (
-      SELECT o_custkey AS k, avg(o_totalprice) AS avg_price FROM orders GROUP BY 1) ON k = o_custkey
+    SELECT o_orderkey, o_custkey, o_totalprice, avg_price FROM orders JOIN (
+      SELECT o_custkey AS k, round(sum(o_totalprice), 2) / count(*) AS avg_price FROM orders GROUP BY 1) ON k = o_custkey
     """,
 )
 def join_group_avg(spark, d):
     orders = table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
-    return group_share(orders, ["o_custkey"], {"avg_price": rounded(F.avg("o_totalprice"), 4)})
+    return group_share(orders, ["o_custkey"], {"avg_price": mean("o_totalprice")})
 
 
 @query("id_list_join", "SELECT o_orderkey, o_totalprice FROM orders WHERE o_orderkey IN (1, 4, 7, 12, 500)")
@@ -383,7 +383,7 @@ def id_list_join(spark, d):
 @query(
     "lookup_equi",
     """
-    WITH r AS (SELECT p_brand AS brand, p_size AS size, 'A' AS flag, round(avg(p_retailprice), 4) AS rate FROM part GROUP BY 1, 2)
+    WITH r AS (SELECT p_brand AS brand, p_size AS size, 'A' AS flag, round(sum(p_retailprice), 2) / count(p_retailprice) AS rate FROM part GROUP BY 1, 2)
     SELECT l_orderkey, l_linenumber, l_partkey, rate FROM lineitem JOIN part ON l_partkey = p_partkey
     LEFT JOIN r ON brand = p_brand AND size = l_linenumber AND flag = 'A'
     """,
@@ -391,7 +391,7 @@ def id_list_join(spark, d):
 def lookup_equi(spark, d):
     part = table(spark, d, "part")
     rates = part.groupBy(F.col("p_brand").alias("brand"), F.col("p_size").alias("size")).agg(
-        rounded(F.avg("p_retailprice"), 4).alias("rate")
+        mean("p_retailprice").alias("rate")
     ).withColumn("flag", F.lit("A"))
     lines = table(spark, d, "lineitem").join(part.select("p_partkey", "p_brand"), F.col("l_partkey") == F.col("p_partkey")).select(
         "l_orderkey", "l_linenumber", "l_partkey", "p_brand"

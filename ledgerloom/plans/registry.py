@@ -36,6 +36,11 @@ def rounded(column: Column | str, places: int = 2) -> Column:
     return F.round(column.cast("double"), places)
 
 
+def mean(column: str) -> Column:
+    """Mean of amounts with two decimals; the sum is rounded to cents, so the order of adding does not show."""
+    return F.round(F.sum(column), 2) / F.count(column)
+
+
 def ts(column: Column | str) -> Column:
     """A timestamp as text, down to the microsecond."""
     column = F.col(column) if isinstance(column, str) else column

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ledgerloom.plans.registry import query, rounded, table, total
+from ledgerloom.plans.registry import mean, query, rounded, table, total
 
 
 @query(
@@ -12,7 +12,7 @@ from ledgerloom.plans.registry import query, rounded, table, total
     """
     SELECT n_name AS nation, c_name AS customer, CAST(year(o_orderdate) AS BIGINT) AS order_year,
            count(*) AS n_sales, round(sum(l_extendedprice), 2) AS total_sales,
-           round(avg(l_extendedprice), 4) AS avg_sales,
+           round(sum(l_extendedprice), 2) / count(l_extendedprice) AS avg_sales,
            count(DISTINCT o_orderkey) AS n_orders, count(DISTINCT l_suppkey) AS n_suppliers
     FROM lineitem JOIN orders ON l_orderkey = o_orderkey
     JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey
@@ -37,7 +37,7 @@ def star_join(spark, d):
         .agg(
             total().alias("n_sales"),
             rounded(F.sum("l_extendedprice")).alias("total_sales"),
-            rounded(F.avg("l_extendedprice"), 4).alias("avg_sales"),
+            mean("l_extendedprice").alias("avg_sales"),
             F.countDistinct("o_orderkey").alias("n_orders"),
             F.countDistinct("l_suppkey").alias("n_suppliers"),
         )
@@ -53,11 +53,11 @@ def agg_count(spark, d):
 
 @query(
     "agg_minmaxavg",
-    "SELECT max(value) AS max_value, min(value) AS min_value, round(avg(value), 4) AS avg_value FROM events",
+    "SELECT max(value) AS max_value, min(value) AS min_value, round(sum(value), 2) / count(value) AS avg_value FROM events",
 )
 def agg_minmaxavg(spark, d):
     return table(spark, d, "events").agg(
-        F.max("value").alias("max_value"), F.min("value").alias("min_value"), rounded(F.avg("value"), 4).alias("avg_value")
+        F.max("value").alias("max_value"), F.min("value").alias("min_value"), mean("value").alias("avg_value")
     )
 
 
@@ -73,20 +73,20 @@ def group_count(spark, d):
 
 @query(
     "group_sum",
-    "SELECT l_partkey, round(sum(l_extendedprice * (1 - l_discount)), 3) AS revenue FROM lineitem GROUP BY l_partkey",
+    "SELECT l_partkey, round(sum(l_extendedprice * (1 - l_discount)), 4) AS revenue FROM lineitem GROUP BY l_partkey",
 )
 def group_sum(spark, d):
     return table(spark, d, "lineitem").groupBy("l_partkey").agg(
-        rounded(F.sum(F.col("l_extendedprice") * (1 - F.col("l_discount"))), 3).alias("revenue")
+        rounded(F.sum(F.col("l_extendedprice") * (1 - F.col("l_discount"))), 4).alias("revenue")
     )
 
 
 @query(
     "group_avg",
-    "SELECT o_custkey, round(avg(o_totalprice), 4) AS avg_price FROM orders GROUP BY o_custkey",
+    "SELECT o_custkey, round(sum(o_totalprice), 2) / count(o_totalprice) AS avg_price FROM orders GROUP BY o_custkey",
 )
 def group_avg(spark, d):
-    return table(spark, d, "orders").groupBy("o_custkey").agg(rounded(F.avg("o_totalprice"), 4).alias("avg_price"))
+    return table(spark, d, "orders").groupBy("o_custkey").agg(mean("o_totalprice").alias("avg_price"))
 
 
 @query(
@@ -112,7 +112,7 @@ def distinct_count(spark, d):
 @query(
     "weighted_sum",
     """
-    SELECT l_suppkey, round(sum(n * avg_price), 1) AS total_price FROM (
+    SELECT l_suppkey, round(sum(n * avg_price), 2) AS total_price FROM (
       SELECT l_suppkey, l_returnflag, count(*) AS n, avg(l_extendedprice) AS avg_price
       FROM lineitem GROUP BY l_suppkey, l_returnflag) GROUP BY l_suppkey
     """,
@@ -121,4 +121,4 @@ def weighted_sum(spark, d):
     parts = table(spark, d, "lineitem").groupBy("l_suppkey", "l_returnflag").agg(
         total().alias("n"), F.avg("l_extendedprice").alias("avg_price")
     )
-    return parts.groupBy("l_suppkey").agg(rounded(F.sum(F.col("n") * F.col("avg_price")), 1).alias("total_price"))
+    return parts.groupBy("l_suppkey").agg(rounded(F.sum(F.col("n") * F.col("avg_price")), 2).alias("total_price"))

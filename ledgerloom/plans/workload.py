@@ -71,13 +71,13 @@ def log_top_duration(spark, d):
     "log_top_multi",
     RECENT + f"""
     SELECT r.query_id, plan_id, strftime(date_trunc('hour', started), {STAMP}) AS interval_start, count(*) AS n_executions,
-           round(avg(duration), 6) AS avg_duration, total_duration
+           round(avg(duration), 8) AS avg_duration, total_duration
     FROM recent r JOIN top ON r.query_id = top.query_id WHERE n_plans > 1 GROUP BY 1, 2, 3, total_duration
     """,
 )
 def log_top_multi(spark, d):
     out = workload.top_multi_plan(execution_log(spark, d), NOW, hours=24)
-    return out.withColumns({"interval_start": ts("interval_start"), "avg_duration": F.round("avg_duration", 6)})
+    return out.withColumns({"interval_start": ts("interval_start"), "avg_duration": F.round("avg_duration", 8)})
 
 
 @query(
