@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -14,14 +15,24 @@ def _is_container(doc: Column, path: str) -> Column:
     return kind.startswith("OBJECT") | kind.startswith("ARRAY")
 
 
+def _may_be_container(found: Column) -> Column:
+    return found.startswith("{") | found.startswith("[")
+
+
 def json_value(doc: Column, path: str) -> Column:
-    """Scalar at ``path`` as text; NULL for objects and arrays."""
-    return F.when(~_is_container(doc, path), F.get_json_object(doc, path))
+    """Scalar at ``path`` as text; NULL for objects and arrays.
+
+    Only a text that could be an object or array is parsed a second time, to tell it from a
+    string scalar that happens to begin with a bracket.
+    """
+    found = F.get_json_object(doc, path)
+    return F.when(_may_be_container(found), F.when(~_is_container(doc, path), found)).otherwise(found)
 
 
 def json_query(doc: Column, path: str = "$") -> Column:
     """Object or array at ``path`` as JSON text; NULL for scalars."""
-    return F.when(_is_container(doc, path), F.get_json_object(doc, path))
+    found = F.get_json_object(doc, path)
+    return F.when(_may_be_container(found) & _is_container(doc, path), found)
 
 
 def is_json(doc: Column) -> Column:
@@ -59,19 +70,22 @@ def has_element(doc: Column, element: str, test) -> Column:
     return F.exists(F.from_json(doc, f"array<{element}>"), test)
 
 
-def words(text: Column) -> Column:
-    """Distinct lower-case words of a text."""
-    return F.array_distinct(F.filter(F.split(F.lower(text), r"[^\p{L}\p{N}]+"), lambda w: w != ""))
+def _has_word(text: Column, terms: Sequence[str]) -> Column:
+    """True when one of the terms stands alone, with no letter or digit beside it."""
+    inside = "|".join(re.escape(t) for t in terms)
+    return text.rlike(rf"(?iu)(?<![\p{{L}}\p{{N}}])(?:{inside})(?![\p{{L}}\p{{N}}])")
 
 
 def contains_terms(text: Column, any_of: Sequence[str] = (), all_of: Sequence[str] = ()) -> Column:
-    """Word search with OR and AND lists, ignoring case."""
-    bag = words(text)
+    """Word search with OR and AND lists, ignoring case.
+
+    A text is scanned up to the first hit of each condition; no word list is built.
+    """
     cond = F.lit(True)
-    if any_of:
-        cond = cond & F.arrays_overlap(bag, F.array(*[F.lit(w.lower()) for w in any_of]))
     for w in all_of:
-        cond = cond & F.array_contains(bag, w.lower())
+        cond = cond & _has_word(text, [w])
+    if any_of:
+        cond = cond & _has_word(text, any_of)
     return cond
 
 

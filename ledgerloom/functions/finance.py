@@ -8,6 +8,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 TINY = 1e-9
 
@@ -57,7 +58,7 @@ def implied_rate(
     (measured: over ten times slower), so batches go to numpy through Arrow.
     """
 
-    @F.pandas_udf("double")
+    @F.pandas_udf(T.DoubleType())
     def solve(n: pd.Series, pmt: pd.Series, pv: pd.Series, fv: pd.Series, at: pd.Series) -> pd.Series:
         found = _newton(*[x.to_numpy(dtype=float, na_value=np.nan) for x in (n, pmt, pv, fv, at)], guess, steps)
         return pd.Series(found).astype("object").where(~np.isnan(found), None)
@@ -125,6 +126,21 @@ def curve_moments(curves: DataFrame, name: str, curve: str, max_term: int, size:
     )
 
 
+@F.pandas_udf(T.DoubleType())
+def _discounted_balance(cost: pd.Series, z: pd.Series, a: pd.Series, n: pd.Series, factor: pd.Series) -> pd.Series:
+    """``sum (1 - a p)(cost - z p) factor^p`` over periods 1 .. n, a batch of contracts at a time.
+
+    The discount differs per contract and its closed form loses all digits for small rates,
+    so the sum is taken by Horner's rule from the last period down.
+    """
+    c, z, a, n, v = (x.to_numpy(dtype=float, na_value=np.nan) for x in (cost, z, a, n, factor))
+    total = np.where(np.isnan(c + z + a + n + v), np.nan, 0.0)
+    last = int(np.nanmax(n)) if len(n) and not np.isnan(n).all() else 0
+    for p in range(last, 0, -1):
+        total = np.where(n >= p, (total + (1 - a * p) * (c - z * p)) * v, total)
+    return pd.Series(total).astype("object").where(~np.isnan(total), None)
+
+
 def runoff_columns(cost: Column, residual: Column, term: Column, speed: Column, wacc: Column) -> Mapping[str, Column]:
     """``bal_sum``, ``bal_disc_sum``, ``int_sum`` and the linear weights ``c1``, ``c2`` of a contract.
 
@@ -138,12 +154,7 @@ def runoff_columns(cost: Column, residual: Column, term: Column, speed: Column,
     s2 = n * (n + 1) * (2 * n + 1) / 6
     c1 = z + a * (cost - residual) + a * z + a * residual
     c2 = 2 * a * z
-    discount = 1 / (1 + wacc.cast("double") / 12)
-    periods = F.when(n >= 1, F.sequence(n.cast("int"), F.lit(1), F.lit(-1))).otherwise(F.array().cast("array<int>"))
-    # Horner's rule from the last period down: one multiplication per period, no powers.
-    discounted = F.aggregate(
-        periods, F.lit(0.0), lambda acc, p: (acc + (1 - a * p) * (cost - z * p)) * discount
-    )
+    discounted = _discounted_balance(cost, z, a, n, 1 / (1 + wacc.cast("double") / 12))
     return {
         "bal_sum": cost * n - (z + a * cost) * s1 + a * z * s2,
         "bal_disc_sum": discounted,

@@ -6,8 +6,9 @@ range-partitioned on the full sort key instead, so a hot group is spread over ma
 ranges; each range is handled on its own, and what crosses a range border is settled by
 a table with at most one row per range.
 
-The placed rows are checkpointed: the range number is part of the data from then on, so
-both reads of them agree even when an executor is lost in between.
+The placed rows are written to the shared folder: the range number is part of the data
+from then on, so both reads of them agree even when an executor is lost in between. As a
+columnar table it can also be read back without the columns a step does not need.
 """
 
 from __future__ import annotations
@@ -17,7 +18,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerloom.session import reliable_checkpoint
+from ledgerloom.session import written_table
 
 RANGE = "__range"
 
@@ -26,7 +27,7 @@ def place_in_order(df: DataFrame, order: Sequence[str], ranges: int | None = Non
     """Range-partition on ``order`` (ascending) and record each row's range number."""
     n = ranges or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     placed = df.repartitionByRange(n, *[F.col(c) for c in order])
-    return reliable_checkpoint(placed.withColumn(RANGE, F.spark_partition_id()))
+    return written_table(placed.withColumn(RANGE, F.spark_partition_id()), "ordered")
 
 
 def _same_key(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:

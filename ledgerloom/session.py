@@ -44,7 +44,11 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/ledgerloom/{name}-{uuid.uuid4().hex}"
 
 
-def reliable_checkpoint(df: DataFrame) -> DataFrame:
-    """Materialise on the shared folder, so lost executors cannot change or lose the rows."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def written_table(df: DataFrame, name: str) -> DataFrame:
+    """Write to a fresh table in the shared folder and read it back, which cuts the lineage.
+
+    Lost executors then neither change nor lose the rows.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
