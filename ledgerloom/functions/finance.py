@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 TINY = 1e-9
+FLOOR = -0.99
 
 
 def future_value(rate: Column, periods: Column, payment: Column, present: Column, due: Column) -> Column:
@@ -38,8 +39,9 @@ def _newton(n, payment, present, target, due, guess: float, steps: int) -> np.nd
                 present * n + payment * (n * (n - 1) / 2 + n * due),
                 present * lift + payment * (lift * (1 + r * due) / r - (growth - 1) / (r * r)),
             )
-            moved = np.maximum(rate - (value - target) / slope, -0.99)
-            settled = np.abs(moved - rate) < 1e-9
+            moved = np.maximum(rate - (value - target) / slope, FLOOR)
+            # Resting on the floor is no root.
+            settled = (np.abs(moved - rate) < 1e-9) & (moved > FLOOR)
             rate = moved
             if settled.all():
                 break
