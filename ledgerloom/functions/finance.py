@@ -109,23 +109,26 @@ def marginal_costs(df: DataFrame, triples: Sequence[tuple[str, str, str]]) -> Da
 # period-by-period loop per contract, and no exploded schedule.
 
 
-def curve_moments(curves: DataFrame, name: str, curve: str, max_term: int, size: int = 84) -> DataFrame:
+def curve_moments(
+    curves: DataFrame, name: str, curve: str, max_term: int, size: int = 84, terms: Sequence[int] | None = None
+) -> DataFrame:
     """Per curve and term: ``m1 = sum p c_p`` and ``m2 = sum p^2 c_p`` over periods 1 .. term - 1.
 
-    One row per curve and term up to ``max_term``; the curve wraps after ``size`` points.
+    One row per curve and term up to ``max_term``, or for ``terms`` only, which keeps the
+    table small enough to be broadcast. The curve wraps after ``size`` points.
     """
-    points = curves.select(
-        F.col(name), F.split(F.col(curve), r"\|").alias("__points"), F.explode(F.sequence(F.lit(1), F.lit(max_term))).alias("term")
-    )
-    # Period of the last addend is term - 1; term 1 has none.
-    p = F.col("term") - 1
-    value = F.when(
-        p >= 1, F.try_element_at(F.col("__points"), (F.pmod(p - 1, F.lit(size)) + 1).cast("int")).cast("double")
-    ).otherwise(0.0)
-    upto = Window.partitionBy(name).orderBy("term")
-    return points.select(
-        name, "term", F.sum(p * value).over(upto).alias("m1"), F.sum(p * p * value).over(upto).alias("m2")
+    points = F.slice(F.split(F.col(curve), r"\|"), 1, size)
+    wrapped = F.flatten(F.array_repeat(points, -(-max_term // size)))
+    # Element p is the rate of period p; element 0 stands for no period at all (term 1).
+    rates = F.concat(F.array(F.lit("0")), F.slice(wrapped, 1, max_term - 1))
+    periods = curves.select(name, F.posexplode(rates).alias("p", "rate"))
+    value = F.col("rate").cast("double")
+    p = F.col("p")
+    upto = Window.partitionBy(name).orderBy("p")
+    moments = periods.select(
+        name, (p + 1).alias("term"), F.sum(p * value).over(upto).alias("m1"), F.sum(p * p * value).over(upto).alias("m2")
     )
+    return moments if terms is None else moments.filter(F.col("term").isin(*terms))
 
 
 @F.pandas_udf(T.DoubleType())

@@ -57,7 +57,6 @@ class ProfitRules:
     expense_columns: Sequence[str] = ("sales", "credit", "imaging", "servicing", "collections", "overhead")
     relationship_columns: Sequence[str] = ()
     line: str = "lease"
-    max_term: int = 60
 
 
 def _dated(df: DataFrame, dim: DataFrame, on: Mapping[str, str], date: str, cols: Mapping[str, str], months, **more) -> DataFrame:
@@ -102,7 +101,7 @@ def with_dimensions(df: DataFrame, t: ProfitTables, rules: ProfitRules, months:
     )
 
 
-def with_run_off(df: DataFrame, t: ProfitTables, rules: ProfitRules, months: tuple[int, int]) -> DataFrame:
+def with_run_off(df: DataFrame, t: ProfitTables, months: tuple[int, int]) -> DataFrame:
     """Costs of funds on the lease-date and booking-date curves, capital cost, discounted balances.
 
     Curves are reduced to their moments once and shared by all passes.
@@ -115,8 +114,9 @@ def with_run_off(df: DataFrame, t: ProfitTables, rules: ProfitRules, months: tup
     df = df.withColumns({"lease_curve": name("lease_date"), "booked_curve": name("booking_date")})
     for when, out in (("lease_date", "lease_liquidity"), ("booking_date", "booked_liquidity")):
         df = _dated(df, t.liquidity_curves, {}, when, {"name": out}, months)
-    funds = finance.curve_moments(t.curves, "name", "curve", rules.max_term)
-    liquidity = finance.curve_moments(t.liquidity_curves, "name", "curve", rules.max_term)
+    terms = [label for _, _, label in bands.TERM_BANDS] + [bands.TERM_DEFAULT]
+    funds = finance.curve_moments(t.curves, "name", "curve", max(terms), terms=terms)
+    liquidity = finance.curve_moments(t.liquidity_curves, "name", "curve", max(terms), terms=terms)
     common = ("capital_cost", "residual", "term_band", "speed")
     df = finance.run_off(
         df.withColumn("wacc", F.lit(START_WACC)), {"cof": funds, "lp": liquidity, "cf": funds},
@@ -241,7 +241,7 @@ def profitability(tables: ProfitTables, rules: ProfitRules) -> DataFrame:
     months = months_spanned(base, ["booking_date", "lease_date"])
     df = base.withColumn("line", F.lit(rules.line))
     df = with_dimensions(df, tables, rules, months)
-    df = with_run_off(df, tables, rules, months)
+    df = with_run_off(df, tables, months)
     df = with_fees(df, tables, months)
     df = with_adjustors(df, tables)
     return with_weights(with_expenses(df, tables, rules, months))

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.operators.joins import one_row_per_key
+from ledgerloom.operators.ordered import ordered_row_number
 
 
 def latest_snapshot(df: DataFrame, date: Column, period: Column) -> DataFrame:
@@ -51,16 +52,22 @@ def group_share(df: DataFrame, keys: Sequence[str], aggs: Mapping[str, Column])
     return df.join(groups, cond).select(*df.columns, *aggs)
 
 
-def distinct_list(df: DataFrame, keys: Sequence[str], value: str, out: str, sep: str = ",") -> DataFrame:
+def distinct_list(
+    df: DataFrame, keys: Sequence[str], value: str, out: str, sep: str = ",", page: int | None = None
+) -> DataFrame:
     """Sorted, separated list of the distinct values per group.
 
     Values are made distinct before they are collected, so a list is as long as its domain
-    and not as its group.
+    and not as its group. Where the domain is large too, ``page`` splits each list into
+    rows of at most so many values, numbered from 0 in ``page_no``.
     """
-    return (
-        df.select(*keys, value).distinct().groupBy(*keys)
-        .agg(F.concat_ws(sep, F.sort_array(F.collect_list(value))).alias(out))
-    )
+    distinct = df.select(*keys, value).distinct()
+    by = list(keys)
+    if page is not None:
+        numbered = ordered_row_number(distinct.filter(F.col(value).isNotNull()), keys, [value], "__rn")
+        distinct = numbered.withColumn("page_no", F.floor((F.col("__rn") - 1) / page))
+        by.append("page_no")
+    return distinct.groupBy(*by).agg(F.concat_ws(sep, F.sort_array(F.collect_list(value))).alias(out))
 
 
 def two_earliest(df: DataFrame, entity: str, item: str, date: str, outs: tuple[str, str]) -> DataFrame:

@@ -108,3 +108,9 @@ def ordered_dense_rank(
     for k in keys:
         cond = cond & df[k].eqNullSafe(ranked[k])
     return df.join(ranked, cond, "left").select(*[df[c] for c in df.columns], ranked[out])
+
+
+def surrogate_key(df: DataFrame, order: Sequence[str], out: str, seed: int = 1, step: int = 1) -> DataFrame:
+    """Gapless keys ``seed, seed + step, ..`` in the order of a natural key."""
+    numbered = ordered_row_number(df, [], order, out)
+    return numbered.withColumn(out, F.col(out) * step + (seed - step))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ledgerloom.operators.aggregates import group_share, top_n
-from ledgerloom.operators.ordered import ordered_dense_rank, ordered_lead, ordered_row_number
+from ledgerloom.operators.ordered import ordered_dense_rank, ordered_lead, ordered_row_number, surrogate_key
 from ledgerloom.plans.registry import day, query, table, total
 
 
@@ -88,3 +88,11 @@ def top_orders(spark, d):
     return top_n(
         table(spark, d, "orders").select("o_orderkey", "o_totalprice"), 10, F.col("o_totalprice").desc(), F.col("o_orderkey")
     )
+
+
+@query(
+    "surrogate_key",
+    "SELECT c_name, 999 + row_number() OVER (ORDER BY c_name) AS customer_id FROM customer",
+)
+def customer_ids(spark, d):
+    return surrogate_key(table(spark, d, "customer").select("c_name"), ["c_name"], "customer_id", seed=1000)

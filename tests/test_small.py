@@ -77,6 +77,15 @@ def test_salary_exercises(spark):
     assert sorted(map(tuple, aggregates.distinct_list(df, ["dept"], "n", "l").collect())) == [("i", "c"), ("s", "a,b")]
 
 
+def test_long_lists_are_paged(spark):
+    df = spark.range(95).select((F.col("id") % 2).alias("k"), F.format_string("%03d", "id").alias("v"))
+    pages = aggregates.distinct_list(df.union(df), ["k"], "v", "l", page=10).collect()
+    assert max(r["l"].count(",") for r in pages) == 9
+    for k in (0, 1):
+        joined = ",".join(r["l"] for r in sorted(pages, key=lambda r: r["page_no"]) if r["k"] == k)
+        assert joined.split(",") == [f"{i:03d}" for i in range(k, 95, 2)]
+
+
 def test_group_average_join_equals_window(spark):
     from pyspark.sql import Window
     df = spark.createDataFrame([("x", 1.0), ("x", 3.0), ("y", 5.0), (None, 7.0)], "k string, v double")
