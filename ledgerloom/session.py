@@ -40,8 +40,9 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path under the shared folder for a table written by a job."""
-    return f"{shared_dir(spark).rstrip('/')}/ledgerloom/{name}-{uuid.uuid4().hex}"
+    """A fresh path for a table written by a job, in the application's own part of the shared folder."""
+    application = spark.sparkContext.applicationId
+    return f"{shared_dir(spark).rstrip('/')}/ledgerloom/{application}/{name}-{uuid.uuid4().hex}"
 
 
 def written_table(df: DataFrame, name: str) -> DataFrame:
