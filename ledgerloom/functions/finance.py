@@ -57,7 +57,7 @@ def implied_rate(
     ``target = -residual``. NULL when the steps do not settle.
 
     A root search has no closed form, and Spark evaluates a folded lambda node by node
-    (measured: over ten times slower), so batches go to numpy through Arrow.
+    (measured: about five times slower), so batches go to numpy through Arrow.
     """
 
     @F.pandas_udf(T.DoubleType())
