@@ -8,6 +8,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ledgerloom.operators.joins import require_unique
 from ledgerloom.operators.ordered import ordered_lead
 
 FROM, TO = "valid_from", "valid_to"
@@ -45,8 +46,11 @@ def build_history(
 
 
 def apply_changes(history: DataFrame, changes: DataFrame, keys: Sequence[str], at: str) -> DataFrame:
-    """Add one batch with at most one later change per key: close the open versions, open new ones."""
-    fresh = changes.withColumn(FROM, F.col(at).cast("timestamp_ntz")).withColumn(TO, open_end())
+    """Add one batch with at most one later change per key: close the open versions, open new ones.
+
+    A key that changes twice in the batch fails the job.
+    """
+    fresh = require_unique(changes, keys, "batch of changes").withColumn(FROM, F.col(at).cast("timestamp_ntz")).withColumn(TO, open_end())
     cut = fresh.select(*[F.col(k).alias(f"__{k}") for k in keys], F.col(FROM).alias("__cut"))
     cond = is_current()
     for k in keys:

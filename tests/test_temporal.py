@@ -1,5 +1,6 @@
 from datetime import datetime
 
+import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -57,3 +58,10 @@ def test_increment_equals_rebuild(spark):
     whole = temporal.build_history(log.filter("event_id <> 2"), ["k"], "at", "event_id")
     pick = lambda df: sorted((r["k"], r["v"], str(r["valid_from"]), str(r["valid_to"])) for r in df.collect())
     assert pick(step) == pick(whole)
+
+
+def test_increment_with_a_repeated_key_raises(spark):
+    log = changes(spark).filter("not gone")
+    first = temporal.build_history(log.filter("event_id = 1"), ["k"], "at", "event_id")
+    with pytest.raises(Exception, match="not unique"):
+        temporal.apply_changes(first, log.filter("event_id in (2, 3)"), ["k"], "at").collect()
