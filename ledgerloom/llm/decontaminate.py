@@ -16,7 +16,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.tables import saved
+from ledgerloom.llm.tables import carried, restored, saved
 from ledgerloom.llm.tokens import WordCodes, folded_words, run_hashes
 
 #: Bits of the map of benchmark shingles. The map is this large whatever the input: when a benchmark outgrows it,
@@ -30,14 +30,14 @@ def item_windows(items: DataFrame, item: str, text: str, window: int) -> DataFra
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             rows = []
-            for name, t in zip(batch["item"], batch["text"]):
+            for name, t in zip(batch["doc"], batch["text"]):
                 words = folded_words(t)
                 n = min(window, len(words))
                 rows += [(name, b" ".join(words[i : i + n]).decode()) for i in range(len(words) - n + 1) if n]
-            yield pd.DataFrame(rows, columns=["item", "words"])
+            yield pd.DataFrame(rows, columns=["doc", "words"])
 
-    schema = f"item {items.schema[item].dataType.simpleString()}, words string"
-    return items.select(F.col(item).alias("item"), F.col(text).alias("text")).mapInPandas(cut, schema)
+    found = items.select(carried(item).alias("doc"), F.col(text).alias("text")).mapInPandas(cut, "doc string, words string")
+    return found.select(restored(items, item).alias("item"), "words")
 
 
 def _map_of(windows: DataFrame, shingle: int) -> tuple[np.ndarray, list[int], int]:
@@ -77,7 +77,7 @@ def _matching_runs(docs: DataFrame, bits: np.ndarray, widths: list[int], fewest:
                 runs.append(_runs(words, codes.of(words), bits, widths, fewest))
             yield pd.DataFrame({"doc": batch["doc"], "row": batch["row"], "n_words": counts, "runs": runs})
 
-    schema = f"doc {docs.schema['doc'].dataType.simpleString()}, row long, n_words long, runs array<struct<start:int,words:string>>"
+    schema = "doc string, row long, n_words long, runs array<struct<start:int,words:string>>"
     return docs.mapInPandas(find, schema)
 
 
@@ -111,7 +111,7 @@ def contaminated_words(
     """
     windows = saved(item_windows(items, item, item_text, window), "windows")
     bits, widths, fewest = _map_of(windows, shingle)
-    rows = docs.select(F.col(doc).alias("doc"), F.col(text).alias("text"), F.monotonically_increasing_id().alias("row"))
+    rows = docs.select(carried(doc).alias("doc"), F.col(text).alias("text"), F.monotonically_increasing_id().alias("row"))
     # The row numbers are part of the written table, so everything below agrees on them.
     seen = saved(_matching_runs(rows, bits, widths, fewest), "runs")
 
@@ -152,7 +152,7 @@ def contaminated_words(
     named = named.groupBy("row").agg(F.sort_array(F.collect_set(F.col("item").cast("string"))).alias("items"))
     found = hit.join(named, "row", "left").withColumnRenamed("row", "hit_row")
     return seen.join(found, seen.row == found.hit_row, "left").select(
-        F.col("doc").alias(doc), "n_words", F.coalesce("n_hit", F.lit(0)).alias("n_hit"),
+        restored(docs, doc), "n_words", F.coalesce("n_hit", F.lit(0)).alias("n_hit"),
         F.coalesce("items", F.array().cast("array<string>")).alias("items"),
     )
 

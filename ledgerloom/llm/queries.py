@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.llm.decontaminate import contaminated, contaminated_words
 from ledgerloom.llm.sql import SQL as ORACLE
+from ledgerloom.llm.substrings import without_repeats
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -17,6 +18,11 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = without_repeats(_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = contaminated_words(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
     return found.select(
@@ -26,6 +32,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op2_substring_dedup": op2_substring_dedup,
     "op10_decontamination": op10_decontamination,
 }
 SQL: dict[str, str] = {name: sql for name, sql in ORACLE.items() if name in QUERIES}

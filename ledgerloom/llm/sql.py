@@ -28,3 +28,25 @@ SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, CAST(coalesce(h.n_hit, 0)
   coalesce(h.n_hit, 0) > 0 AND 20 * coalesce(h.n_hit, 0) >= len(d.w) AS contaminated
 FROM dw d LEFT JOIN hit h USING (doc_id) LEFT JOIN its i USING (doc_id)
 """
+
+SQL["op2_substring_dedup"] = r"""
+WITH dw AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+), runs AS (
+  SELECT doc_id, i, md5(array_to_string(w[i : i + 34], ' ')) AS h
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 33)) AS i FROM dw WHERE len(w) >= 35)
+), gone AS (
+  SELECT DISTINCT doc_id, unnest(range(i, i + 35)) AS p
+  FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY h) AS n FROM runs) WHERE n > 1
+), word AS (
+  SELECT d.doc_id, d.p, d.word, g.p IS NOT NULL AS removed
+  FROM (SELECT doc_id, unnest(range(1, len(w) + 1)) AS p, unnest(w) AS word FROM dw) d
+  LEFT JOIN gone g ON g.doc_id = d.doc_id AND g.p = d.p
+), per AS (
+  SELECT doc_id, count(*) FILTER (WHERE removed) AS n_removed, string_agg(word, ' ' ORDER BY p) FILTER (WHERE NOT removed) AS kept
+  FROM word GROUP BY doc_id
+)
+SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, CAST(coalesce(p.n_removed, 0) AS BIGINT) AS n_removed,
+  sha256(coalesce(p.kept, '')) AS kept_sha256
+FROM dw d LEFT JOIN per p USING (doc_id)
+"""

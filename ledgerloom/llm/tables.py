@@ -30,3 +30,13 @@ def n_words(text: str | Column) -> Column:
 def saved(df: DataFrame, name: str) -> DataFrame:
     """Write to the shared folder and read back, which cuts the lineage and survives lost executors."""
     return written_table(df, name)
+
+
+def carried(column: str) -> Column:
+    """An id as text for the way through pandas, where a column of numbers with NULLs would turn into floats."""
+    return F.col(column).cast("string")
+
+
+def restored(df: DataFrame, column: str, held: str = "doc") -> Column:
+    """The id back in its own type."""
+    return F.col(held).cast(df.schema[column].dataType).alias(column)
