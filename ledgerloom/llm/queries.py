@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.llm.decontaminate import contaminated, contaminated_words
+from ledgerloom.llm.quality import quality_scores
 from ledgerloom.llm.sql import SQL as ORACLE
 from ledgerloom.llm.substrings import without_repeats
 
@@ -23,6 +24,10 @@ def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_scores(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = contaminated_words(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
     return found.select(
@@ -33,6 +38,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op2_substring_dedup": op2_substring_dedup,
+    "op9_quality": op9_quality,
     "op10_decontamination": op10_decontamination,
 }
 SQL: dict[str, str] = {name: sql for name, sql in ORACLE.items() if name in QUERIES}
