@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.llm.decontaminate import contaminated, contaminated_words
+from ledgerloom.llm.near import near_duplicates
 from ledgerloom.llm.quality import quality_scores
 from ledgerloom.llm.sql import SQL as ORACLE
 from ledgerloom.llm.substrings import without_repeats
@@ -24,6 +25,10 @@ def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op8_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(_table(spark, sf_dir, "documents"))[0]
+
+
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_scores(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
@@ -38,6 +43,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op2_substring_dedup": op2_substring_dedup,
+    "op8_minhash_near_dedup": op8_minhash_near_dedup,
     "op9_quality": op9_quality,
     "op10_decontamination": op10_decontamination,
 }
