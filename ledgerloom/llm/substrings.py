@@ -25,8 +25,17 @@ from ledgerloom.llm.tokens import SECOND, WordCodes, plain_words, run_hashes
 
 #: Text of a chunk and of a bucket's share, in bytes: what one task holds at a time, whatever the input.
 CHUNK_BYTES = 6 << 20
-_WIRE = "bucket long, chunk long, high binary, low binary, at binary"
-_SINGLE, _NO_POSITION = np.uint32(1 << 31), np.uint32((1 << 31) - 1)
+_WIRE = "bucket long, chunk long, high binary, low binary, at binary, known binary, reference binary"
+_COLUMNS = [c.split()[0] for c in _WIRE.split(", ")]
+
+
+def _pack(at: np.ndarray) -> bytes:
+    """Ascending positions as steps, the bytes of one weight together, so that the shuffle's compression finds zeros."""
+    return np.diff(at, prepend=0).astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes()
+
+
+def _unpack(data: bytes) -> np.ndarray:
+    return np.cumsum(np.frombuffer(data, np.uint8).reshape(4, -1).T.copy().view("<u4").ravel(), dtype=np.int64)
 
 
 class _Chunk:
@@ -53,40 +62,40 @@ class _Chunk:
 def _send(chunk: int, high: np.ndarray, low: np.ndarray, at: np.ndarray, reference: np.ndarray, buckets: int) -> pd.DataFrame:
     """Merge equal hashes and deal them to buckets.
 
-    A hash met twice here is known to be repeated: its positions go to ``done`` (bucket -1 - chunk), and one entry without
-    a position tells the other chunks about it. ``reference``: whether the entry belongs to the index.
+    A hash met twice here is known to be repeated: its positions pass by as they are (bucket -1 - chunk), and one ``known``
+    entry tells the other chunks about it. ``reference``: whether the entry belongs to the index.
     """
     order = np.lexsort((low, high))
     high, low, at, reference = high[order], low[order], at[order], reference[order]
     new = np.ones(len(high), bool)
     new[1:] = (high[1:] != high[:-1]) | (low[1:] != low[:-1])
     group = np.cumsum(new) - 1
-    many = np.bincount(group, minlength=int(new.sum())) > 1 if len(group) else np.empty(0, bool)
-    again = many[group] if len(group) else np.empty(0, bool)
+    known = (np.bincount(group, minlength=1) > 1)[group] if len(group) else np.empty(0, bool)
     out = []
-    if again.any():
-        out.append((-1 - chunk, chunk, b"", b"", np.sort(at[again]).astype(np.uint32).tobytes()))
-    high, low, again = high[new], low[new], again[new]
-    entry = np.where(again, _NO_POSITION, at[new].astype(np.uint32)) | np.where(again | reference[new], _SINGLE, 0).astype(np.uint32)
-    # High bits choose the bucket, so hashes of a bucket differ in the bits that are sent.
+    if known.any():
+        out.append((-1 - chunk, chunk, b"", b"", _pack(np.sort(at[known])), b"", b""))
+    high, low, at, known, reference = high[new], low[new], at[new], known[new], (reference | known)[new]
+    # High bits choose the bucket, so hashes of a bucket differ in the bits that are sent: 32 more, or 64 with ``low``.
     bucket = ((high >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
-    order = np.lexsort((at[new], bucket))
-    cut = np.flatnonzero(np.diff(bucket[order])) + 1
-    for own in np.split(order, cut):
+    order = np.lexsort((at, bucket))
+    for own in np.split(order, np.flatnonzero(np.diff(bucket[order])) + 1):
         if len(own):
-            out.append((int(bucket[own[0]]), chunk, high[own].tobytes(), low[own].tobytes(), entry[own].tobytes()))
-    return pd.DataFrame(out, columns=["bucket", "chunk", "high", "low", "at"])
+            sent = (high[own].astype(np.uint32).tobytes(), low[own].tobytes(), _pack(at[own]))
+            out.append((int(bucket[own[0]]), chunk, *sent, np.packbits(known[own]).tobytes(), np.packbits(reference[own]).tobytes()))
+    return pd.DataFrame(out, columns=_COLUMNS)
 
 
 def _repeated(rows: pd.DataFrame) -> pd.DataFrame:
     """Of one bucket: the positions, by chunk, whose hash stands there twice, at least once from the index."""
-    done = rows[rows["bucket"] < 0]
-    if len(done):
-        return pd.DataFrame({"chunk": done["chunk"], "at": done["at"]})
-    sizes = np.array([len(a) // 4 for a in rows["at"]])
-    entry = np.frombuffer(b"".join(rows["at"]), np.uint32)
-    high, low = b"".join(rows["high"]), np.frombuffer(b"".join(rows["low"]), np.uint64)
-    high = np.frombuffer(high, np.uint64 if len(low) else np.uint32)
+    if rows["bucket"].iloc[0] < 0:
+        return rows[["chunk", "at"]]
+    sizes = [len(a) // 4 for a in rows["at"]]
+    at = np.concatenate([_unpack(a) for a in rows["at"]])
+    known, reference = (
+        np.concatenate([np.unpackbits(np.frombuffer(b, np.uint8), count=n).astype(bool) for b, n in zip(rows[c], sizes)])
+        for c in ("known", "reference")
+    )
+    high, low = np.frombuffer(b"".join(rows["high"]), np.uint32), np.frombuffer(b"".join(rows["low"]), np.uint64)
     keys = (low, high) if len(low) else (high,)
     order = np.lexsort(keys)
     new = np.ones(len(order), bool)
@@ -94,29 +103,23 @@ def _repeated(rows: pd.DataFrame) -> pd.DataFrame:
     group = np.empty(len(order), np.int64)
     group[order] = np.cumsum(new) - 1
     n = int(new.sum())
-    live = (np.bincount(group, minlength=n) > 1) & (np.bincount(group, (entry & _SINGLE) > 0, minlength=n) > 0)
-    position = entry & _NO_POSITION
-    take = live[group] & (position != _NO_POSITION)
-    taken = np.flatnonzero(take)
-    ends = np.searchsorted(taken, np.cumsum(sizes))
-    parts = np.split(position[taken], ends[:-1])
-    return pd.DataFrame([(c, p.tobytes()) for c, p in zip(rows["chunk"], parts) if len(p)], columns=["chunk", "at"])
+    live = (np.bincount(group, minlength=n) > 1) & (np.bincount(group, reference, minlength=n) > 0)
+    taken = np.flatnonzero(live[group] & ~known)
+    parts = np.split(at[taken], np.searchsorted(taken, np.cumsum(sizes))[:-1])
+    return pd.DataFrame([(c, _pack(p)) for c, p in zip(rows["chunk"], parts) if len(p)], columns=["chunk", "at"])
 
 
 def _positions(rows: pd.DataFrame) -> np.ndarray:
-    return np.sort(np.frombuffer(b"".join(rows["at"]), np.uint32)).astype(np.int64) if len(rows) else np.empty(0, np.int64)
+    return np.concatenate([np.empty(0, np.int64), *map(_unpack, rows["at"])])
 
 
 def _probe(block: int, buckets: int) -> Callable[[pd.DataFrame], pd.DataFrame]:
     def probe(docs: pd.DataFrame) -> pd.DataFrame:
         own = _Chunk(docs)
         h, at = own.hashes(block)
-        reference = own.offset(at) % block == 0
-        sent = _send(int(docs["chunk"].iloc[0]), h, np.zeros(len(h), np.uint64), at, reference, buckets)
-        # 32 bits beside the bucket are enough to find candidates; they are compared in full later.
-        sent["high"] = [np.frombuffer(b, np.uint64).astype(np.uint32).tobytes() for b in sent["high"]]
-        sent["low"] = b""
-        return sent
+        # Bucket and 32 bits are enough to find candidates; what they lead to is compared on more than 96 bits.
+        sent = _send(int(docs["chunk"].iloc[0]), h, np.zeros(len(h), np.uint8), at, own.offset(at) % block == 0, buckets)
+        return sent.assign(low=b"")
 
     return probe
 
@@ -124,7 +127,7 @@ def _probe(block: int, buckets: int) -> Callable[[pd.DataFrame], pd.DataFrame]:
 def _extend(window: int, block: int, buckets: int) -> Callable[[pd.DataFrame, pd.DataFrame], pd.DataFrame]:
     def extend(docs: pd.DataFrame, hits: pd.DataFrame) -> pd.DataFrame:
         if not len(docs) or not len(hits):
-            return pd.DataFrame([], columns=["bucket", "chunk", "high", "low", "at"])
+            return pd.DataFrame([], columns=_COLUMNS)
         own = _Chunk(docs)
         first, at = own.hashes(window)
         second, _ = own.hashes(window, second=True)
