@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.llm.decontaminate import contaminated, contaminated_words
+from ledgerloom.llm.lines import without_repeated_lines
 from ledgerloom.llm.near import near_duplicates
 from ledgerloom.llm.quality import quality_scores
 from ledgerloom.llm.sql import SQL as ORACLE
@@ -25,6 +26,11 @@ def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = without_repeated_lines(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "n_lines", "n_removed", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+
+
 def op8_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"))[0]
 
@@ -43,6 +49,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op2_substring_dedup": op2_substring_dedup,
+    "op4_line_dedup": op4_line_dedup,
     "op8_minhash_near_dedup": op8_minhash_near_dedup,
     "op9_quality": op9_quality,
     "op10_decontamination": op10_decontamination,
