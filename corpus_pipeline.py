@@ -1,26 +1,73 @@
-"""A corpus pipeline: each stage applies one operator to what the stage before has kept."""
+"""A corpus pipeline: each stage applies one operator to what the stage before has kept.
+
+Ids are taken to be unique, as in ``documents``. Rows that share an id, NULL being one, are dropped together by the
+quality and the benchmark stage. The stages hand on the columns of ``documents`` (the last one gives the mix); further
+columns stay with their rows. An empty table stays empty through all stages.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ledgerloom.llm.decontaminate import contaminated, contaminated_words
+from ledgerloom.llm.lines import without_repeated_lines
+from ledgerloom.llm.mixing import mixed
+from ledgerloom.llm.near import near_duplicates
+from ledgerloom.llm.quality import quality_scores
 from ledgerloom.llm.tables import saved
 
 
-def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop the documents of which a twentieth of the words or more stands in benchmark windows.
+def _with_ids(docs: DataFrame, ids: DataFrame, how: str) -> DataFrame:
+    ids = ids.select(F.col("doc_id").alias("__id")).distinct()
+    return docs.join(ids, docs["doc_id"].eqNullSafe(ids["__id"]), how).select(docs.columns)
+
 
-    Ids are taken to be unique, as in ``documents``; rows with a repeated id go together. A NULL id is kept.
+def drop_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drop the documents that the classifier rejects; it learns from the labelled ones among ``docs``.
+
+    NULL texts are scored as empty ones.
     """
+    scores = quality_scores(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return _with_ids(docs, scores.where("predicted = 0"), "left_anti")
+
+
+def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Delete later copies of repeated runs of lines from the texts. All rows stay, emptied ones too."""
+    found = without_repeated_lines(docs)
+    if "n_chars" in docs.columns:
+        found = found.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+    return found.select(docs.columns)
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keep one document of each group of near or exact copies: the one with the smallest id.
+
+    Empty texts are copies of each other; NULL texts are not. Of rows alike in id and text one stays.
+    """
+    members, _ = near_duplicates(docs)
+    return _with_ids(docs, members.where("kept"), "left_semi").dropDuplicates(["doc_id", "text"])
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drop the documents of which a twentieth of the words or more stands in benchmark windows."""
     found = contaminated_words(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
-    bad = found.where(contaminated()).select("doc_id").distinct()
-    return docs.join(bad, "doc_id", "left_anti").select(docs.columns)
+    return _with_ids(docs, found.where(contaminated()), "left_anti")
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """How often the mix takes each document: ``(doc_id, source, size, source_size, target, copies, taken)``."""
+    return mixed(docs)
 
 
 STAGES = [
-    ("benchmark decontamination", decontaminate),
+    ("quality classifier", drop_low_quality),
+    ("line dedup", drop_repeated_lines),
+    ("near-duplicate documents", drop_near_duplicates),
+    ("benchmark decontamination", drop_contaminated),
+    ("mixing to target weights", mix_sources),
 ]
+#: The classifier and the draws of the mix are beyond SQL; tests compare the run with a brute-force version.
 ORACLE_SQL = None
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.llm.decontaminate import contaminated, contaminated_words
 from ledgerloom.llm.lines import without_repeated_lines
+from ledgerloom.llm.mixing import mixed
 from ledgerloom.llm.near import near_duplicates
 from ledgerloom.llm.quality import quality_scores
 from ledgerloom.llm.sql import SQL as ORACLE
@@ -31,6 +32,11 @@ def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_lines", "n_removed", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
 
 
+def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = mixed(_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "size", "source_size", "target", "taken", "source", "copies")
+
+
 def op8_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"))[0]
 
@@ -50,6 +56,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op2_substring_dedup": op2_substring_dedup,
     "op4_line_dedup": op4_line_dedup,
+    "op5_mixing": op5_mixing,
     "op8_minhash_near_dedup": op8_minhash_near_dedup,
     "op9_quality": op9_quality,
     "op10_decontamination": op10_decontamination,
