@@ -11,9 +11,11 @@ from ledgerloom.llm.decontaminate import contaminated, contaminated_words
 from ledgerloom.llm.lines import without_repeated_lines
 from ledgerloom.llm.mixing import mixed
 from ledgerloom.llm.near import near_duplicates
+from ledgerloom.llm.pages import extracted
 from ledgerloom.llm.quality import quality_scores
 from ledgerloom.llm.sql import SQL as ORACLE
 from ledgerloom.llm.substrings import without_repeats
+from ledgerloom.llm.warc import derivatives, page_responses
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -37,6 +39,19 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "size", "source_size", "target", "taken", "source", "copies")
 
 
+def op6_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = extracted(_table(spark, sf_dir, "pages"))
+    return found.select("page_id", "url", "text", F.length("text").cast("bigint").alias("n_chars"))
+
+
+def op7_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    responses = page_responses(_table(spark, sf_dir, "pages"), date="2024-05-17T00:00:00Z")
+    return derivatives(responses).select(
+        "source_id", "record_type", "record_id", "refers_to", "target_uri", "date", "content_type", "payload_digest", "block_digest",
+        "content_length", F.sha2("source_headers", 256).alias("headers_sha256"), F.sha2("block", 256).alias("block_sha256"),
+    )
+
+
 def op8_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"))[0]
 
@@ -57,6 +72,8 @@ QUERIES: dict[str, Query] = {
     "op2_substring_dedup": op2_substring_dedup,
     "op4_line_dedup": op4_line_dedup,
     "op5_mixing": op5_mixing,
+    "op6_html_extraction": op6_html_extraction,
+    "op7_warc_derivatives": op7_warc_derivatives,
     "op8_minhash_near_dedup": op8_minhash_near_dedup,
     "op9_quality": op9_quality,
     "op10_decontamination": op10_decontamination,
