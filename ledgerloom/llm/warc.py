@@ -17,17 +17,16 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ledgerloom.llm.pages import LineParser
 
 _NAMES = uuid.UUID("6ba7b811-9dad-11d1-80b4-00c04fd430c8")  # fixed value: the name space for URLs
 RESPONSE = "record_id string, target_uri string, date string, http string, payload string"
-RECORD = T.StructType.fromDDL(
+RECORD = (
     "source_id string, record_type string, record_id string, refers_to string, target_uri string, date string, content_type string, "
     "payload_digest string, block_digest string, content_length long, source_headers string, block string"
 )
-_COLUMNS = RECORD.fieldNames()
+_COLUMNS = [c.split()[0] for c in RECORD.split(", ")]
 
 
 def digest(data: bytes) -> str:
