@@ -15,6 +15,7 @@ from ledgerloom.llm.pages import extracted
 from ledgerloom.llm.quality import quality_scores
 from ledgerloom.llm.sql import SQL as ORACLE
 from ledgerloom.llm.substrings import without_repeats
+from ledgerloom.llm.surrogates import with_surrogates
 from ledgerloom.llm.warc import derivatives, page_responses
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -29,6 +30,11 @@ def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op3_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # A fixed key makes reruns of this query agree; a job brings its own secret.
+    return with_surrogates(_table(spark, sf_dir, "documents").select("doc_id", "text"), key="a key for this query only")
+
+
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = without_repeated_lines(_table(spark, sf_dir, "documents").select("doc_id", "text"))
     return found.select("doc_id", "n_lines", "n_removed", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
@@ -70,6 +76,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op2_substring_dedup": op2_substring_dedup,
+    "op3_pii_surrogates": op3_pii_surrogates,
     "op4_line_dedup": op4_line_dedup,
     "op5_mixing": op5_mixing,
     "op6_html_extraction": op6_html_extraction,
