@@ -8,8 +8,8 @@ a whole band are candidates, and every candidate pair is verified on the full we
 Equal texts are one class and only its representative goes on. A band may be shared by very many documents, so a bucket
 is not spelled out into pairs: its most central document (the pivot) is compared with all others. Only where the bucket
 then still falls into several components it is looked at again: all pairs across components in a bucket of up to
-``SMALL`` documents, and in larger ones new pivots, twice as many in each round, until every component in the bucket
-has had a pivot of its own that was compared with all documents of the others.
+``SMALL`` documents, and for the documents of larger ones an exact join on the rarest part of their sets. So every pair in
+a bucket that reaches the threshold and could join two components is found.
 """
 
 from __future__ import annotations
@@ -35,11 +35,11 @@ SEED = 20240517
 
 
 @lru_cache(maxsize=2)
-def _draws(samples: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Gamma(2, 1), the log of Gamma(2, 1), and uniform draws."""
+def _draws(samples: int) -> tuple[np.ndarray, ...]:
+    """Random numbers of a sample: r and c from Gamma(2, 1), beta uniform; as r, 1 / r, beta, log c + r * (beta - 1)."""
     u = np.random.default_rng(SEED).random((5, DRAWS, samples)) + 1e-300
-    r, c = -np.log(u[0] * u[1]), np.log(-np.log(u[2] * u[3]))
-    return r.astype(np.float32), c.astype(np.float32), u[4].astype(np.float32)
+    r, log_c, beta = -np.log(u[0] * u[1]), np.log(-np.log(u[2] * u[3])), u[4]
+    return tuple(x.astype(np.float32) for x in (r, 1 / r, beta, log_c + r * (beta - 1)))
 
 
 def weighted_set(codes: np.ndarray, idf: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -60,15 +60,20 @@ def sample_bands(hashes: np.ndarray, weights: np.ndarray, bands: int, depth: int
     if not len(hashes):
         return []
     n = bands * depth
-    gamma, log_c, beta = _draws(n)
+    r, inverse, beta, rest = _draws(n)
     best, chosen = np.full(n, np.inf, np.float32), np.zeros(n, np.uint64)
     column = np.arange(n)
     for i in range(0, len(hashes), 1024):
         h = hashes[i : i + 1024]
         slot = (h % np.uint64(DRAWS)).astype(np.int64)
-        r, b = gamma[slot], beta[slot]
-        t = np.floor(np.log(weights[i : i + 1024]).astype(np.float32)[:, None] / r + b)
-        log_a = log_c[slot] - r * (t - b + np.float32(1))
+        # t = floor(log w / r + beta); log a = log c - r * (t - beta + 1); the smallest a wins.
+        t = inverse[slot]
+        t *= np.log(weights[i : i + 1024]).astype(np.float32)[:, None]
+        t += beta[slot]
+        np.floor(t, out=t)
+        log_a = r[slot]
+        log_a *= t
+        np.subtract(rest[slot], log_a, out=log_a)
         k = log_a.argmin(0)
         value = log_a[k, column]
         name = mix(h[k] ^ mix(t[k, column].astype(np.int64).view(np.uint64)))
@@ -147,15 +152,56 @@ def _verified(pairs: DataFrame, texts: DataFrame, idf, width: int, threshold: fl
     )
 
 
-def _pivots(members: DataFrame, extra: list) -> DataFrame:
-    """The most central member of each bucket (and each part of it)."""
-    return members.groupBy("key", *extra).agg(F.max_by("row", F.struct("central", -F.col("row"))).alias("pivot"))
+def _slot_counts(texts: DataFrame, width: int) -> np.ndarray:
+    """How many of the texts have a shingle in each of ``SLOTS`` slots."""
+
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        codes, seen = WordCodes(), np.zeros(SLOTS, np.int64)
+        for batch in batches:
+            for t in batch["text"]:
+                words = codes.of(folded_words(t))
+                seen[np.unique(run_hashes(words, min(width, len(words))) % np.uint64(SLOTS)).astype(np.int64)] += 1
+        at = np.flatnonzero(seen)
+        yield pd.DataFrame({"slot": at, "n": seen[at]})
+
+    found = texts.select("text").mapInPandas(count, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n")).toPandas()
+    n = np.zeros(SLOTS, np.int64)
+    n[found["slot"].to_numpy(np.int64)] = found["n"].to_numpy(np.int64)
+    return n
 
 
-def _compared(pivots: DataFrame, members: DataFrame, where) -> DataFrame:
-    """Distinct pairs ``(a, b)``, a > b, of each pivot with the members of its bucket."""
-    pairs = members.join(pivots, "key").where(F.col("row") != F.col("pivot")).where(where)
-    return pairs.select(F.greatest("row", "pivot").alias("a"), F.least("row", "pivot").alias("b")).distinct()
+def _joined_on_prefixes(rows: DataFrame, texts: DataFrame, idf, width: int, threshold: float) -> DataFrame:
+    """Pairs ``(a, b)`` of rows ``(row, part)`` in different parts that may reach the threshold: none that does is missing.
+
+    Shingles are ordered by rarity. Two sets that reach the threshold share a shingle within the first ``1 - threshold`` of the
+    weight of each, and at the first shared one, what lies before it and the sizes bound what they can have in common.
+    A shingle all of whose rows are in one part is dropped; of the others only rows outside the shingle's largest part
+    look for partners, so a large group of copies isn't compared with itself.
+    """
+    own = texts.join(rows, "row")
+    rare = rows.sparkSession.sparkContext.broadcast(_slot_counts(own, width))  # SLOTS numbers
+
+    def prefixes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        codes = WordCodes()
+        for batch in batches:
+            for row, part, t in zip(batch["row"], batch["part"], batch["text"]):
+                h, w = weighted_set(codes.of(folded_words(t)), idf.value, width)
+                order = np.lexsort((h, rare.value[(h % np.uint64(SLOTS)).astype(np.int64)]))
+                before = np.cumsum(w[order]) - w[order]
+                keep = before <= (1 - threshold) * w.sum() + 1e-6
+                yield pd.DataFrame({"token": h[order][keep].view(np.int64), "row": row, "part": part, "before": before[keep], "total": w.sum()})
+
+    schema = "token long, row long, part long, before double, total double"
+    tokens = saved(own.select("row", "part", "text").mapInPandas(prefixes, schema), "prefixes")
+    per = tokens.groupBy("token", "part").agg(F.count(F.lit(1)).alias("n"))
+    main = per.groupBy("token").agg(F.max_by("part", F.struct("n", "part")).alias("main"), F.count(F.lit(1)).alias("parts")).where("parts > 1")
+    tokens = tokens.join(main.drop("parts"), "token")
+    x = tokens.where("part <> main").select("token", F.col("row").alias("x"), F.col("part").alias("px"), F.col("before").alias("bx"), F.col("total").alias("wx"))
+    common = F.least(F.col("wx") - F.col("bx"), F.col("total") - F.col("before"))
+    enough = common >= threshold / (1 + threshold) * (F.col("wx") + F.col("total")) - 1e-6
+    once = (F.col("part") == F.col("main")) | (F.col("x") > F.col("row"))
+    met = x.join(tokens, (x["token"] == tokens["token"]) & (F.col("px") != F.col("part")) & once & enough)
+    return met.select(F.greatest("x", "row").alias("a"), F.least("x", "row").alias("b")).distinct()
 
 
 def near_duplicates(
@@ -197,34 +243,22 @@ def near_duplicates(
     texts = docs.select(*key, F.col(text).alias("text")).join(wanted, ["k1", "k2"]).groupBy("k1", "k2")
     texts = saved(texts.agg(F.first("row").alias("row"), F.first("text").alias("text")).select("row", "text"), "texts")
 
-    used = saved(_pivots(members, []), "pivots")
-    pairs = saved(_compared(used, members, F.lit(True)), "pairs")
-    links = saved(_verified(pairs, texts, idf, width, threshold), "links")
-    tested, slices = pairs, 1
-    while True:
-        label = components(links)
-        named = members.join(label, members.row == label.id, "left").select(
-            "key", "row", "n", "central", F.coalesce("component", "row").alias("part")
-        )
-        several = named.groupBy("key").agg(F.min("part").alias("lo"), F.max("part").alias("hi")).where("lo <> hi").select("key")
-        named = saved(named.join(several, "key"), "open")
-        small, large = named.where(F.col("n") <= SMALL), named.where(F.col("n") > SMALL)
-        others = small.select("key", F.col("row").alias("other"), F.col("part").alias("apart"))
-        across = small.join(others, "key").where("row > other and part <> apart")
-        across = across.select(F.col("row").alias("a"), F.col("other").alias("b"))
-        # Parts that have had no pivot in this bucket get one, of more parts in each round.
-        slices *= 2
-        had = used.select("key", F.col("pivot").alias("row")).join(large, ["key", "row"]).select("key", "part").distinct()
-        left = large.join(had, ["key", "part"], "left_anti")
-        left = left.withColumn("slice", F.pmod(F.xxhash64("part"), F.lit(slices)))
-        heads = saved(_pivots(left, ["slice"]).select("key", "pivot"), "pivots")
-        heads_part = heads.join(large.select("key", F.col("row").alias("pivot"), F.col("part").alias("apart")), ["key", "pivot"])
-        onward = _compared(heads_part, large, F.col("part") != F.col("apart"))
-        pairs = saved(across.unionByName(onward).distinct().join(tested, ["a", "b"], "left_anti"), "pairs")
-        if pairs.isEmpty():
-            break
-        links = saved(links.unionByName(_verified(pairs, texts, idf, width, threshold)), "links")
-        tested, used = saved(tested.unionByName(pairs), "tested"), used.unionByName(heads)
+    pivots = members.groupBy("key").agg(F.max_by("row", F.struct("central", -F.col("row"))).alias("pivot"))
+    pairs = members.join(pivots, "key").where("row <> pivot").select(F.greatest("row", "pivot").alias("a"), F.least("row", "pivot").alias("b"))
+    tested = saved(pairs.distinct(), "pairs")
+    links = saved(_verified(tested, texts, idf, width, threshold), "links")
+    label = components(links)
+    named = members.join(label, members.row == label.id, "left").select("key", "row", "n", F.coalesce("component", "row").alias("part"))
+    several = named.groupBy("key").agg(F.min("part").alias("lo"), F.max("part").alias("hi")).where("lo <> hi").select("key")
+    named = saved(named.join(several, "key"), "open")
+    small = named.where(F.col("n") <= SMALL)
+    others = small.select("key", F.col("row").alias("other"), F.col("part").alias("apart"))
+    across = small.join(others, "key").where("row > other and part <> apart").select(F.col("row").alias("a"), F.col("other").alias("b"))
+    large = saved(named.where(F.col("n") > SMALL).select("row", "part").distinct(), "large")
+    onward = _joined_on_prefixes(large, texts, idf, width, threshold)
+    pairs = saved(across.unionByName(onward).distinct().join(tested, ["a", "b"], "left_anti"), "pairs")
+    links = saved(links.unionByName(_verified(pairs, texts, idf, width, threshold)), "links")
+    label = components(links)
 
     found = classes.join(label, classes["first"]["row"] == label.id, "left").select(
         "h1", "h2", "first", F.coalesce("component", "first.row").alias("component")
