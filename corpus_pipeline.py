@@ -19,7 +19,8 @@ from ledgerloom.llm.tables import saved
 
 
 def _with_ids(docs: DataFrame, ids: DataFrame, how: str) -> DataFrame:
-    ids = ids.select(F.col("doc_id").alias("__id")).distinct()
+    # Shuffled whatever its size, so a small corpus shows what a large one costs.
+    ids = ids.select(F.col("doc_id").alias("__id")).distinct().hint("shuffle_merge")
     return docs.join(ids, docs["doc_id"].eqNullSafe(ids["__id"]), how).select(docs.columns)
 
 

@@ -106,7 +106,7 @@ def contaminated_words(
     """One row ``(doc, n_words, n_hit, items)`` per input row: words, words inside an occurrence, sorted item ids as text.
 
     Words are runs of digits, letters and non-ASCII characters after folding A-Z. A NULL or empty text has no words; a
-    NULL item never occurs. Rows with the same id are judged each on its own text. Items that share windows are
+    NULL item has no windows, and one without an id counts but is not named. Rows with the same id are judged each on its own text. Items that share windows are
     all named. Other columns of the inputs are not read. Empty tables give no hits.
     """
     windows = saved(item_windows(items, item, item_text, window), "windows")

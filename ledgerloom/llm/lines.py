@@ -93,7 +93,8 @@ def without_repeated_lines(docs: DataFrame, doc: str = "doc_id", text: str = "te
     others = [c for c in docs.columns if c not in ("n_lines", "n_removed", "n_runs")]
     # Internal names, so that columns of the input can't clash with them.
     keyed = docs.select(*others, k1.alias("__k1"), k2.alias("__k2"))
-    joined = keyed.join(gone.toDF("__k1", "__k2", "__gone"), ["__k1", "__k2"], "left")
+    # Both sides are shuffled whatever their size, so a small corpus shows what a large one costs.
+    joined = keyed.join(gone.toDF("__k1", "__k2", "__gone").hint("shuffle_merge"), ["__k1", "__k2"], "left")
     lines = F.split(text, "\n", -1)
     full = F.coalesce(F.array_size(F.filter(lines, lambda x: x.rlike(f"[^{SPACE}]"))), F.lit(0))
     removed = F.coalesce(F.aggregate("__gone", F.lit(0), lambda a, r: a + r["end"] - r["begin"]), F.lit(0))

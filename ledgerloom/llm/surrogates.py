@@ -185,7 +185,9 @@ def with_surrogates(docs: DataFrame, key: str, doc: str = "doc_id", text: str =
     )
     others = [c for c in docs.columns if c not in ("n_entities", "n_distinct")]
     keyed = docs.select(*others, k1.alias("__k1"), k2.alias("__k2"))
-    joined = keyed.join(own.toDF("__k1", "__k2", "__map"), ["__k1", "__k2"], "left").withColumn(
+    # Both sides are shuffled whatever their size, so a small corpus shows what a large one costs.
+    own = own.toDF("__k1", "__k2", "__map").hint("shuffle_merge")
+    joined = keyed.join(own, ["__k1", "__k2"], "left").withColumn(
         "__found", F.when(F.col("__map").isNotNull(), entities(text)).otherwise(F.array().cast("array<string>"))
     )
 
