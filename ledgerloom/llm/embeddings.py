@@ -16,6 +16,7 @@ vectors at once (linked with all of the other node, or none); only those in betw
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -90,8 +91,6 @@ def _angles(pairs: DataFrame, left: str = "left", right: str = "right") -> DataF
 
 def _centres(placed: DataFrame, dims: int) -> DataFrame:
     """``(node, n, length, centre)``: the normalised mean of each node's vectors, combined before the shuffle."""
-    wide = placed.withColumn("x", F.expr("transform(sequence(0, length - 1), i -> i)"))
-    del wide
 
     def unpack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -211,15 +210,17 @@ def _descended(nodes: DataFrame, graph: DataFrame, k: DataFrame | int, width: in
     return graph
 
 
-def neighbour_graph(nodes: DataFrame, reach: float, k: int = 6, rounds: int = 6, audit: int = 256, wanted: float = 0.9) -> tuple[DataFrame, float]:
-    """``(graph, recall)``: the edges ``(v, u, s)``, and the share of audited nearest neighbours that it has.
+def neighbour_graph(nodes: DataFrame, reach: float, k: int = 6, rounds: int = 5, audit: int = 256) -> tuple[DataFrame, float]:
+    """``(graph, recall)``: the edges ``(v, u, s)``, and the share of audited neighbours near enough for a link that it has.
 
     Lists of saturated nodes are doubled until none is saturated. ``audit`` nodes (a documented bound) are compared with
-    all others; while less than ``wanted`` of their nearest neighbours, or any neighbour near enough for a link, is missing, all
-    lists grow and the descent goes on, up to four times.
+    all others; while a neighbour near enough for a link is missing, all lists grow and the descent goes on, up
+    to four times.
     """
-    graph = saved(_best(_started(nodes, 10, 3, k), k), "graph")
-    graph = _descended(nodes, graph, k, k, rounds, 0.02)
+    # Hashes so long that a bucket holds about half a block.
+    bits = max(4, math.ceil(math.log2(max(2, nodes.count()) / (_BLOCK / 2))))
+    graph = saved(_best(_started(nodes, bits, 6, k), k), "graph")
+    graph = _descended(nodes, graph, k, k, rounds, 0.05)
     farthest = nodes.agg(F.max("radius")).first()[0] or 0.0
     radius = nodes.select(F.col("node").alias("v"), "radius")
     for turn in range(4):
@@ -233,47 +234,43 @@ def neighbour_graph(nodes: DataFrame, reach: float, k: int = 6, rounds: int = 6,
             width *= 2
             sizes = nodes.select(F.col("node").alias("v")).join(full.withColumn("k", F.lit(width)), "v", "left").select("v", F.coalesce("k", F.lit(k)).alias("k"))
             graph = _descended(nodes, graph, sizes, width, 2, 0.0)
-        recall, missed = _audited(nodes, graph, reach, farthest, audit)
-        if recall >= wanted and not missed:
+        recall = _audited(nodes, graph, reach, audit)
+        if recall == 1.0:
             break
         k *= 2
-        graph = _descended(nodes, graph, k, k, rounds, 0.02)
+        graph = _descended(nodes, graph, k, k, rounds, 0.05)
     return graph, recall
 
 
-def _audited(nodes: DataFrame, graph: DataFrame, reach: float, farthest: float, audit: int) -> tuple[float, int]:
-    """Recall of nearest neighbours of up to ``audit`` nodes, and how many possible links of theirs the graph lacks."""
+def _audited(nodes: DataFrame, graph: DataFrame, reach: float, audit: int) -> float:
+    """Of up to ``audit`` nodes, compared with all others: the share of their possible links that the graph has."""
     asked = nodes.select("node", "centre", "radius").orderBy(F.xxhash64("node")).limit(audit).toPandas()
     if len(asked) < 2:
-        return 1.0, 0
+        return 1.0
     ids, centres, radii = asked["node"].to_numpy(), _matrix(asked["centre"]), asked["radius"].to_numpy()
 
     def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            c = _matrix(batch["centre"])
+            c, own = _matrix(batch["centre"]), batch["node"].to_numpy()
             width = max(c.shape[1], centres.shape[1])
             s = np.pad(centres, ((0, 0), (0, width - centres.shape[1]))) @ np.pad(c, ((0, 0), (0, width - c.shape[1]))).T
-            s[ids[:, None] == batch["node"].to_numpy()[None, :]] = -2
             near = np.arccos(np.clip(s, -1, 1)) <= reach + radii[:, None] + batch["radius"].to_numpy()[None, :]
-            near[np.arange(len(ids)), s.argmax(1)] = True  # the nearest of this batch
-            i, j = np.nonzero(near & (s > -2))
-            yield pd.DataFrame({"v": ids[i], "u": batch["node"].to_numpy()[j], "s": s[i, j].astype(np.float32), "link": (np.arccos(np.clip(s[i, j], -1, 1)) <= reach + radii[i] + batch["radius"].to_numpy()[j])})
+            i, j = np.nonzero(near & (ids[:, None] != own[None, :]))
+            yield pd.DataFrame({"v": ids[i], "u": own[j]})
 
-    seen = nodes.select("node", "centre", "radius").mapInPandas(compare, "v long, u long, s float, link boolean")
-    first = seen.groupBy("v").agg(F.max("s").alias("top"))
-    known = graph.select("v", "u").unionByName(graph.select(F.col("u").alias("v"), F.col("v").alias("u"))).distinct().withColumn("known", F.lit(1))
-    judged = seen.join(first, "v").where("link or s = top").join(known, ["v", "u"], "left")
-    row = judged.agg(F.sum(F.when(F.col("s") == F.col("top"), F.coalesce("known", F.lit(0)))), F.count_if(F.col("s") == F.col("top")), F.count_if(F.col("link") & F.col("known").isNull())).first()
-    return (row[0] or 0) / max(1, row[1]), int(row[2])
+    near = nodes.select("node", "centre", "radius").mapInPandas(compare, "v long, u long")
+    known = graph.select("v", "u").unionByName(graph.select(F.col("u").alias("v"), F.col("v").alias("u"))).distinct()
+    found, total = near.join(known.withColumn("known", F.lit(1)), ["v", "u"], "left").agg(F.count("known"), F.count(F.lit(1))).first()
+    return found / total if total else 1.0
 
 
 def near_duplicate_vectors(
-    vectors: DataFrame, vec: str = "vec_id", embedding: str = "embedding", threshold: float = 0.95, passes: int = 4, bits: int = 10, k: int = 6
+    vectors: DataFrame, vec: str = "vec_id", embedding: str = "embedding", threshold: float = 0.95, passes: int = 4, k: int = 6
 ) -> DataFrame:
     """One row ``(vec, n_links, component_id, kept, recall)`` per input row.
 
     ``n_links``: other vectors with cosine ``threshold`` or more; ``component_id``: smallest id that links reach, itself
-    included; ``kept``: whether that is the row's own; ``recall``: what the audit of the neighbour graph found.
+    included; ``kept``: whether that is the row's own; ``recall``: the share of audited possible links that the graph has.
 
     NULL and zero vectors and those with NULL or non-finite components link with nothing, and so do vectors of
     different lengths. Equal vectors are links. Rows with the same id are vectors of their own. A NULL id is never the
@@ -283,6 +280,7 @@ def near_duplicate_vectors(
     rows = _prepared(vectors, vec, embedding)
     units = rows.where("unit is not null").select("row", "unit", "length")
     dims = units.agg(F.max("length")).first()[0] or 0
+    bits = max(8, math.ceil(math.log2(max(2, units.count()) / 8)))
     placed, nodes = _folded(units, dims, theta, passes, bits)
     graph, recall = neighbour_graph(nodes, theta, k)
 

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.llm.decontaminate import contaminated, contaminated_words
+from ledgerloom.llm.embeddings import near_duplicate_vectors
 from ledgerloom.llm.lines import without_repeated_lines
 from ledgerloom.llm.mixing import mixed
 from ledgerloom.llm.near import near_duplicates
@@ -25,6 +26,10 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicate_vectors(_table(spark, sf_dir, "embeddings"))
+
+
 def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = without_repeats(_table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
@@ -75,6 +80,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_embedding_dedup": op1_embedding_dedup,
     "op2_substring_dedup": op2_substring_dedup,
     "op3_pii_surrogates": op3_pii_surrogates,
     "op4_line_dedup": op4_line_dedup,
