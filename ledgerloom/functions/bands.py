@@ -35,15 +35,14 @@ TAX_RATES = [
 TAX_DEFAULT = 0.39
 
 # Two-digit state codes.
-STATE_CODES = dict(
-    pair.split("=")
-    for pair in (
-        "01=al 02=ak 03=az 04=ar 05=ca 06=co 07=ct 08=de 09=dc 10=fl 11=ga 12=hi 13=id 14=il 15=in "
-        "16=ia 17=ks 18=ky 19=la 20=me 21=md 22=ma 23=mi 24=mn 25=ms 26=mo 27=mt 28=ne 29=nv 30=nh "
-        "31=nj 32=nm 33=ny 34=nc 35=nd 36=oh 37=ok 38=or 39=pa 40=ri 41=sc 42=sd 43=tn 44=tx 45=ut "
-        "46=vt 47=va 48=wa 49=wv 50=wi 51=wy 70=ca 72=pr 78=vi"
-    ).split()
-)
+STATE_CODES = {
+    "01": "al", "02": "ak", "03": "az", "04": "ar", "05": "ca", "06": "co", "07": "ct", "08": "de", "09": "dc",
+    "10": "fl", "11": "ga", "12": "hi", "13": "id", "14": "il", "15": "in", "16": "ia", "17": "ks", "18": "ky",
+    "19": "la", "20": "me", "21": "md", "22": "ma", "23": "mi", "24": "mn", "25": "ms", "26": "mo", "27": "mt",
+    "28": "ne", "29": "nv", "30": "nh", "31": "nj", "32": "nm", "33": "ny", "34": "nc", "35": "nd", "36": "oh",
+    "37": "ok", "38": "or", "39": "pa", "40": "ri", "41": "sc", "42": "sd", "43": "tn", "44": "tx", "45": "ut",
+    "46": "vt", "47": "va", "48": "wa", "49": "wv", "50": "wi", "51": "wy", "70": "ca", "72": "pr", "78": "vi",
+}
 STATE_DEFAULT = "xx"
 
 

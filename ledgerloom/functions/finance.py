@@ -110,17 +110,22 @@ def marginal_costs(df: DataFrame, triples: Sequence[tuple[str, str, str]]) -> Da
 
 
 def curve_moments(
-    curves: DataFrame, name: str, curve: str, max_term: int, size: int = 84, terms: Sequence[int] | None = None
+    curves: DataFrame, name: str, curve: str, max_term: int | Column, size: int = 84, terms: Sequence[int] | None = None
 ) -> DataFrame:
     """Per curve and term: ``m1 = sum p c_p`` and ``m2 = sum p^2 c_p`` over periods 1 .. term - 1.
 
     One row per curve and term up to ``max_term``, or for ``terms`` only, which keeps the
-    table small enough to be broadcast. The curve wraps after ``size`` points.
+    table small enough to be broadcast. ``max_term`` may be a scalar subquery, so that the terms
+    that occur decide. The curve wraps after ``size`` points; one that has fewer and
+    would be needed beyond them fails the job.
     """
+    longest = (max_term if isinstance(max_term, Column) else F.lit(max_term)).cast("int")
     points = F.slice(F.split(F.col(curve), r"\|"), 1, size)
-    wrapped = F.flatten(F.array_repeat(points, -(-max_term // size)))
+    short = F.size(points) < F.least(F.lit(size), longest - 1)
+    points = F.when(short, F.raise_error(F.concat(F.lit("too few points in curve "), F.col(name))).cast("array<string>")).otherwise(points)
+    wrapped = F.flatten(F.array_repeat(points, F.ceil(longest / size).cast("int")))
     # Element p is the rate of period p; element 0 stands for no period at all (term 1).
-    rates = F.concat(F.array(F.lit("0")), F.slice(wrapped, 1, max_term - 1))
+    rates = F.concat(F.array(F.lit("0")), F.slice(wrapped, F.lit(1), F.greatest(longest - 1, F.lit(0))))
     periods = curves.select(name, F.posexplode(rates).alias("p", "rate"))
     value = F.col("rate").cast("double")
     p = F.col("p")
@@ -184,7 +189,8 @@ def run_off(
 
     ``moments``: output name to a table from :func:`curve_moments` with columns name, term,
     m1, m2. ``curve_keys``: output name to the df column with the curve's name. If any of
-    the curves is missing, everything is 0.
+    the curves is missing, everything is 0. A term that is not tabulated though its curve is
+    fails the job.
     """
     pieces = runoff_columns(F.col(cost), F.col(residual), F.col(term), F.col(speed), F.col(wacc))
     out = df.withColumns({f"__{k}": v for k, v in pieces.items()})
@@ -197,7 +203,11 @@ def run_off(
             F.col("m1").alias(f"__m1_{name}"), F.col("m2").alias(f"__m2_{name}"),
         )
         out = out.join(side, (F.col(key) == F.col(f"__c_{name}")) & (F.col("__t") == F.col(f"__t_{name}")), "left")
-        complete = complete & F.col(f"__m1_{name}").isNotNull()
+        known = table.select(F.col(table.columns[0]).alias(f"__k_{name}")).distinct()
+        out = out.join(known, F.col(key) == F.col(f"__k_{name}"), "left")
+        untold = F.col(f"__k_{name}").isNotNull() & F.col(f"__m1_{name}").isNull() & F.col("__t").isNotNull()
+        absent = F.raise_error(F.concat(F.lit(f"{name}: no moments for term "), F.col("__t").cast("string"))).cast("boolean")
+        complete = complete & F.when(untold, absent).otherwise(F.col(f"__m1_{name}").isNotNull())
     results = {}
     for name in moments:
         rate = (F.col("__c1") * F.col(f"__m1_{name}") - F.col("__c2") * F.col(f"__m2_{name}")) / F.col("__int_sum")
@@ -207,5 +217,5 @@ def run_off(
         results[anr] = F.when(complete, F.col("__bal_sum") / 12).otherwise(0.0)
         results[disc] = F.when(complete, F.col("__bal_disc_sum") / 12).otherwise(0.0)
     temporary = [f"__{k}" for k in pieces] + ["__t"]
-    temporary += [f"__{k}_{name}" for name in moments for k in ("c", "t", "m1", "m2")]
+    temporary += [f"__{k}_{name}" for name in moments for k in ("c", "t", "m1", "m2", "k")]
     return out.withColumns(results).drop(*temporary)

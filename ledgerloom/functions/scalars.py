@@ -43,28 +43,27 @@ def months_since_model_year(booked: Column, model_year: Column) -> Column:
     return F.months_between(booked, F.make_date(model_year.cast("int"), F.lit(3), F.lit(1)))
 
 
+def _weekday_shift(d: Column, n: Column) -> Column:
+    """The ``n``-th weekday after ``d``: whole weeks at once, the rest steps over one weekend at most."""
+    dow = F.weekday(d)
+    rest = (n % 5).cast("int")
+    over = F.when(F.least(dow, F.lit(4)) + rest > 4, 2).otherwise(0)
+    return F.date_add(F.date_sub(d, F.greatest(dow - 4, F.lit(0))), F.floor(n / 5).cast("int") * 7 + rest + over)
+
+
 def add_business_days(d: Column, n: Column, holidays: list[date] | None = None) -> Column:
-    """The ``n``-th weekday after ``d`` (``n`` >= 0); a weekend start counts from the Friday before.
+    """The ``n``-th working day after ``d`` (``n`` >= 0); a weekend start counts from the Friday before.
 
-    Whole weeks are added at once and the rest steps over one weekend at most. Holidays are
-    a short literal list: the shift is repeated for the holidays passed, up to the list's length.
+    Holidays are a literal list. One pass over them in order counts those that the shift so far has
+    passed, each pushing it a day further, so the plan grows with the list and no faster.
     """
-    dow = F.weekday(d)
-    back = F.greatest(dow - 4, F.lit(0))
-    base = F.date_sub(d, back)
-    start = F.least(dow, F.lit(4))
-    weeks = F.floor(n / 5).cast("int")
-    rest = (n % 5).cast("int")
-    out = F.date_add(base, weeks * 7 + rest + F.when(start + rest > 4, 2).otherwise(0))
     if not holidays:
-        return out
-    off = sorted({h for h in holidays if h.weekday() < 5})
-    days = F.array(*[F.lit(h) for h in off])
-    # Each round moves past the holidays in (d, out]; as many rounds as holidays are enough.
-    for _ in off:
-        passed = F.size(F.filter(days, lambda h: (h > d) & (h <= out)))
-        out = add_business_days(d, n + passed)
-    return out
+        return _weekday_shift(d, n)
+    off = F.array(*[F.lit(h) for h in sorted({h for h in holidays if h.weekday() < 5})]).cast("array<date>")
+    passed = F.aggregate(
+        off, F.lit(0), lambda k, h: k + F.when((h > d) & (h <= _weekday_shift(d, (n + k).cast("int"))), 1).otherwise(0)
+    )
+    return _weekday_shift(d, (n + passed).cast("int"))
 
 
 def path_level(path: Column, sep: str = "/") -> Column:

@@ -14,24 +14,33 @@ def merge_upsert(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> D
     """Matched target rows take the source's values, unmatched source rows are added.
 
     Target columns missing from the source keep their value. A repeated source key fails
-    the job. Keys are unique on the source, so one full join (one shuffle per side) will do.
+    the job; target keys may repeat, and every row of a key is updated. NULL keys match
+    nothing. A left join and an anti join, which adaptive execution can split where a target
+    key is hot; it cannot split a full join.
     """
     src = require_unique(source, keys, "merge source").withColumn("__hit", F.lit(True))
-    tgt = target.withColumn("__old", F.lit(True))
+    renamed = src.toDF(*[f"__s_{c}" for c in src.columns])
     cond = None
     for k in keys:
-        c = tgt[k] == src[k]
+        c = target[k] == renamed[f"__s_{k}"]
         cond = c if cond is None else cond & c
-    both = tgt.join(src, cond, "full")
-    out = []
-    for c in target.columns:
-        if c in keys:
-            out.append(F.coalesce(tgt[c], src[c]).alias(c))
-        elif c in source.columns:
-            out.append(F.when(src["__hit"], src[c]).otherwise(tgt[c]).alias(c))
-        else:
-            out.append(tgt[c])
-    return both.select(*out)
+    matched = target.join(renamed, cond, "left").select(
+        *[
+            F.when(F.col("__s___hit"), F.col(f"__s_{c}")).otherwise(F.col(c)).alias(c) if c in source.columns and c not in keys else F.col(c)
+            for c in target.columns
+        ]
+    )
+    known = target.select(*[F.col(k).alias(f"__t_{k}") for k in keys]).distinct()
+    cond = None
+    for k in keys:
+        c = src[k] == known[f"__t_{k}"]
+        cond = c if cond is None else cond & c
+    added = src.join(known, cond, "left_anti")
+    return matched.unionByName(
+        added.select(
+            *[(F.col(c) if c in source.columns else F.lit(None)).cast(target.schema[c].dataType).alias(c) for c in target.columns]
+        )
+    )
 
 
 def update_where(df: DataFrame, condition: Column | None, assignments: Mapping[str, Column]) -> DataFrame:
@@ -63,7 +72,12 @@ def update_from(target: DataFrame, source: DataFrame, keys: Sequence[str], assig
 def partial_update(
     df: DataFrame, condition: Column, given: Mapping[str, object], overwrite: Sequence[str] = ()
 ) -> DataFrame:
-    """A ``None`` argument keeps the current value, except for ``overwrite`` columns."""
+    """A ``None`` argument keeps the current value, except for ``overwrite`` columns.
+
+    A call without any argument changes nothing, ``overwrite`` columns included.
+    """
+    if all(value is None for value in given.values()):
+        return df
     values = {
         name: F.lit(value) if name in overwrite else F.coalesce(F.lit(value), F.col(name))
         for name, value in given.items()

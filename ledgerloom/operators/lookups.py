@@ -68,7 +68,8 @@ def effective_lookup(
     )
     if months is None:
         span = df.agg(F.min(month_number(F.col(date))).alias("lo"), F.max(month_number(F.col(date))).alias("hi"))
-        first, last = span.select("lo").scalar(), span.select("hi").scalar()
+        both = span.select(F.struct("lo", "hi")).scalar()
+        first, last = both["lo"], both["hi"]
     else:
         first, last = F.lit(months[0]), F.lit(months[1])
     keep = by_month(keep, "__beg", "__end", first, last)
@@ -126,20 +127,23 @@ def override_lookup(
     """``out`` = the override whose period and value range hold ``value``, else ``value``.
 
     ``overrides``: line, lookup, lookup_var, beg, end, min_val, max_val, override. Names are
-    compared as literals; nothing is pasted into SQL text.
+    compared as literals; nothing is pasted into SQL text. An override is spelled out into the
+    years it touches, so the join has an equality even when ``line`` is a constant.
     """
+    year = lambda c: F.floor(F.col(c) / 100).cast("int")
     mine = overrides.filter((F.col("lookup") == F.lit(lookup)) & (F.col("lookup_var") == F.lit(variable))).select(
         F.col("line").alias("__line"), F.col("beg").alias("__beg"), F.col("end").alias("__end"),
         F.col("min_val").alias("__min"), F.col("max_val").alias("__max"), F.col("override").alias("__override"),
-    )
+    ).withColumn("__year", F.explode(F.sequence(year("__beg"), year("__end"))))
     cond = (
+        (year(period) == F.col("__year")) &
         (F.col(line) == F.col("__line"))
         & F.col(period).between(F.col("__beg"), F.col("__end"))
         & F.col(value).between(F.col("__min"), F.col("__max"))
     )
     return (
         df.join(mine, cond, "left").withColumn(out, F.coalesce(F.col("__override"), F.col(value)))
-        .drop("__line", "__beg", "__end", "__min", "__max", "__override")
+        .drop("__line", "__beg", "__end", "__min", "__max", "__override", "__year")
     )
 
 

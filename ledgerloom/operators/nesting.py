@@ -11,7 +11,7 @@ from ledgerloom.operators.ordered import ordered_row_number
 
 
 def children_as_json(
-    children: DataFrame, key: str, order: Sequence[str], fields: Sequence[str], page: int = 1000, out: str = "items"
+    children: DataFrame, key: str, order: Sequence[str], fields: Sequence[str], page: int, out: str = "items"
 ) -> DataFrame:
     """Per parent, its children as JSON arrays of at most ``page`` objects, numbered from 0.
 

@@ -31,23 +31,26 @@ def missing_parents(child: DataFrame, parent: DataFrame, child_key: str, parent_
 def quarantine(df: DataFrame, keys: Sequence[str], order: Sequence[str], checks: Mapping[str, Column]) -> DataFrame:
     """Add ``reason``: NULL for accepted rows, else the failed check or ``duplicate``.
 
-    The first row of a key (by ``order``) that passes its checks is accepted. First rows are
-    found by partial aggregation and joined back, so a hot key is no bottleneck.
+    The first row of a key that passes its checks is accepted: by ``order``, then by the other
+    columns; of rows alike in all columns one. Rows alike are counted first and the first row of
+    a key is found by partial aggregation and joined back, so a hot key is no bottleneck.
     """
     reason = None
     for name, rule in checks.items():
         reason = F.when(~rule, F.lit(name)) if reason is None else reason.when(~rule, F.lit(name))
     checked = df.withColumn("__failed", reason if reason is not None else F.lit(None).cast("string"))
+    alike = checked.groupBy(*checked.columns).agg(F.count(F.lit(1)).cast("int").alias("__n"))
+    place = F.struct(*order, *[c for c in df.columns if c not in order])
     first = (
-        checked.filter("__failed is null").groupBy(*[F.col(k).alias(f"__{k}") for k in keys])
-        .agg(F.min(F.struct(*order)).alias("__first"))
+        alike.filter("__failed is null").groupBy(*[F.col(k).alias(f"__{k}") for k in keys])
+        .agg(F.min(place).alias("__first"))
     )
     cond = None
     for k in keys:
-        c = checked[k].eqNullSafe(first[f"__{k}"])
+        c = alike[k].eqNullSafe(first[f"__{k}"])
         cond = c if cond is None else cond & c
-    joined = checked.join(first, cond, "left")
+    joined = alike.join(first, cond, "left").withColumn("__i", F.explode(F.sequence(F.lit(1), "__n")))
     verdict = F.when(F.col("__failed").isNotNull(), F.col("__failed")).when(
-        ~F.struct(*order).eqNullSafe(F.col("__first")), F.lit("duplicate")
+        ~place.eqNullSafe(F.col("__first")) | (F.col("__i") > 1), F.lit("duplicate")
     )
     return joined.select(*df.columns, verdict.alias("reason"))

@@ -45,20 +45,24 @@ def build_history(
     return led.filter(F.col(FROM) < F.col(TO))
 
 
-def apply_changes(history: DataFrame, changes: DataFrame, keys: Sequence[str], at: str) -> DataFrame:
+def apply_changes(
+    history: DataFrame, changes: DataFrame, keys: Sequence[str], at: str, deleted: Column | None = None
+) -> DataFrame:
     """Add one batch with at most one later change per key: close the open versions, open new ones.
 
-    A key that changes twice in the batch fails the job.
+    A change for which ``deleted`` is true closes without opening. A key that changes twice in
+    the batch fails the job, and so does a change that is not later than the open version.
     """
     fresh = require_unique(changes, keys, "batch of changes").withColumn(FROM, F.col(at).cast("timestamp_ntz")).withColumn(TO, open_end())
     cut = fresh.select(*[F.col(k).alias(f"__{k}") for k in keys], F.col(FROM).alias("__cut"))
     cond = is_current()
     for k in keys:
         cond = cond & (F.col(k) == F.col(f"__{k}"))
-    closed = history.join(cut, cond, "left").select(
-        *[F.coalesce("__cut", TO).alias(c) if c == TO else F.col(c) for c in history.columns]
-    )
-    return closed.unionByName(fresh.select(*history.columns))
+    late = F.raise_error(F.lit(f"a change is not later than the open version of its {list(keys)}")).cast("timestamp_ntz")
+    end = F.when(F.col("__cut").isNull(), F.col(TO)).when(F.col("__cut") <= F.col(FROM), late).otherwise(F.col("__cut"))
+    closed = history.join(cut, cond, "left").select(*[end.alias(c) if c == TO else F.col(c) for c in history.columns])
+    opened = fresh if deleted is None else fresh.filter(~F.coalesce(deleted, F.lit(False)))
+    return closed.unionByName(opened.select(*history.columns))
 
 
 def as_of(history: DataFrame, at: str | datetime | None) -> DataFrame:

@@ -105,7 +105,7 @@ def base_contracts(spark, d):
     SELECT account_no, part_id, term_band, grade, age_class, clean AS model, correct AS canonical_model, c_nationkey AS make_id,
       CASE WHEN new_used = 'd' THEN 'u' ELSE new_used END AS new_used, loyalty, base_pct AS residual_base_pct, delinquency_rate,
       collateral_rate, round(capital_cost / price * 100, 4) AS booked_ltv, round(pmt, 9) AS pmt_customer,
-      CASE WHEN term_months > 1 THEN round(12 * rate, 5) END AS rate_customer, 199806 AS run_period FROM s
+      round(12 * rate, 5) AS rate_customer, 199806 AS run_period FROM s
     """,
 )
 def contract_enrichment(spark, d):
@@ -132,9 +132,8 @@ def contract_enrichment(spark, d):
         nation.select("n_name", "n_nationkey")
     )
     # Every priority spelling is known for the even makes.
-    spellings = orders.select("o_orderpriority").distinct().withColumn(
-        "make_id", F.explode(F.array(*[F.lit(i) for i in range(0, 25, 2)]))
-    )
+    makes = nation.filter("n_nationkey % 2 = 0").agg(F.collect_set("n_nationkey").alias("makes"))
+    spellings = orders.select("o_orderpriority").distinct().withColumn("make_id", F.explode(makes.scalar()))
     models = spellings.select("make_id", F.col("o_orderpriority").alias("misspelled"), F.lower("o_orderpriority").alias("correct"))
     rates = enrichment.with_bands(base).groupBy("term_band", "grade").agg(mean("tax").alias("r"))
     delinquency = rates.select(
@@ -151,7 +150,7 @@ def contract_enrichment(spark, d):
             "residual_base_pct", "delinquency_rate", "collateral_rate", "run_period"]
     return out.select(
         *keep, F.round("booked_ltv", 4).alias("booked_ltv"), F.round("pmt_customer", 9).alias("pmt_customer"),
-        F.when(F.col("term_months") > 1, F.round("rate_customer", 5)).alias("rate_customer"),
+        F.round("rate_customer", 5).alias("rate_customer"),
     )
 
 

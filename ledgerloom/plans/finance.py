@@ -119,7 +119,8 @@ def curves(spark, d):
     """,
 )
 def finance_runoff(spark, d):
-    moments = finance.curve_moments(curves(spark, d), "name", "curve", max_term=60)
+    longest = contracts(spark, d).agg(F.max("term")).scalar()
+    moments = finance.curve_moments(curves(spark, d), "name", "curve", max_term=longest)
     # Line 7 has no cost-of-funds curve, so its results are 0.
     keyed = contracts(spark, d).withColumns(
         {"cof_curve": F.when(F.col("l_linenumber") < 7, F.col("l_returnflag")), "wacc": F.lit(0.03)}

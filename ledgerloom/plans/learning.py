@@ -9,18 +9,21 @@ from ledgerloom.plans.registry import query, table, total
 from ledgerloom.session import scratch_path
 
 
+# All components of the table's vectors; the SQL is made from the same list.
+FEATURES = [f"x{i}" for i in range(64)]
+
+
 def _classes(spark, d):
-    """Vectors with their label; the first four components are the features."""
+    """Vectors with their label; every component is a feature."""
     vectors = table(spark, d, "embeddings")
-    parts = [F.col("embedding")[i].cast("double").alias(f"x{i}") for i in range(4)]
+    parts = [F.col("embedding")[i].cast("double").alias(x) for i, x in enumerate(FEATURES)]
     return vectors.select("vec_id", *parts, F.concat(F.lit("class"), F.col("label").cast("string")).alias("species"))
 
 
-FEATURES = ["x0", "x1", "x2", "x3"]
 SCORE = " + ".join(f"(-0.5 * ln(2 * pi() * v{i}) - pow({x} - m{i}, 2) / (2 * v{i}))" for i, x in enumerate(FEATURES))
 BAYES = f"""
-    WITH e AS (SELECT vec_id, 'class' || label AS species, embedding[1]::DOUBLE AS x0, embedding[2]::DOUBLE AS x1,
-      embedding[3]::DOUBLE AS x2, embedding[4]::DOUBLE AS x3 FROM embeddings),
+    WITH e AS (SELECT vec_id, 'class' || label AS species,
+      {', '.join(f'embedding[{i + 1}]::DOUBLE AS {x}' for i, x in enumerate(FEATURES))} FROM embeddings),
     fit AS (SELECT species AS k, ln(count(*)) AS prior, {', '.join(f'avg({x}) AS m{i}, var_pop({x}) AS v{i}' for i, x in enumerate(FEATURES))}
       FROM e GROUP BY 1),
     scored AS (SELECT vec_id, species, k, row_number() OVER (PARTITION BY vec_id ORDER BY prior + {SCORE} DESC) AS rk FROM e CROSS JOIN fit)

@@ -334,9 +334,10 @@ def json_import(spark, d):
 @query(
     "order_generator",
     """
-    WITH n AS (SELECT count(*) AS n_orders FROM orders),
-    h AS (SELECT o_orderkey * 20 + copy AS order_id, copy, (o_orderkey * 7919 + copy * 104729) % n_orders AS seed_key
-          FROM (SELECT o_orderkey, unnest(range(20)) AS copy FROM orders), n)
+    WITH keys AS (SELECT l_orderkey AS seed_key, row_number() OVER (ORDER BY l_orderkey) - 1 AS rn FROM (SELECT DISTINCT l_orderkey FROM lineitem)),
+    h AS (SELECT order_id, copy, seed_key FROM (
+        SELECT o_orderkey * 20 + copy AS order_id, copy, (o_orderkey * 7919 + copy * 104729) % (SELECT count(*) FROM keys) AS rn
+        FROM (SELECT o_orderkey, unnest(range(20)) AS copy FROM orders)) JOIN keys USING (rn))
     SELECT copy, count(DISTINCT order_id) AS n_orders, count(*) AS n_lines, round(sum(l_quantity), 1) AS quantity
     FROM h JOIN lineitem ON l_orderkey = seed_key GROUP BY copy
     """,

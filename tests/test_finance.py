@@ -37,6 +37,19 @@ def test_run_off_matches_the_schedule(spark):
         assert (r["cof"], r["anr"], r["anr_disc"]) == pytest.approx(want, rel=1e-9, abs=1e-9)
 
 
+def test_terms_and_curves_are_never_cut_short(spark):
+    curves = spark.createDataFrame([("c", "|".join(["0.1"] * 84)), ("s", "0.1|0.2")], "name string, curve string")
+    df = spark.createDataFrame([(100.0, 40.0, 72, 0.01, 0.03, "c")], "cost double, residual double, term int, a double, wacc double, name string")
+    full = curves.filter("name = 'c'")
+    with pytest.raises(Exception, match="no moments for term"):
+        finance.run_off(df, {"cof": finance.curve_moments(full, "name", "curve", 60)}, {"cof": "name"}, "cost", "residual", "term", "a", "wacc").collect()
+    with pytest.raises(Exception, match="too few points"):
+        finance.curve_moments(curves, "name", "curve", 60).collect()
+    longest = df.agg(F.max("term")).scalar()
+    r = finance.run_off(df, {"cof": finance.curve_moments(full, "name", "curve", longest)}, {"cof": "name"}, "cost", "residual", "term", "a", "wacc").first()
+    assert r["cof"] > 0 and r["anr"] > 0
+
+
 def test_missing_curve_gives_zero(spark):
     curves = spark.createDataFrame([("c", "0.1|0.2")], "name string, curve string")
     moments = finance.curve_moments(curves, "name", "curve", max_term=60, size=2)

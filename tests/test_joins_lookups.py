@@ -113,5 +113,15 @@ def test_delete_keeps_unknown_rows(spark):
 
 def test_partial_update_keeps_null_arguments(spark):
     df = spark.createDataFrame([(1, "a", "x"), (2, "b", "y")], "k int, n string, t string")
-    out = partial_update(df, F.col("k") == 1, {"n": None, "t": None}, overwrite=["t"])
-    assert sorted(map(tuple, out.collect())) == [(1, "a", None), (2, "b", "y")]
+    out = partial_update(df, F.col("k") == 1, {"n": "c", "t": None}, overwrite=["t"])
+    assert sorted(map(tuple, out.collect())) == [(1, "c", None), (2, "b", "y")]
+    assert rows(partial_update(df, F.col("k") == 1, {"n": None, "t": None}, overwrite=["t"])) == rows(df)
+
+
+def test_merge_with_hot_and_null_target_keys(spark):
+    target = spark.createDataFrame([(1, "a", 1), (1, "b", 2), (None, "c", 3), (2, "d", 4)], "k int, n string, extra int")
+    source = spark.createDataFrame([(1, "x"), (3, "y"), (None, "z")], "k int, n string")
+    out = merge_upsert(target, source, ["k"])
+    assert rows(out) == rows(spark.createDataFrame(
+        [(1, "x", 1), (1, "x", 2), (None, "c", 3), (2, "d", 4), (3, "y", None), (None, "z", None)], "k int, n string, extra int"))
+    assert "FullOuter" not in out._jdf.queryExecution().executedPlan().toString()

@@ -5,7 +5,7 @@ import os
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
-from check import compare, database
+from check import compare, oracle_connection
 from ledgerloom.plans.registry import QUERIES
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
@@ -15,7 +15,7 @@ pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="test tables a
 
 @pytest.fixture(scope="module")
 def con():
-    return database(SF_DIR)
+    return oracle_connection(SF_DIR)
 
 
 @pytest.mark.parametrize("name", list(QUERIES))
@@ -34,7 +34,8 @@ def test_entry(spark):
 
 PLAN_CHECKED = [
     "star_join", "effective_lookup", "range_lookup_const", "range_join", "band_join", "join_or_keys", "override_lookup",
-    "temporal_join", "row_filter", "dq_quarantine", "benford_fraud",
+    "temporal_join", "row_filter", "dq_quarantine", "benford_fraud", "contract_profit", "contract_period_merge", "contract_enrichment",
+    "merge_upsert", "order_generator", "finance_runoff",
 ]
 
 

@@ -65,3 +65,15 @@ def test_increment_with_a_repeated_key_raises(spark):
     first = temporal.build_history(log.filter("event_id = 1"), ["k"], "at", "event_id")
     with pytest.raises(Exception, match="not unique"):
         temporal.apply_changes(first, log.filter("event_id in (2, 3)"), ["k"], "at").collect()
+
+
+def test_increment_with_deletes_and_late_changes(spark):
+    h = history(spark)
+    at = lambda hour: datetime(2024, 1, 2, hour)
+    batch = spark.createDataFrame([(7, "a", at(1), 5, False), (8, "c", at(2), 0, True)], "event_id long, k string, at timestamp_ntz, v int, gone boolean")
+    out = temporal.apply_changes(h, batch, ["k"], "at", deleted=F.col("gone"))
+    assert [(r.k, r.v) for r in temporal.as_of(out, None).orderBy("k").collect()] == [("a", 5)]
+    assert {r.valid_to for r in out.filter("k = 'c'").collect()} == {at(2)}
+    late = spark.createDataFrame([(9, "a", datetime(2023, 1, 1), 5, False)], batch.schema)
+    with pytest.raises(Exception, match="not later than the open version"):
+        temporal.apply_changes(h, late, ["k"], "at").collect()
