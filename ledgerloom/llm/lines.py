@@ -51,13 +51,11 @@ def repeated_prefixes(lines: DataFrame, depth: int) -> DataFrame:
 
     ``lines`` is what ``line_table`` gives. ``name`` is the first such suffix.
     """
-    # A line that stands once in the corpus ends every repeated run: count by hash alone, then number the rest.
-    again = lines.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
     order = Window.partitionBy("k1", "k2").orderBy("pos")
     # Equal rows give equal lines at equal places; each place counts once.
     placed = lines.groupBy("doc", "k1", "k2", "pos").agg(F.first("h1").alias("h1"), F.first("h2").alias("h2"))
-    placed = placed.withColumn("line", F.row_number().over(order))
-    names = saved(_named(placed.join(again, ["h1", "h2"], "left_semi"), ["h1", "h2"]), "names")
+    placed = saved(placed.withColumn("line", F.row_number().over(order)), "lines")
+    names = saved(_named(placed, ["h1", "h2"]), "names")
     length = 1
     while length < depth:
         step = min(length, depth - length)
