@@ -40,21 +40,14 @@ def one_row_per_key(dim: DataFrame, keys: Sequence[str], order: Sequence[str]) -
 def require_unique(dim: DataFrame, keys: Sequence[str], what: str = "lookup") -> DataFrame:
     """Pass ``dim`` through, failing the job when a key occurs twice.
 
-    The check is part of the plan (a partial aggregation), not an extra action.
+    The check is part of the plan, not an extra action: the keys alone are counted (a hash
+    aggregate that combines before the shuffle), and the number of repeated ones, a scalar
+    subquery, stands in a filter on the rows.
     """
-    rest = [c for c in dim.columns if c not in keys]
-    grouped = dim.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("__n"), F.max(F.struct(*rest) if rest else F.lit(1)).alias("__row")
-    )
-    checked = grouped.withColumn(
-        "__row",
-        F.when(F.col("__n") > 1, F.raise_error(F.lit(f"{what}: key {list(keys)} is not unique"))).otherwise(
-            F.col("__row")
-        ),
-    )
-    if not rest:
-        return checked.filter("__row is not null").select(*keys)
-    return checked.select(*[F.col(c) if c in keys else F.col(f"__row.{c}").alias(c) for c in dim.columns])
+    counts = dim.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
+    repeated = counts.filter("__n > 1").agg(F.count(F.lit(1))).scalar()
+    failure = F.raise_error(F.lit(f"{what}: key {list(keys)} is not unique")).cast("boolean")
+    return dim.filter(F.when(repeated > 0, failure).otherwise(F.lit(True)))
 
 
 def lookup_equi(
