@@ -96,7 +96,7 @@ def with_dimensions(df: DataFrame, t: ProfitTables, rules: ProfitRules, months:
         {"capital": "capital", "capital_market": "capital_market", "capital_standard": "capital_standard"}, months,
     )
     return _dated(
-        df, t.returns, {"manufacturer_id": "manufacturer_id", "term_band": "term", "stage_grade": "grade"}, "drive_date",
+        df, t.returns, {"manufacturer_id": "manufacturer_id", "model": "model", "term_band": "term", "stage_grade": "grade"}, "drive_date",
         {"return_rate": "return_rate"}, months,
     )
 
@@ -154,10 +154,20 @@ def with_fees(df: DataFrame, t: ProfitTables, months: tuple[int, int]) -> DataFr
 
 
 def with_adjustors(df: DataFrame, t: ProfitTables) -> DataFrame:
-    """Keys replaced by their overrides, then dealer, loyalty and portfolio loss adjustors."""
+    """Keys replaced by their overrides, then dealer, loyalty and portfolio loss adjustors.
+
+    Keys that the contracts do not carry have the fixed values of the report: any manufacturer and channel, all dealer
+    groups, franchise dealers, no certification, an income ratio of 0.
+    """
     df = df.fillna(0, ["score", "credit_score"]).withColumns(
         {
             "any_manufacturer": F.lit(-1),
+            "any_channel": F.lit(-1),
+            "dealer_group": F.lit("all"),
+            "dealer_type": F.lit("franchise"),
+            "certified": F.lit("x"),
+            "graded": F.lit("y"),
+            "income_ratio": F.lit(0),
             "loyal": F.when(F.col("loyalty") == "y", 1).otherwise(0),
             "new_used_class": F.when(F.col("age_class") == "new", "new").otherwise("used"),
         }
@@ -165,24 +175,37 @@ def with_adjustors(df: DataFrame, t: ProfitTables) -> DataFrame:
     for lookup, variable, column, period, out in (
         ("dealer", "manufacturer", "any_manufacturer", "booked_period", "dealer_manufacturer"),
         ("dealer", "make", "make_id", "booked_period", "dealer_make"),
+        ("dealer", "channel", "any_channel", "booked_period", "dealer_channel"),
+        ("loyalty", "manufacturer", "manufacturer_id", "booked_period", "loyalty_manufacturer"),
         ("loyalty", "make", "make_id", "booked_period", "loyalty_make"),
         ("loyalty", "loyal", "loyal", "booked_period", "loyalty_flag"),
+        ("loyalty", "subsidised", "subsidised", "booked_period", "loyalty_subsidised"),
+        ("loyalty", "new_used", "new_used_class", "booked_period", "loyalty_new_used"),
+        ("loyalty", "age", "age_class", "booked_period", "loyalty_age"),
+        ("portfolio", "manufacturer", "manufacturer_id", "booked_period", "portfolio_manufacturer"),
+        ("portfolio", "income_ratio", "income_ratio", "booked_period", "portfolio_income_ratio"),
         ("portfolio", "make", "make_id", "booked_period", "portfolio_make"),
         ("portfolio", "subsidised", "subsidised", "booked_period", "portfolio_subsidised"),
     ):
         df = override_lookup(df, t.overrides, lookup, variable, column, period, "line", out)
     df = band_join(
-        df, t.dealer_adjustors, {"dealer_make": "make_id", "dealer_manufacturer": "manufacturer_id"},
+        df, t.dealer_adjustors,
+        {"dealer_make": "make_id", "dealer_manufacturer": "manufacturer_id", "dealer_channel": "channel_id",
+         "dealer_group": "dealer_group", "dealer_type": "dealer_type"},
         [("booked_period", "beg", "end")], {"adjustor": "dealer_adjustor"},
     )
     df = band_join(
-        df, t.loyalty_adjustors, {"loyalty_make": "make_id", "loyalty_flag": "loyal", "new_used_class": "new_used"},
+        df, t.loyalty_adjustors,
+        {"loyalty_make": "make_id", "loyalty_manufacturer": "manufacturer_id", "loyalty_flag": "loyal", "loyalty_subsidised": "subsidised",
+         "loyalty_new_used": "new_used", "loyalty_age": "age", "graded": "graded"},
         [("lease_period", "beg", "end"), ("score", "min_score", "max_score"), ("credit_score", "min_credit", "max_credit")],
         {"adjustor": "loyalty_adjustor"},
     )
     df = band_join(
-        df, t.portfolio_adjustors, {"portfolio_make": "make_id", "portfolio_subsidised": "subsidised"},
-        [("lease_period", "beg", "end"), ("term_band", "min_term", "max_term"), ("booked_ltv", "min_ltv", "max_ltv"),
+        df, t.portfolio_adjustors,
+        {"portfolio_make": "make_id", "portfolio_manufacturer": "manufacturer_id", "portfolio_subsidised": "subsidised",
+         "certified": "certified", "graded": "graded"},
+        [("lease_period", "beg", "end"), ("portfolio_income_ratio", "min_income_ratio", "max_income_ratio"), ("term_band", "min_term", "max_term"), ("booked_ltv", "min_ltv", "max_ltv"),
          ("score", "min_score", "max_score"), ("credit_score", "min_credit", "max_credit")],
         {"adjustor": "portfolio_adjustor"},
     )

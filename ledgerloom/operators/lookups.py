@@ -128,12 +128,14 @@ def override_lookup(
 
     ``overrides``: line, lookup, lookup_var, beg, end, min_val, max_val, override. Names are
     compared as literals; nothing is pasted into SQL text. An override is spelled out into the
-    years it touches, so the join has an equality even when ``line`` is a constant.
+    years it touches, so the join has an equality even when ``line`` is a constant. Ranges and
+    overrides may be text; they are read in the type of ``value``.
     """
     year = lambda c: F.floor(F.col(c) / 100).cast("int")
+    kind = df.schema[value].dataType
     mine = overrides.filter((F.col("lookup") == F.lit(lookup)) & (F.col("lookup_var") == F.lit(variable))).select(
         F.col("line").alias("__line"), F.col("beg").alias("__beg"), F.col("end").alias("__end"),
-        F.col("min_val").alias("__min"), F.col("max_val").alias("__max"), F.col("override").alias("__override"),
+        *[F.col(c).try_cast(kind).alias(o) for c, o in (("min_val", "__min"), ("max_val", "__max"), ("override", "__override"))],
     ).withColumn("__year", F.explode(F.sequence(year("__beg"), year("__end"))))
     cond = (
         (year(period) == F.col("__year")) &

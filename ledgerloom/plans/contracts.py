@@ -213,14 +213,14 @@ def profit_tables(spark, d) -> profitability.ProfitTables:
     capital = with_cust.groupBy(F.col("o_orderpriority").alias("model"), key.alias("make_id"), year.alias("y")).agg(
         mean("o_totalprice").alias("capital")
     ).withColumns({**span, "capital_market": F.col("capital"), "capital_standard": F.col("capital")})
-    by_maker = base.groupBy("c_nationkey", "term_band").agg(F.sum("markup_amount").alias("s"), total().alias("n"))
-    owned = by_maker.join(nation, key == F.col("n_nationkey")).groupBy("n_regionkey", "term_band").agg(
+    by_maker = base.groupBy("c_nationkey", "term_band", "model").agg(F.sum("markup_amount").alias("s"), total().alias("n"))
+    owned = by_maker.join(nation, key == F.col("n_nationkey")).groupBy("n_regionkey", "term_band", "model").agg(
         rounded(F.sum("s") / F.sum("n"), 6).alias("return_rate")
     )
     returns = _dates(
         owned.select(
-            F.explode(F.array(F.col("n_regionkey"), late)).alias("manufacturer_id"), F.col("term_band").alias("term"), "return_rate"
-        ).select("manufacturer_id", "term", "return_rate", F.explode(F.array(F.lit("tier0"), F.lit("tier1"))).alias("grade")),
+            F.explode(F.array(F.col("n_regionkey"), late)).alias("manufacturer_id"), F.col("term_band").alias("term"), "model", "return_rate"
+        ).select("manufacturer_id", "term", "model", "return_rate", F.explode(F.array(F.lit("tier0"), F.lit("tier1"))).alias("grade")),
         "1990-01-01", "2100-12-31",
     )
     curve_types = _dates(
@@ -258,30 +258,50 @@ def profit_tables(spark, d) -> profitability.ProfitTables:
         ),
         "1995-01-01", "1999-12-31",
     )
+    def instead(lookup, variable, low, high, value, beg=199501, end=199812):
+        text = lambda v, name: (v if not isinstance(v, (int, str)) else F.lit(v)).cast("string").alias(name)
+        names = [F.lit(lookup).alias("lookup"), F.lit(variable).alias("lookup_var")]
+        return F.struct(
+            *names, text(low, "min_val"), text(high, "max_val"), text(value, "override"), F.lit(beg).alias("beg"), F.lit(end).alias("end")
+        )
+
+    lo, hi = F.col("lo"), F.col("hi")
     overrides = nation.agg(F.min("n_nationkey").alias("lo"), F.max("n_nationkey").alias("hi")).select(
         F.inline(
             F.array(
-                F.struct(F.lit("dealer").alias("lookup"), F.lit("manufacturer").alias("lookup_var"), F.lit(-1).alias("min_val"), F.lit(-1).alias("max_val"), F.lit(7).alias("override")),
-                F.struct(F.lit("loyalty").alias("lookup"), F.lit("make").alias("lookup_var"), F.col("lo").alias("min_val"), (F.col("lo") + 4).alias("max_val"), F.lit(99).alias("override")),
-                F.struct(F.lit("portfolio").alias("lookup"), F.lit("make").alias("lookup_var"), (F.col("hi") - 4).alias("min_val"), F.col("hi").alias("max_val"), F.lit(88).alias("override")),
+                instead("dealer", "manufacturer", -1, -1, 7), instead("dealer", "channel", -1, -1, 3, 199001, 210012),
+                instead("loyalty", "manufacturer", 0, 99, 5, 199001, 210012), instead("loyalty", "make", lo, lo + 4, 99),
+                instead("loyalty", "subsidised", 1, 1, 2), instead("loyalty", "age", "used1", "used5", "older", 199001, 210012),
+                instead("portfolio", "manufacturer", 10, 99, 10), instead("portfolio", "income_ratio", 0, 0, 4, 199001, 199712),
+                instead("portfolio", "make", hi - 4, hi, 88),
             )
         )
-    ).select("*", F.lit("lease").alias("line"), F.lit(199501).alias("beg"), F.lit(199812).alias("end"))
+    ).select("*", F.lit("lease").alias("line"))
     periods = {"beg": F.lit(199001), "end": F.lit(210012)}
     dealer_adj = nation.select(
         F.col("n_nationkey").alias("make_id"), F.lit(7).alias("manufacturer_id"), (1 + F.col("n_nationkey") / 100).alias("adjustor")
-    ).withColumns(periods)
+    ).withColumns({**periods, "channel_id": F.lit(3), "dealer_group": F.lit("all"), "dealer_type": F.lit("franchise")})
     makes = nation.select(F.col("n_nationkey").alias("make_id")).union(nation.select(F.lit(99)).distinct()).union(nation.select(F.lit(88)).distinct())
     credit_band = {"min_credit": F.lit(0), "max_credit": F.lit(50)}
     loyalty_adj = makes.select(
         "make_id", F.explode(F.array(F.lit(0), F.lit(1))).alias("loyal")
-    ).select("*", F.explode(F.array(F.lit("new"), F.lit("used"))).alias("new_used")).withColumns(
-        {**periods, **credit_band, "min_score": F.lit(650), "max_score": F.lit(720), "adjustor": 2 + F.col("make_id") / 100}
+    ).select("*", F.explode(F.array(F.lit("new"), F.lit("used"))).alias("new_used"))
+    loyalty_adj = loyalty_adj.select("*", F.explode(F.array(*[F.lit(i) for i in range(3)])).alias("subsidised"))
+    loyalty_adj = loyalty_adj.select("*", F.explode(F.array(*[F.lit(a) for a in ("new", "used0", "used5+", "older")])).alias("age")).withColumns(
+        {**periods, **credit_band, "manufacturer_id": F.lit(5), "graded": F.lit("y"), "min_score": F.lit(650), "max_score": F.lit(720),
+         "adjustor": 2 + F.col("make_id") / 100 + F.col("subsidised") * 10 + F.when(F.col("age") == "older", 5).otherwise(0)}
     )
-    portfolio_adj = makes.select("make_id", F.explode(F.array(F.lit(0), F.lit(1))).alias("subsidised")).withColumns(
-        {**periods, **credit_band, "min_score": F.lit(600), "max_score": F.lit(800), "min_term": F.lit(24), "max_term": F.lit(42),
-         "min_ltv": F.lit(0.0), "max_ltv": F.lit(14.0), "adjustor": 3 + F.col("make_id") / 100}
+    portfolio_adj = makes.select("make_id", F.explode(F.array(F.lit(0), F.lit(1))).alias("subsidised"))
+    portfolio_adj = portfolio_adj.select(
+        "*", F.explode(F.array(*[F.lit(i) for i in range(20)])).alias("manufacturer_id")
     )
+    ratio = F.explode(F.array(F.struct(F.lit(0).alias("lo"), F.lit(1).alias("hi")), F.struct(F.lit(2).alias("lo"), F.lit(9).alias("hi")))).alias("ratio")
+    portfolio_adj = portfolio_adj.select("*", ratio).withColumns(
+        {**periods, **credit_band, "min_score": F.lit(600), "max_score": F.lit(800), "min_term": F.lit(24), "max_term": F.lit(42),
+         "min_ltv": F.lit(0.0), "max_ltv": F.lit(14.0), "min_income_ratio": F.col("ratio.lo"), "max_income_ratio": F.col("ratio.hi"),
+         "certified": F.lit("x"), "graded": F.lit("y"),
+         "adjustor": 3 + F.col("make_id") / 100 + F.col("manufacturer_id") * 10 + F.col("ratio.lo") * 1000}
+    ).drop("ratio")
     names = profitability.ProfitRules().expense_columns
     expenses = _dates(
         makers.select("manufacturer_id", *[(F.col("manufacturer_id") * 2 + i).alias(c) for i, c in enumerate(names)]), "1990-01-01", "2100-12-31"
@@ -314,14 +334,15 @@ PROFIT = BASE + """,
     allmean AS (SELECT avg(o_totalprice) AS mean FROM orders),
     cap AS (SELECT o_orderpriority AS m, c_nationkey AS nk, year(o_orderdate) AS y, round(sum(o_totalprice), 2) / count(o_totalprice) AS capital
       FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY 1, 2, 3),
-    ret AS (SELECT n_regionkey AS r, term_band AS t, round(sum(markup_amount) / count(*), 6) AS rate FROM b JOIN nation ON c_nationkey = n_nationkey GROUP BY 1, 2),
+    ret AS (SELECT n_regionkey AS r, term_band AS t, model AS rm, round(sum(markup_amount) / count(*), 6) AS rate
+      FROM b JOIN nation ON c_nationkey = n_nationkey GROUP BY 1, 2, 3),
     loss AS (SELECT c_nationkey AS nk, term_band AS t, round(max(tax), 6) AS net FROM b GROUP BY 1, 2),
     w AS (SELECT x.*, g, flag, row_number() OVER () AS id, man % 3 AS ty, yl.mean AS ymean, yb.mean AS bymean, dl.mean AS lmean, db.mean AS bmean,
       db.hi AS hi, capital, ret.rate AS return_rate, net, allmean.mean AS amean
       FROM x CROSS JOIN allmean LEFT JOIN stage ON k = account_no LEFT JOIN yr yl ON yl.y = year(lease_date) LEFT JOIN yr yb ON yb.y = year(booking_date)
       LEFT JOIN dy dl ON dl.dt = lease_date LEFT JOIN dy db ON db.dt = booking_date
       LEFT JOIN cap ON m = model AND nk = make_id AND cap.y = year(booking_date)
-      LEFT JOIN ret ON r = man % 10 AND ret.t = x.term_band AND g IN ('tier0', 'tier1')
+      LEFT JOIN ret ON r = man % 10 AND rm = model AND ret.t = x.term_band AND g IN ('tier0', 'tier1')
       LEFT JOIN loss ON loss.nk = make_id AND loss.t = x.term_band AND g IN ('tier0', 'tier2')),
     per AS (SELECT id, p, (dep - dep / term_band * (p - 1)) * (1 - a * (p - 1)) - (dep - dep / term_band * p) * (1 - a * p) + rv * a AS paid,
       (1 - a * p) * (capital_cost - dep / term_band * p) AS bal,
@@ -351,8 +372,12 @@ PROFIT = BASE + """,
       CASE WHEN booking_date <= DATE '1999-12-31' THEN round(man / 100, 4) END AS credit_adjustment,
       round(subsidy * anr / anr_disc, 3) AS subsidy_revenue,
       CASE WHEN booked_period <= 199812 THEN round(1 + make_id / 100, 4) END AS dealer_adjustor,
-      CASE WHEN score BETWEEN 650 AND 720 AND credit_score <= 50 THEN round(2 + lmake / 100, 4) END AS loyalty_adjustor,
-      CASE WHEN score <= 800 AND term_band <= 42 AND money_factor * 10000 <= 14.0 AND credit_score <= 50 THEN round(3 + pmake / 100, 4) END AS portfolio_adjustor,
+      CASE WHEN score BETWEEN 650 AND 720 AND credit_score <= 50 THEN round(2 + lmake / 100
+        + CASE WHEN subsidised = 1 AND booked_period <= 199812 THEN 20 WHEN subsidised = 1 THEN 10 ELSE 0 END
+        + CASE WHEN age_class BETWEEN 'used1' AND 'used5' THEN 5 ELSE 0 END, 4) END AS loyalty_adjustor,
+      CASE WHEN score <= 800 AND term_band <= 42 AND money_factor * 10000 <= 14.0 AND credit_score <= 50 THEN round(3 + pmake / 100
+        + CASE WHEN man >= 10 AND booked_period <= 199812 THEN 10 ELSE man END * 10
+        + CASE WHEN booked_period <= 199712 THEN 2000 ELSE 0 END, 4) END AS portfolio_adjustor,
       round((man * 2 + 3) * (man + 3) / 100, 4) AS servicing_marginal, net AS net_loss, round(net * anr, 2) AS loss_reserve_weight,
       CASE WHEN subsidised = 1 THEN round((buy_rate - 0.0435) * anr, 1) ELSE 0 END AS subsidy_buydown FROM f
     """,
