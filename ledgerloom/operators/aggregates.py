@@ -53,13 +53,13 @@ def group_share(df: DataFrame, keys: Sequence[str], aggs: Mapping[str, Column])
 
 
 def distinct_list(
-    df: DataFrame, keys: Sequence[str], value: str, out: str, sep: str = ",", page: int | None = None
+    df: DataFrame, keys: Sequence[str], value: str, out: str, page: int | None, sep: str = ","
 ) -> DataFrame:
     """Sorted, separated list of the distinct values per group.
 
     Values are made distinct before they are collected, so a list is as long as its domain
-    and not as its group. Where the domain is large too, ``page`` splits each list into
-    rows of at most so many values, numbered from 0 in ``page_no``.
+    and not as its group. ``page`` splits each list into rows of at most so many values,
+    numbered from 0 in ``page_no``; ``None`` says that the domain is known to be small.
     """
     distinct = df.select(*keys, value).distinct()
     by = list(keys)

@@ -55,7 +55,7 @@ def group_by_json(spark, d):
     """,
 )
 def string_agg(spark, d):
-    return aggregates.distinct_list(table(spark, d, "customer"), ["c_nationkey"], "c_mktsegment", "segments")
+    return aggregates.distinct_list(table(spark, d, "customer"), ["c_nationkey"], "c_mktsegment", "segments", page=None)
 
 
 @query(

@@ -46,6 +46,12 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/ledgerloom/{application}/{name}-{uuid.uuid4().hex}"
 
 
+def drop_scratch(spark: SparkSession) -> None:
+    """Delete this application's tables in the shared folder; for jobs, once their results are written."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark).rstrip('/')}/ledgerloom/{spark.sparkContext.applicationId}")
+    hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop, True)
+
+
 def written_table(df: DataFrame, name: str) -> DataFrame:
     """Write to a fresh table in the shared folder and read it back, which cuts the lineage.
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.functions import bands, documents, scalars
 from ledgerloom.operators import aggregates, fraud, governance, models, quality, workload
-from ledgerloom.session import scratch_path
+from ledgerloom.session import drop_scratch, scratch_path, written_table
 from ledgerloom.sources import readers, writers
 
 DOC = '{"info":{"type":1,"address":{"town":"Lisbon","country":"Portugal"},"tags":["Chess","Rowing"]},"type":"Basic","odd":"[x"}'
@@ -74,7 +74,7 @@ def test_salary_exercises(spark):
     assert aggregates.nth_highest(df, "pay", 2).first()[0] == 5000
     assert aggregates.nth_highest(df, "pay", 3).count() == 0
     assert [r[0] for r in df.select(bands.flip_flag(F.col("flag"))).collect()] == [0, 1, 1]
-    assert sorted(map(tuple, aggregates.distinct_list(df, ["dept"], "n", "l").collect())) == [("i", "c"), ("s", "a,b")]
+    assert sorted(map(tuple, aggregates.distinct_list(df, ["dept"], "n", "l", page=None).collect())) == [("i", "c"), ("s", "a,b")]
 
 
 def test_long_lists_are_paged(spark):
@@ -239,3 +239,12 @@ def test_generated_orders_need_no_dense_keys(spark):
     details = spark.createDataFrame([(100, 1), (900, 1), (900, 2), (41, 1)], "o int, line int")
     out = readers.generate_orders(headers, details, "o", "o", copies=7)
     assert out.select("order_id").distinct().count() == 21
+
+
+def test_scratch_tables_can_be_dropped(spark):
+    import os
+
+    path = scratch_path(spark, "x").rsplit("/", 1)[0]
+    assert written_table(spark.range(3), "x").count() == 3 and os.listdir(path)
+    drop_scratch(spark)
+    assert not os.path.exists(path)
