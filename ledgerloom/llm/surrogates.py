@@ -4,6 +4,7 @@ Detection is by pattern. A surrogate is drawn from SHA-512 of key, type, value a
 surrogate wherever it stands (coreference) and nobody without the key can go back. It keeps what readers and parsers
 rely on: separators and letter case, the country code of a phone number, whether a card number's check digit is right, the
 length of a secret, the script of a name, its gender where the title tells, and the surname shared by "Mr Ann Lee" and "Lee" forms.
+A name is detected by its title; the same document's bare uses of its words ("Ann Lee", "Lee", "LEE's") are replaced alike.
 
 Two entities of a type must not share a surrogate, and no surrogate may be a value found in the corpus. All entities of
 the corpus are counted once, surrogates are compared across the whole table, and of those in conflict all but one draw
@@ -12,6 +13,8 @@ again until none is left. Everything is DataFrame operations.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -20,7 +23,8 @@ from ledgerloom.llm.tables import row_key, saved
 _TITLE_M = "Mr|Sir|Lord|Herr|Monsieur|Señor|Sr|Don|господин|г-н"
 _TITLE_F = "Mrs|Ms|Miss|Lady|Frau|Madame|Mme|Mademoiselle|Señora|Sra|Doña|госпожа|г-жа"
 _TITLE_N = "Dr|Prof|Doktor|Docteur|Doctor|доктор"
-_NAME_WORD = r"\p{Lu}[\p{L}'’-]+"
+#: Without a possessive s, so that "Lee's" is "Lee".
+_NAME_WORD = r"\p{Lu}(?:\p{L}|['’-](?=\p{L})(?!(?<=['’])s(?!\p{L})))+"
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1?\d?\d)"
 
 #: Type and pattern, in the order in which they are tried at a place.
@@ -144,9 +148,34 @@ def _parts(entity: Column) -> Column:
     return F.when(kind == "name", named).otherwise(F.array(F.struct(kind.alias("kind"), entity.alias("value"))))
 
 
-def entities(text: str | Column) -> Column:
+def entities(text: str | Column, pattern: Column | None = None) -> Column:
     """All entities of a text in their order, as they stand there."""
-    return F.coalesce(F.regexp_extract_all(text, F.lit(f"({_ALL})"), F.lit(1)), F.array().cast("array<string>"))
+    pattern = F.lit(_ALL) if pattern is None else pattern
+    return F.coalesce(F.regexp_extract_all(text, F.concat(F.lit("("), pattern, F.lit(")")), F.lit(1)), F.array().cast("array<string>"))
+
+
+def _bare(found: Column) -> Column:
+    """``array<struct<form, last, new>>`` of a document's name words, also in capitals and with one; longest first.
+
+    ``found`` maps "kind|value" to surrogates; ``last`` is whether the word was a surname.
+    """
+    names = F.filter(F.map_entries(found), lambda e: e["key"].rlike("^(?:given|surname)"))
+    last, value = lambda e: e["key"].startswith("surname"), lambda e: F.regexp_replace(e["key"], r"^[^|]*\|", "")
+
+    def forms(how: Callable[[Column], Column]) -> Column:
+        return F.transform(names, lambda e: F.struct(how(value(e)).alias("form"), last(e).alias("last"), how(e["value"]).alias("new")))
+
+    # As they stand comes before other capitals.
+    every = F.concat(forms(lambda c: c), forms(F.upper), forms(F.initcap))
+    order = lambda a, b: F.length(b["form"]) - F.length(a["form"])
+    return F.array_sort(every, order)
+
+
+def _bare_pattern(bare: Column) -> Column:
+    """Runs of up to three of these words, as whole words."""
+    word = F.concat(F.lit("(?:"), F.array_join(F.array_distinct(F.transform(bare, lambda b: b["form"])), "|"), F.lit(")"))
+    edge = r"(?!\p{L})"
+    return F.concat(F.lit(r"(?<!\p{L})"), word, F.lit(f"{edge}(?: "), word, F.lit(f"{edge}){{0,2}}"))
 
 
 def distinct_surrogates(found: DataFrame, key: str) -> DataFrame:
@@ -171,7 +200,9 @@ def distinct_surrogates(found: DataFrame, key: str) -> DataFrame:
 def with_surrogates(docs: DataFrame, key: str, doc: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows with ``text`` in which every entity is replaced, and ``n_entities``, ``n_distinct`` added.
 
-    NULL and empty texts stay as they are, with 0 entities. Overlapping candidates are taken from the left, at one place
+    Words of a titled name are replaced everywhere in its document, by the same surrogate; a word that is a given name and a
+    surname there counts as a surname unless another of these words follows it. NULL and empty texts stay as they
+    are, with 0 entities. Overlapping candidates are taken from the left, at one place
     in the order of ``PATTERNS``. Rows alike in id and text get the same result. Other columns are passed on, but
     ``n_entities`` and ``n_distinct`` replace columns of these names. An empty table gives none.
     """
@@ -187,18 +218,37 @@ def with_surrogates(docs: DataFrame, key: str, doc: str = "doc_id", text: str =
     keyed = docs.select(*others, k1.alias("__k1"), k2.alias("__k2"))
     # Both sides are shuffled whatever their size, so a small corpus shows what a large one costs.
     own = own.toDF("__k1", "__k2", "__map").hint("shuffle_merge")
-    joined = keyed.join(own, ["__k1", "__k2"], "left").withColumn(
-        "__found", F.when(F.col("__map").isNotNull(), entities(text)).otherwise(F.array().cast("array<string>"))
+    joined = keyed.join(own, ["__k1", "__k2"], "left").withColumn("__bare", _bare(F.col("__map")))
+    # Compiled once for all documents without names.
+    joined = joined.withColumn(
+        "__pattern", F.when(F.size("__bare") > 0, F.concat(F.lit(f"{_ALL}|"), _bare_pattern(F.col("__bare")))).otherwise(F.lit(_ALL))
     )
+    joined = joined.withColumn(
+        "__found", F.when(F.col("__map").isNotNull(), entities(text, F.col("__pattern"))).otherwise(F.array().cast("array<string>"))
+    )
+
+    def untitled(entity: Column) -> Column:
+        words = F.split(entity, " ")
+
+        def new(w: Column, i: Column) -> Column:
+            same = F.filter("__bare", lambda b: b["form"] == w)
+            fit = F.filter(same, lambda b: b["last"] == (i == F.size(words) - 1))
+            return F.element_at(F.concat(fit, same), 1)["new"]
+
+        return F.array_join(F.transform(words, new), " ")
 
     def written(entity: Column) -> Column:
+        typed = "|".join(p for p in PATTERNS.values())
+        return F.when(entity.rlike(f"^(?:{typed})$"), detected(entity)).otherwise(untitled(entity))
+
+    def detected(entity: Column) -> Column:
         parts = _parts(entity)
         new = F.transform(parts, lambda p: F.element_at(F.col("__map"), F.concat_ws("|", p["kind"], p["value"])))
         title = F.when(F.element_at(parts, 1)["kind"].rlike("^(?:given|surname)"), F.array(F.substring_index(entity, " ", 1)))
         return F.array_join(F.concat(F.coalesce(title, F.array().cast("array<string>")), new), " ")
 
     joined = joined.withColumn("__new", F.transform("__found", written))
-    replaced = F.array_join(F.zip_with(F.split(text, _ALL, -1), "__new", lambda p, n: F.concat(p, F.coalesce(n, F.lit("")))), "")
+    replaced = F.array_join(F.zip_with(F.split(text, F.col("__pattern"), -1), "__new", lambda p, n: F.concat(p, F.coalesce(n, F.lit("")))), "")
     new_text = F.when(F.col("__map").isNull(), F.col(text)).otherwise(replaced)
     return joined.select(
         *[new_text.alias(c) if c == text else F.col(c) for c in others], F.size("__found").cast("bigint").alias("n_entities"),

@@ -291,6 +291,23 @@ def test_surrogates_stay_distinct_in_small_shapes(spark):
     assert any(other[i].text != got[i].text for i, _ in texts)
 
 
+def test_bare_words_of_a_titled_name_get_its_surrogate(spark):
+    rows = [
+        (1, "Mr Ann Lee met Mrs Eve Lee-Smith. Lee's wife Ann Lee saw LEE and Lee-Smith; Leek, McLee and lee stay. Mail Lee@a.example.com"),
+        (2, "Lee and Ann are not named here"), (3, "Sir Lee Ford and Miss May Lee: Lee Ford, Lee. Dr O'Neil's, O'Neil"),
+    ]
+    got = by_id(with_surrogates(spark.createDataFrame(rows, "doc_id long, text string"), "key"))
+    one = re.fullmatch(
+        r"Mr (\w+) (\w+) met Mrs (\w+) ([\w-]+)\. (\w+)'s wife (\w+) (\w+) saw (\w+) and ([\w-]+); Leek, McLee and lee stay\. Mail \S+\.example", got[1].text
+    )
+    ann, lee, smith = one[1], one[2], one[4]
+    assert (one[5], one[6], one[7], one[8], one[9]) == (lee, ann, lee, lee.upper(), smith)
+    assert "Ann" not in got[1].text and got[1].n_entities == 7
+    assert got[2].text == rows[1][1]
+    three = re.fullmatch(r"Sir (\w+) (\w+) and Miss (\w+) (\w+): (\w+) (\w+), (\w+)\. Dr (\w+)'s, (\w+)", got[3].text)
+    assert (three[5], three[6], three[7]) == (three[1], three[2], three[4]) and three[8] == three[9] and three[4] == lee
+
+
 def test_surrogates_of_odd_rows(odd_docs, no_docs):
     rows = with_surrogates(odd_docs, "key").collect()
     assert len(rows) == odd_docs.count() and {r.text for r in rows if r.doc_id == 3} == {None}
