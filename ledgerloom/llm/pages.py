@@ -55,11 +55,19 @@ class _Line:
         self.text, self.tags, self.linked, self.path = text, tags, linked, path
 
 
+#: Never shown as text. What else stands in a head is none of it: browsers move it to the body.
+_UNSEEN_TAGS = set("title script style template iframe audio video canvas datalist".split())
+
+
 class LineParser(HTMLParser):
-    """Parser events to lines of text; ``holders`` maps the number of a container to its tag."""
+    """Parser events to lines of text; ``holders`` maps the number of a container to its tag.
+
+    With ``visible`` only what a reader doesn't see is left out, boilerplate is not.
+    """
 
-    def __init__(self) -> None:
+    def __init__(self, visible: bool = False) -> None:
         super().__init__(convert_charrefs=True)
+        self._visible = visible
         self.lines: list[_Line] = []
         self.holders = {0: "page"}
         self._open: list[tuple[str, int, int | None]] = []  # tag, how surely no content (0 to 2), container number
@@ -108,6 +116,11 @@ class LineParser(HTMLParser):
 
     def _boiler(self, tag: str, attrs: dict[str, str | None]) -> int:
         above = self._open[-1][1] if self._open else 0
+        if self._visible:
+            if tag in ("html", "body"):
+                return 0
+            unseen = tag in _UNSEEN_TAGS or "hidden" in attrs or tag == "dialog" and "open" not in attrs
+            return 2 if above or unseen or re.search(r"display\s*:\s*none", attrs.get("style") or "", re.I) else 0
         names = [set(re.findall(r"[a-z]+", x)) for x in f"{attrs.get('class') or ''} {attrs.get('id') or ''}".lower().split()]
         # "with-sidebar" says what the whole page has beside the text.
         words = set().union(*[n for n in names if not n & {"with", "has", "no", "without"}])
@@ -146,15 +159,15 @@ class LineParser(HTMLParser):
         self._parts, self._linked = [], 0
 
 
-def _events(html: str) -> LineParser:
+def _events(html: str, visible: bool = False) -> LineParser:
     try:
-        return _fed(html)
-    except AssertionError:  # the parser gives up on broken <![ sections; read them as text of a comment
-        return _fed(html.replace("<![", "<!-- "))
+        return _fed(html, visible)
+    except AssertionError:  # the parser gives up on broken <![ sections; read them as comments that end at the next >, as browsers do
+        return _fed(re.sub(r"<!\[[^>]*>?", "", html), visible)
 
 
-def _fed(html: str) -> LineParser:
-    parser = LineParser()
+def _fed(html: str, visible: bool) -> LineParser:
+    parser = LineParser(visible)
     for i in range(0, len(html), 1 << 16):
         parser.feed(html[i : i + (1 << 16)])
     parser.close()

@@ -18,7 +18,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.pages import LineParser
+from ledgerloom.llm.pages import _events
 
 _NAMES = uuid.UUID("6ba7b811-9dad-11d1-80b4-00c04fd430c8")  # fixed value: the name space for URLs
 RESPONSE = "record_id string, target_uri string, date string, http string, payload string"
@@ -60,14 +60,9 @@ def page_responses(pages: DataFrame, date: str, page: str = "page_id", url: str
 
 
 def plain_text(html: str | None) -> tuple[str, str, int]:
-    """All visible text, one line per block; the title; the number of links."""
+    """All visible text, menus, forms and boilerplate with it, one line per block; the title; the number of links."""
     html = html or ""
-    parser = LineParser()
-    try:
-        parser.feed(html)
-        parser.close()
-    except AssertionError:  # broken <![ section: what was read so far stands
-        pass
+    parser = _events(html, visible=True)
     title = re.search(r"<title[^>]*>(.*?)</title", html, re.S | re.I)
     return "\n".join(x.text for x in parser.lines), " ".join(title[1].split()) if title else "", len(re.findall(r"<a\s[^>]*href", html, re.I))
 

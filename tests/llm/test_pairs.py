@@ -9,7 +9,7 @@ from ledgerloom.llm.embeddings import near_duplicate_vectors
 from ledgerloom.llm.near import SLOTS, _joined_on_prefixes, inverse_frequencies, near_duplicates, weighted_jaccard, weighted_set
 from ledgerloom.llm.pages import extracted, main_text
 from ledgerloom.llm.tokens import WordCodes, folded_words
-from ledgerloom.llm.warc import derivatives, digest, page_responses, read_records, record_bytes, written_files
+from ledgerloom.llm.warc import derivatives, digest, page_responses, plain_text, read_records, record_bytes, written_files
 
 
 def groups(ids, edges):
@@ -158,6 +158,18 @@ def test_pages_of_odd_rows(spark):
 # archives
 
 
+def test_conversion_has_all_visible_text():
+    page = (
+        "<html><head><title>T</title><style>p{}</style></head><body><header>Top</header><nav><a href=1>Home</a></nav><div class='ad'>Buy</div>"
+        "<p>One</p><script>no()</script><div hidden>no</div><p style='display: none'>no</p><form role=search><button>Go</button></form>"
+        "<section class='comments related'><p>I agree</p></section><aside>Side</aside><footer>End</footer></body></html>"
+    )
+    assert plain_text(page) == ("Top\nHome\nBuy\nOne\nGo\nI agree\nSide\nEnd", "T", 1)
+    assert plain_text("<head><title>T</title><p>no body tag")[0] == "no body tag"
+    assert plain_text("<p>one</p><![foo[x]]><p>two</p>")[0] == "one\ntwo"
+    assert plain_text("<p>one</p><![x[ <p>two</p> three")[0] == "one\ntwo\nthree"
+
+
 def test_records_come_back_from_files(spark, tmp_path):
     pages = [(1, "http://a.example/x?y=1", "<html><title>A b</title><p>One<p>Two <a href=1>l</a></html>"), (2, None, None), (None, "http://b.example", "é ü")]
     df = spark.createDataFrame(pages, "page_id long, url string, html string")
