@@ -7,7 +7,7 @@ spelled out. Balls are found by hashing centres with random hyperplanes a few ti
 NN-descent then works on the nodes: starting from neighbours in blocks of the same hash, each node's neighbours (and those
 whose neighbour it is) are introduced to each other and every node keeps its ``k`` nearest, until hardly anything
 changes. A node whose ``k``-th neighbour is still near enough for a link is saturated; the lists of saturated nodes are
-doubled. Finally a bounded set of nodes is compared with all others, and if the graph has missed too many of
+doubled and stay so. Finally a bounded set of nodes is compared with all others, and if the graph has missed too many of
 their neighbours, lists grow and the descent goes on.
 
 Links are decided in double precision on the vectors themselves. Between two nodes the triangle inequality settles most
@@ -223,22 +223,26 @@ def neighbour_graph(nodes: DataFrame, reach: float, k: int = 6, rounds: int = 5,
     graph = _descended(nodes, graph, k, k, rounds, 0.05)
     farthest = nodes.agg(F.max("radius")).first()[0] or 0.0
     radius = nodes.select(F.col("node").alias("v"), "radius")
+    sizes = nodes.select(F.col("node").alias("v"), F.lit(k).alias("k"))
+    width = k
     for turn in range(4):
-        width = k
         while True:
-            last = graph.groupBy("v").agg(F.count(F.lit(1)).alias("have"), F.min("s").alias("s")).join(radius, "v")
-            full = last.where((F.col("have") >= width) & (F.acos(F.least("s", F.lit(1.0))) <= reach + F.col("radius") + farthest + 0.01))
-            full = saved(full.select("v"), "saturated")
+            last = graph.groupBy("v").agg(F.count(F.lit(1)).alias("have"), F.min("s").alias("s")).join(radius, "v").join(sizes, "v")
+            full = last.where((F.col("have") >= F.col("k")) & (F.acos(F.least("s", F.lit(1.0))) <= reach + F.col("radius") + farthest + 0.01))
+            full = saved(full.select("v", (2 * F.col("k")).alias("more")), "saturated")
             if full.isEmpty():
                 break
-            width *= 2
-            sizes = nodes.select(F.col("node").alias("v")).join(full.withColumn("k", F.lit(width)), "v", "left").select("v", F.coalesce("k", F.lit(k)).alias("k"))
+            # A list that was enlarged stays so, whichever others are saturated later.
+            sizes = saved(sizes.join(full, "v", "left").select("v", F.coalesce("more", "k").alias("k")), "sizes")
+            width = sizes.agg(F.max("k")).first()[0]
             graph = _descended(nodes, graph, sizes, width, 2, 0.0)
         recall = _audited(nodes, graph, reach, audit)
         if recall == 1.0:
             break
         k *= 2
-        graph = _descended(nodes, graph, k, k, rounds, 0.05)
+        sizes = saved(sizes.select("v", F.greatest("k", F.lit(k)).alias("k")), "sizes")
+        width = max(width, k)
+        graph = _descended(nodes, graph, sizes, width, rounds, 0.05)
     return graph, recall
 
 

@@ -5,7 +5,7 @@ import pytest
 
 import corpus_pipeline
 from ledgerloom.llm.components import components
-from ledgerloom.llm.embeddings import near_duplicate_vectors
+from ledgerloom.llm.embeddings import near_duplicate_vectors, neighbour_graph
 from ledgerloom.llm.near import SLOTS, _joined_on_prefixes, inverse_frequencies, near_duplicates, weighted_jaccard, weighted_set
 from ledgerloom.llm.pages import extracted, main_text
 from ledgerloom.llm.tokens import WordCodes, folded_words
@@ -110,6 +110,21 @@ def test_vectors_match_brute_force(spark):
         assert (r.n_links, r.component_id, r.kept) == (count[i], want[i], want[i] == i), i
 
 
+def node_table(spark, x):
+    rows = [(i, 1, len(v), v.tobytes(), 0.0) for i, v in enumerate(x / np.linalg.norm(x, axis=1, keepdims=True))]
+    return spark.createDataFrame(rows, "node long, n long, length int, centre binary, radius double")
+
+
+def test_lists_once_enlarged_stay_so(spark):
+    # Groups of all linked nodes; those of 10 need more than 6 neighbours, those of 30 are saturated again later.
+    rng = np.random.default_rng(7)
+    x = np.vstack([c + rng.standard_normal((n, 64)) * 0.15 for c, n in zip(rng.standard_normal((8, 64)), [10, 30] * 4)])
+    u = x / np.linalg.norm(x, axis=1, keepdims=True)
+    want = {(i, j) for i, j in np.argwhere(u @ u.T >= 0.95).tolist() if i < j}
+    graph, _ = neighbour_graph(node_table(spark, x), float(np.arccos(0.95)), audit=0)
+    assert len(want) > 1500 and want <= {(min(r.v, r.u), max(r.v, r.u)) for r in graph.collect()}
+
+
 def test_vectors_of_empty_and_odd_tables(spark):
     schema = "vec_id long, embedding array<float>, node long, unit string"
     assert near_duplicate_vectors(spark.createDataFrame([], schema)).count() == 0
