@@ -3,9 +3,8 @@
 The page streams through the standard library's HTML parser. Its events give lines: the text between two block
 boundaries, with the number of tags on the way. Elements that say what they are (menus, forms, comments, ..) give none. The
 ratio of text to tags per line is smoothed with a Gaussian, and lines above one standard deviation of the ratios are content;
-neighbouring ones form a cluster. The container that holds the clusters is the article: all its lines are taken, so a short
-paragraph isn't lost, outside ``article`` and ``main`` without those that are links. Where there is no container but
-the page itself, the clusters and the lines between them are taken.
+neighbouring ones form a cluster. The ``article`` or ``main`` element that holds the clusters is the article: all its lines are
+taken, so a short paragraph isn't lost. Where there is none, all lines of the page are, without those that are links.
 """
 
 from __future__ import annotations
@@ -195,25 +194,22 @@ def main_text(html: str | None) -> str:
         for h in x.path if good else ():
             weight[h] = weight.get(h, 0) + len(x.text)
     best = 0
-    # From the page down into the container that holds nearly all of the content.
+    # From the page down to the article element that holds all of the content.
     while parser.holders[best] not in _MAIN:
         inner = {x.path[x.path.index(best) + 1] for x in lines if best in x.path[:-1]}
         heavy = max(inner, key=lambda h: (weight.get(h, 0), -h), default=None)
-        if heavy is None or weight.get(heavy, 0) < 0.9 * weight[best]:
+        if heavy is None or weight.get(heavy, 0) < weight[best]:
+            best = 0  # no article holds it all, and other containers may be a part of one
             break
         best = heavy
     inside = [i for i, x in enumerate(lines) if best in x.path]
     if parser.holders[best] not in _MAIN:
-        good = [i for i in inside if chosen[i]]
-        # Short lines between clusters belong to the article unless they are links.
-        whole = parser.holders[best] not in ("page", "body")
-        inside = [
-            i for i in inside
-            if (whole or good[0] <= i <= good[-1]) and (chosen[i] or 2 * lines[i].linked < len(lines[i].text))
-        ]
         mains = {h for i in inside for h in lines[i].path if parser.holders[h] in _MAIN}
-        if mains:  # several articles: what stands outside them is none
+        held = sum(len(lines[i].text) for i in inside if chosen[i] and mains & set(lines[i].path))
+        if 2 * held > weight[best]:  # articles hold the content: what stands outside them is none
             inside = [i for i, x in enumerate(lines) if mains & set(x.path)]
+        else:  # short lines belong to the article unless they are links
+            inside = [i for i in inside if chosen[i] or 2 * lines[i].linked < len(lines[i].text)]
     return " ".join(lines[i].text for i in inside)
 
 

@@ -162,6 +162,19 @@ def test_pages_without_the_usual_parts(page, text):
     assert main_text(page) == text or page.startswith("<![")
 
 
+def test_parts_beside_the_longest_one_are_kept():
+    intro, long, end = "The introduction says why. " * 4, "The story goes on and on. " * 80, "In the end all was well. " * 4
+    flat = lambda *t: " ".join(" ".join(t).split())
+    for tag in ("section", "div", "blockquote", "td"):
+        inner = f"<table><tr><td><p>{long}</td></table>" if tag == "td" else f"<{tag}><p>{long}</{tag}>"
+        page = f"<body><div id=content><div><p>{intro}</div>{inner}<div><p>{end}</div></div></body>"
+        assert main_text(page) == flat(intro, long, end), tag
+    page = f"<body><p><a href=1>Home</a></p><p>Short.</p><p>One.</p><p>Two.</p><p>{long}</p><p>A.</p><p>B.</p><p>Last.</p></body>"
+    assert main_text(page) == flat("Short. One. Two.", long, "A. B. Last.")
+    page = f"<body><div><p>{long}</div><article><p>Another story of some words.</article></body>"
+    assert flat(long) in main_text(page)
+
+
 def test_pages_of_odd_rows(spark):
     schema = "page_id long, url string, html string, text string, doc string"
     rows = [(1, "u", "<p>a</p>", "x", "y"), (1, "u", "<p>a</p>", "x", "y"), (None, None, None, None, None)]
