@@ -1,7 +1,7 @@
 """A corpus pipeline: each stage applies one operator to what the stage before has kept.
 
-Ids are taken to be unique, as in ``documents``. Rows that share an id, NULL being one, are dropped together by the
-quality and the benchmark stage. The stages hand on the columns of ``documents`` (the last one gives the mix); further
+Each row is judged on its own, also where rows share an id, NULL being one; only rows alike in id and text are dropped together.
+The stages hand on the columns of ``documents`` (the last one gives the mix); further
 columns stay with their rows. An empty table stays empty through all stages.
 """
 
@@ -15,13 +15,15 @@ from ledgerloom.llm.lines import without_repeated_lines
 from ledgerloom.llm.mixing import mixed
 from ledgerloom.llm.near import near_duplicates
 from ledgerloom.llm.quality import quality_scores
-from ledgerloom.llm.tables import saved
+from ledgerloom.llm.tables import row_key, saved
 
 
-def _with_ids(docs: DataFrame, ids: DataFrame, how: str) -> DataFrame:
+def _with_keys(docs: DataFrame, keys: DataFrame, how: str) -> DataFrame:
+    """The rows whose ``row_key`` of id and text is (``left_semi``) or isn't (``left_anti``) among ``keys``."""
+    k1, k2 = row_key("doc_id", "text")
     # Shuffled whatever its size, so a small corpus shows what a large one costs.
-    ids = ids.select(F.col("doc_id").alias("__id")).distinct().hint("shuffle_merge")
-    return docs.join(ids, docs["doc_id"].eqNullSafe(ids["__id"]), how).select(docs.columns)
+    keys = keys.select(F.col("k1").alias("__k1"), F.col("k2").alias("__k2")).distinct().hint("shuffle_merge")
+    return docs.withColumns({"__k1": k1, "__k2": k2}).join(keys, ["__k1", "__k2"], how).select(docs.columns)
 
 
 def drop_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -29,8 +31,8 @@ def drop_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
     NULL texts are scored as empty ones.
     """
-    scores = quality_scores(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return _with_ids(docs, scores.where("predicted = 0"), "left_anti")
+    scores = quality_scores(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"), keys=True)
+    return _with_keys(docs, scores.where("predicted = 0"), "left_anti")
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -46,14 +48,16 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
     Empty texts are copies of each other; NULL texts are not. Of rows alike in id and text one stays.
     """
-    members, _ = near_duplicates(docs)
-    return _with_ids(docs, members.where("kept"), "left_semi").dropDuplicates(["doc_id", "text"])
+    members, _ = near_duplicates(docs, keys=True)
+    return _with_keys(docs, members.where("kept"), "left_semi").dropDuplicates(["doc_id", "text"])
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop the documents of which a twentieth of the words or more stands in benchmark windows."""
-    found = contaminated_words(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
-    return _with_ids(docs, found.where(contaminated()), "left_anti")
+    key = F.concat_ws(" ", *row_key("doc_id", "text"))
+    found = contaminated_words(docs.withColumn("__key", key), spark.read.parquet(f"{sf_dir}/benchmark.parquet"), doc="__key")
+    one, two = (F.split("__key", " ")[i].cast("bigint") for i in (0, 1))
+    return _with_keys(docs, found.where(contaminated()).select(one.alias("k1"), two.alias("k2")), "left_anti")
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

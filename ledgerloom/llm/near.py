@@ -205,7 +205,8 @@ def _joined_on_prefixes(rows: DataFrame, texts: DataFrame, idf, width: int, thre
 
 
 def near_duplicates(
-    docs: DataFrame, doc: str = "doc_id", text: str = "text", width: int = 5, threshold: float = 0.8, bands: int = 16, depth: int = 4
+    docs: DataFrame, doc: str = "doc_id", text: str = "text", width: int = 5, threshold: float = 0.8, bands: int = 16, depth: int = 4,
+    keys: bool = False,
 ) -> tuple[DataFrame, DataFrame]:
     """``(members, links)``.
 
@@ -215,7 +216,7 @@ def near_duplicates(
 
     Texts equal byte for byte, the empty one included, are one class; texts without words link with no other text. A NULL
     text stands alone. Of rows with the same smallest id one is kept; a NULL id counts as smallest. Other columns
-    are not read. An empty table gives none.
+    are not read. ``keys`` adds the ``row_key`` of id and text to ``members``. An empty table gives none.
     """
     spark = docs.sparkSession
     idf = spark.sparkContext.broadcast(inverse_frequencies(docs, text))
@@ -265,8 +266,9 @@ def near_duplicates(
     )
     heads = found.groupBy("component").agg(F.min(F.struct("first.id", "first.row")).alias("head"))
     found = saved(found.join(heads, "component").select("h1", "h2", F.col("first.id").alias("class_id"), "head"), "heads")
-    out = rows.select("row", "id", "h1", "h2").join(found, ["h1", "h2"]).select(
-        F.col("id").alias(doc), "class_id", F.col("head.id").alias("component_id"), (F.col("row") == F.col("head.row")).alias("kept")
+    named = ["k1", "k2"] if keys else []
+    out = rows.select("row", "id", "h1", "h2", *named).join(found, ["h1", "h2"]).select(
+        F.col("id").alias(doc), "class_id", F.col("head.id").alias("component_id"), (F.col("row") == F.col("head.row")).alias("kept"), *named
     )
     first = classes.select(F.col("first.row").alias("row"), F.col("first.id").alias("id"))
     named_links = links.join(first.toDF("a", "id_a"), "a").join(first.toDF("b", "id_b"), "b")

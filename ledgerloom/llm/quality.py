@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.tables import carried, restored, saved
+from ledgerloom.llm.tables import carried, restored, row_key, saved
 
 _SPACE, _LOWER, _UPPER, _DIGIT, _MARK, _SYMBOL, _OTHER = range(7)
 _CLASS = np.full(256, _OTHER, np.int64)
@@ -78,14 +78,15 @@ def statistics(text: str | None) -> list[float]:
 
 
 def measured(docs: DataFrame, doc: str, text: str) -> DataFrame:
-    """``(doc, x)`` per row: the id and the statistics of its text."""
+    """``(doc, k1, k2, x)`` per row: the id, the row's key and the statistics of its text."""
 
     def measure(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            yield pd.DataFrame({"doc": batch["doc"], "x": [statistics(t) for t in batch["text"]]})
+            yield batch[["doc", "k1", "k2"]].assign(x=[statistics(t) for t in batch["text"]])
 
-    found = docs.select(carried(doc).alias("doc"), F.col(text).alias("text")).mapInPandas(measure, "doc string, x array<double>")
-    return found.select(restored(docs, doc), "x")
+    held = docs.select(carried(doc).alias("doc"), *row_key(doc, text), F.col(text).alias("text"))
+    found = held.mapInPandas(measure, "doc string, k1 long, k2 long, x array<double>")
+    return found.select(restored(docs, doc), "k1", "k2", "x")
 
 
 @dataclass(frozen=True)
@@ -149,13 +150,14 @@ def held_out(doc: str) -> Column:
 
 
 def quality_scores(
-    docs: DataFrame, labels: DataFrame, doc: str = "doc_id", text: str = "text", label: str = "quality", threshold: float = 0.3
+    docs: DataFrame, labels: DataFrame, doc: str = "doc_id", text: str = "text", label: str = "quality", threshold: float = 0.3,
+    keys: bool = False,
 ) -> DataFrame:
     """One row ``(doc, held_out, score, predicted)`` per input row.
 
     The model learns from all labelled rows that are not held out; ids, labels and other columns are no inputs of a
     score. NULL texts score as empty ones. A NULL label is ignored; of an id with several labels each counts. Rows
-    with the same id are scored each on its own text.
+    with the same id are scored each on its own text; ``keys`` adds the ``row_key`` of id and text.
     """
     rows = saved(measured(docs, doc, text), "statistics")
     named = labels.select(F.col(doc).alias("labelled"), F.col(label).cast("int").alias("label")).where(
@@ -167,9 +169,9 @@ def quality_scores(
         for batch in batches:
             x = np.array(batch["x"].to_list()).reshape(len(batch), -1)
             s = model.scores(x) if isinstance(model, Discriminant) else np.full(len(batch), model)
-            yield pd.DataFrame({"doc": batch["doc"], "score": np.round(s, 9)})
+            yield batch[["doc", "k1", "k2"]].assign(score=np.round(s, 9))
 
-    found = rows.select(carried(doc).alias("doc"), "x").mapInPandas(score, "doc string, score double")
-    return found.select(restored(docs, doc), "score").select(
-        doc, held_out(doc).alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted")
+    found = rows.select(carried(doc).alias("doc"), "k1", "k2", "x").mapInPandas(score, "doc string, k1 long, k2 long, score double")
+    return found.select(restored(docs, doc), "k1", "k2", "score").select(
+        doc, held_out(doc).alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"), *(["k1", "k2"] if keys else [])
     )

@@ -242,3 +242,24 @@ def test_near_duplicate_stage_keeps_one_of_each_group(copies, spark):
     kept = {r.doc_id for r in corpus_pipeline.drop_near_duplicates(spark, docs, "").collect()}
     members = near_duplicates(docs)[0].collect()
     assert kept == {r.doc_id for r in members if r.kept}
+
+
+def test_rows_that_share_an_id_are_judged_each_on_its_own(spark, prose, tmp_path):
+    path, item = str(tmp_path), prose(30, 900)
+    good, bad = [prose(60, i).capitalize() + "." for i in range(60)], [" ".join(w.upper() + "!!" for w in prose(40, i).split()) for i in range(60)]
+    rows = [(i, t) for i, t in enumerate(good[:50] + bad[:50])] + [(None, t) for t in [*good[50:], bad[50], item.capitalize() + "."]]
+    rows += [(7, bad[51]), (8, good[8] + " end"), (None, good[51] + " end")]
+    docs = spark.createDataFrame([(i, t, "s") for i, t in rows], "doc_id long, text string, source string")
+    docs.repartition(3).write.parquet(f"{path}/documents.parquet")
+    spark.createDataFrame([(i, int(i < 50)) for i in range(100) if i not in (7, 8)], "doc_id long, quality int").write.parquet(f"{path}/labels.parquet")
+    spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(f"{path}/benchmark.parquet")
+    got = docs
+    for _, stage in corpus_pipeline.STAGES[:4]:
+        got = corpus_pipeline.saved(stage(spark, got, path), "test")
+    # Plainly: no junk, not the benchmark's text, one of each two near copies.
+    kept = sorted(((r.doc_id, r.text) for r in got.collect()), key=str)
+    pairs = [(8, good[8]), (8, good[8] + " end")], [(None, good[51]), (None, good[51] + " end")]
+    assert all(sum(x in kept for x in pair) == 1 for pair in pairs)
+    alone = sorted([(i, t) for i, t in rows if "!!" not in t and item.capitalize() + "." != t and not any((i, t) in p for p in pairs)], key=str)
+    assert [x for x in kept if not any(x in p for p in pairs)] == alone
+    assert sorted((r.doc_id for r in corpus_pipeline.run(spark, path).collect()), key=str) == sorted((i for i, _ in kept), key=str)
