@@ -1,4 +1,4 @@
-"""The queries ``op1_*`` to ``op10_*``: each applies its operator to a whole table and derives the digest columns."""
+"""The queries ``op1_*`` to ``op13_*``: each applies its operator to a whole table and derives the digest columns."""
 
 from __future__ import annotations
 
@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ledgerloom.llm.decontaminate import contaminated, contaminated_words
 from ledgerloom.llm.embeddings import near_duplicate_vectors
 from ledgerloom.llm.lines import without_repeated_lines
+from ledgerloom.llm.merkle import folded, manifest, proof_digest
 from ledgerloom.llm.mixing import mixed
 from ledgerloom.llm.near import near_duplicates
 from ledgerloom.llm.pages import extracted
@@ -79,6 +80,14 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = manifest(_table(spark, sf_dir, "documents"))
+    found = found.select(
+        "doc_id", "leaf", "subroot", "root", proof_digest(F.col("path")).alias("proof_sha256"), folded(F.col("altered"), F.col("path")).alias("folded_root")
+    )
+    return found.withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_embedding_dedup": op1_embedding_dedup,
     "op2_substring_dedup": op2_substring_dedup,
@@ -90,5 +99,6 @@ QUERIES: dict[str, Query] = {
     "op8_minhash_near_dedup": op8_minhash_near_dedup,
     "op9_quality": op9_quality,
     "op10_decontamination": op10_decontamination,
+    "op11_merkle_manifest": op11_merkle_manifest,
 }
 SQL: dict[str, str] = {name: sql for name, sql in ORACLE.items() if name in QUERIES}

