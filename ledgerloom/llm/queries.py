@@ -18,6 +18,7 @@ from ledgerloom.llm.quality import quality_scores
 from ledgerloom.llm.sql import SQL as ORACLE
 from ledgerloom.llm.substrings import without_repeats
 from ledgerloom.llm.surrogates import with_surrogates
+from ledgerloom.llm.tries import prefix_nodes
 from ledgerloom.llm.warc import derivatives, page_responses
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -88,6 +89,11 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("verified", F.col("folded_root") == F.col("root"))
 
 
+def op12_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    borrowed = F.crc32(F.col("c").cast("string").cast("binary")) % 9
+    return prefix_nodes(_table(spark, sf_dir, "conversations"), borrowed, F.col("c") - F.col("c") % 5)
+
+
 QUERIES: dict[str, Query] = {
     "op1_embedding_dedup": op1_embedding_dedup,
     "op2_substring_dedup": op2_substring_dedup,
@@ -100,5 +106,6 @@ QUERIES: dict[str, Query] = {
     "op9_quality": op9_quality,
     "op10_decontamination": op10_decontamination,
     "op11_merkle_manifest": op11_merkle_manifest,
+    "op12_conversation_trie": op12_conversation_trie,
 }
 SQL: dict[str, str] = {name: sql for name, sql in ORACLE.items() if name in QUERIES}

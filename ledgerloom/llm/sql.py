@@ -124,3 +124,32 @@ FROM walk w JOIN pos p ON p.lang IS NOT DISTINCT FROM w.lang AND p.k = w.start
 JOIN subs s ON s.lang IS NOT DISTINCT FROM w.lang JOIN top t ON t.n = 1
 WHERE w.part = 1 AND w.n = 1
 """
+
+SQL["op12_conversation_trie"] = rf"""
+WITH t AS (
+  SELECT conv_id AS c, coalesce(role, '') AS r, coalesce(text, '') AS x,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST) AS rn FROM conversations WHERE conv_id IS NOT NULL
+), ids AS (
+  SELECT c, c - c % 5 AS base, {_crc32("c")} % 9 AS h FROM (SELECT DISTINCT c FROM t)
+), said AS (
+  SELECT i.c, 0 AS part, rn, r, x FROM ids i JOIN t ON t.c = i.base AND rn <= h
+  UNION ALL SELECT i.c, 1, rn, r, x FROM ids i JOIN t ON t.c = i.c AND rn > h
+), turn AS (
+  SELECT c, row_number() OVER (PARTITION BY c ORDER BY part, rn) AS d, strlen(x) AS b, sha256(strlen(r) || ':' || r || x) AS m FROM said
+), member AS (
+  SELECT c, d, b, string_agg(m, '') OVER (PARTITION BY c ORDER BY d) AS k FROM turn UNION ALL SELECT c, 0, 0, '' FROM ids
+), node AS (
+  SELECT k, d, min(c) AS conv, count(*) AS n, max(b) AS b FROM member GROUP BY k, d
+), ends AS (
+  SELECT k, string_agg(CAST(c AS VARCHAR), ',' ORDER BY c) AS ids FROM (SELECT c, max(d) AS d FROM member GROUP BY c) JOIN member USING (c, d) GROUP BY k
+), kids AS (
+  SELECT left(k, 64 * (d - 1)) AS k, count(*) AS n FROM node WHERE d > 0 GROUP BY 1
+), sub AS (
+  SELECT left(u.k, 64 * u.i) AS k, count(*) FILTER (WHERE c.n IS NULL) AS n_leaves, sum((u.n - 1) * u.b) AS saved
+  FROM (SELECT *, unnest(range(0, d + 1)) AS i FROM node) u LEFT JOIN kids c ON c.k = u.k GROUP BY 1
+)
+SELECT a.conv AS conv_id, a.d AS depth, p.conv AS parent_conv_id, a.n AS n_convs, coalesce(c.n, 0) AS n_children, s.n_leaves,
+  CAST(s.saved AS BIGINT) AS saved_tokens, sha256(coalesce(e.ids, '')) AS ends_sha256
+FROM node a JOIN sub s ON s.k = a.k LEFT JOIN kids c ON c.k = a.k LEFT JOIN ends e ON e.k = a.k
+LEFT JOIN node p ON a.d > 0 AND p.d = a.d - 1 AND p.k = left(a.k, 64 * (a.d - 1))
+"""
