@@ -17,6 +17,7 @@ from ledgerloom.llm.pages import extracted
 from ledgerloom.llm.quality import quality_scores
 from ledgerloom.llm.sql import SQL as ORACLE
 from ledgerloom.llm.substrings import without_repeats
+from ledgerloom.llm.suffixes import text_scores
 from ledgerloom.llm.surrogates import with_surrogates
 from ledgerloom.llm.tries import prefix_nodes
 from ledgerloom.llm.warc import derivatives, page_responses
@@ -94,6 +95,10 @@ def op12_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_nodes(_table(spark, sf_dir, "conversations"), borrowed, F.col("c") - F.col("c") % 5)
 
 
+def op13_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return text_scores(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_embedding_dedup": op1_embedding_dedup,
     "op2_substring_dedup": op2_substring_dedup,
@@ -107,5 +112,6 @@ QUERIES: dict[str, Query] = {
     "op10_decontamination": op10_decontamination,
     "op11_merkle_manifest": op11_merkle_manifest,
     "op12_conversation_trie": op12_conversation_trie,
+    "op13_lm_scores": op13_lm_scores,
 }
 SQL: dict[str, str] = {name: sql for name, sql in ORACLE.items() if name in QUERIES}
