@@ -1,8 +1,8 @@
 """Prefix trie of conversations with double arrays.
 
-Equal conversations are one sequence with a count. Sequences are dealt into shards by prefix: of the prefixes of 1, 2, 4, ..
-turns and the whole one, a sequence goes by the shortest whose sequences go on for ``LIMIT`` turns at most together, so a
-very common first turn is split further down and a shard stays small. Each shard numbers its turns densely and packs its
+Equal conversations are one sequence with a count. Sequences are dealt into shards by prefix: of its prefixes of 1, 2, 4, ..
+turns a sequence goes by the shortest whose sequences go on for ``LIMIT`` turns at most together, so a very common first
+turn is split further down and a shard stays small. Each shard numbers its turns densely and packs its
 trie into a double array: a state's child for turn ``t`` is ``BASE[state] + t`` if ``CHECK`` of that slot names the state.
 Walking the sequences through the arrays gives the nodes and their sums.
 
@@ -152,7 +152,7 @@ def shard_nodes(rows: pd.DataFrame, shared: pd.DataFrame) -> pd.DataFrame:
     """Nodes of one shard: finished ones and the shard's part of the shared ones.
 
     ``rows``: ``(c, copies, depth, h1, h2, bytes, p1, p2, cut)``, a sequence's nodes above depth ``cut`` being shared.
-    ``shared``: ``(depth, p1, p2, conv)`` with the smallest member anywhere.
+    ``shared``: ``(depth, p1, p2, conv, sequences)`` with the smallest member and the number of sequences anywhere.
     """
     rows = rows.sort_values(["c", "depth"], ignore_index=True)
     sequence, depth = np.unique(rows["c"].to_numpy(), return_inverse=True)[1], rows["depth"].to_numpy()
@@ -175,19 +175,20 @@ def shard_nodes(rows: pd.DataFrame, shared: pd.DataFrame) -> pd.DataFrame:
     n[0] = rows.loc[rows["depth"] == 1, "copies"].sum()
     nbytes[states], level[states] = rows["bytes"].to_numpy()[first], depth[first]
     upper[0], upper[states] = 1, depth[first] < rows["cut"].to_numpy()[first]
-    smallest = {(d, a, b): c for d, a, b, c in zip(shared["depth"], shared["p1"], shared["p2"], shared["conv"])}
+    known = {(d, a, b): (c, k) for d, a, b, c, k in zip(*(shared[x] for x in ("depth", "p1", "p2", "conv", "sequences")))}
     p1, p2 = np.zeros(size, np.int64), np.zeros(size, np.int64)
     p1[states], p2[states] = rows["p1"].to_numpy()[first], rows["p2"].to_numpy()[first]
-    shown = conv.copy()
+    shown, passing = conv.copy(), np.ones(size, np.int64)
     for s in np.flatnonzero(upper):
-        shown[s] = smallest[level[s], p1[s], p2[s]]
+        shown[s], passing[s] = known[level[s], p1[s], p2[s]]
     # A shared node is accounted for by the shard that holds its smallest member.
     mine = (shown == conv).astype(np.int64)
 
     kids, children, leaves = (np.zeros(size, np.int64) for _ in range(3))
     np.add.at(kids, parent[states], 1)
     np.add.at(children, parent[states], mine[states])
-    leaves[states] = (kids[states] == 0) & (upper[states] == 0)
+    # A shared node that ends here goes on elsewhere if other sequences pass it.
+    leaves[states] = (kids[states] == 0) & ((upper[states] == 0) | (passing[states] == 1))
     saved_bytes = (n - mine) * nbytes
     for own in reversed(levels):
         at = np.unique(reached[own])
@@ -206,13 +207,13 @@ _SHARD = "shared boolean, depth long, p1 long, p2 long, conv long, parent long,
 def _dealt(turns: DataFrame, reps: DataFrame) -> DataFrame:
     """The turns of the sequences with the depth ``cut`` and the ``shard`` they go by."""
     power = F.log2("depth") == F.floor(F.log2("depth"))
-    marks = turns.where(power | (F.col("depth") == F.col("length")))
+    marks = turns.where(power)
     weight = marks.groupBy(*_NODE).agg(F.sum(F.col("length") - F.col("depth") + 1).alias("weight")).where(F.col("weight") <= LIMIT)
     light = marks.join(weight.drop("weight"), _NODE)
     cuts = light.groupBy("c").agg(F.min(F.struct(*_NODE)).alias("cut"))
     total = reps.agg(F.sum("length")).first()[0] or 0
     shards = max(1, -(-int(total) // LIMIT))
-    # A sequence all of whose prefixes are common ends inside the shared part and may go anywhere.
+    # A sequence all of whose prefixes are common lies in the shared part and may go anywhere.
     by = F.coalesce(F.xxhash64("cut.depth", "cut.p1", "cut.p2"), F.xxhash64("c"))
     plan = reps.join(cuts, "c", "left").select("c", F.coalesce("cut.depth", F.col("length") + 1).alias("cut"), F.pmod(by, F.lit(shards)).alias("shard"))
     return turns.drop("length").join(plan, "c")
@@ -275,11 +276,13 @@ def prefix_nodes(
     reps = saved(reps.select("c", "copies", "length"), "sequences")
     own = saved(_dealt(turns.join(reps, "c"), reps), "shards")
 
-    none = reps.where("length = 0").select(F.lit(-1).cast("long").alias("shard"), F.col("c").alias("conv"))
     at_root = [F.lit(0).cast("long").alias(x) for x in _NODE]
-    heads = own.groupBy("shard").agg(F.min("c").alias("conv")).unionByName(none).select("shard", *at_root, "conv")
-    above = own.where("depth < cut").groupBy("shard", *_NODE).agg(F.min("c").alias("conv")).unionByName(heads)
-    shared = saved(above.withColumn("conv", F.min("conv").over(Window.partitionBy(*_NODE))), "shared")
+    members = [F.min("c").alias("conv"), F.count(F.lit(1)).alias("sequences")]
+    none = reps.where("length = 0").select(F.lit(-1).cast("long").alias("shard"), F.col("c").alias("conv"), F.lit(1).cast("long").alias("sequences"))
+    heads = own.where("depth = 1").groupBy("shard").agg(*members).unionByName(none).select("shard", *at_root, "conv", "sequences")
+    above = own.where("depth < cut").groupBy("shard", *_NODE).agg(*members).unionByName(heads)
+    node = Window.partitionBy(*_NODE)
+    shared = saved(above.withColumns({"conv": F.min("conv").over(node), "sequences": F.sum("sequences").over(node)}), "shared")
 
     def nodes(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         return shard_nodes(left, right)
