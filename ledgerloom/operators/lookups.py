@@ -1,12 +1,14 @@
 """Effective-dated, banded and override lookups.
 
 All take plain lookup tables. A lookup whose condition is only a range is turned into an
-equi-join on months, so no nested loop is planned however large either side is.
+equi-join on months, so no nested loop is planned however large either side is. Bands and
+overrides that overlap fail the job.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -56,7 +58,8 @@ def effective_lookup(
 
     ``months`` bounds the dates looked up; without it they are found by a subquery on
     ``df``, so a long job should pass :func:`months_spanned` of its base table. ``single``
-    fails the job when two periods of a key overlap, since the row would be doubled.
+    fails the job when two periods of a key overlap, since the row would be doubled; several
+    such lookups are better made by one :func:`ledgerloom.operators.sweep.sweep`.
     """
     for name, value in (constants or {}).items():
         dim = dim.filter(F.col(name) == F.lit(value))
@@ -87,6 +90,55 @@ def effective_lookup(
     return df.join(keep, cond, how).drop("__month", "__beg", "__end", *[f"__k_{b}" for b in on.values()])
 
 
+def _one_box(dim: DataFrame, keys: Sequence[str], bands: Sequence[tuple[str, str]]) -> DataFrame:
+    """Pass ``dim`` through, failing the job when two rows of a key hold a point in common.
+
+    Boxes meet if they meet in every band. With one band, a row meets an earlier one (by lower bound) if it starts before the
+    greatest upper bound so far. With more, each key is cut into cells at the lower bounds of the band that has most of them;
+    two boxes that meet share a cell, so only boxes of one cell are compared.
+    """
+    boxes = dim.select(*[F.col(k).alias(f"k{i}") for i, k in enumerate(keys)], *[F.struct(F.col(lo).alias("lo"), F.col(hi).alias("hi")).alias(f"b{i}") for i, (lo, hi) in enumerate(bands)])
+    group = [f"k{i}" for i in range(len(keys))]
+    axes = [f"b{i}" for i in range(len(bands))]
+    for c in axes:
+        boxes = boxes.filter(F.col(c)["lo"] <= F.col(c)["hi"])
+    if len(bands) == 1:
+        before = Window.partitionBy(*group).orderBy("b0.lo", "b0.hi").rowsBetween(Window.unboundedPreceding, -1)
+        met = boxes.withColumn("until", F.max("b0.hi").over(before)).filter(F.col("until") >= F.col("b0.lo"))
+    else:
+        boxes = boxes.withColumn("n", F.monotonically_increasing_id())
+        counts = boxes.groupBy(*group).agg(*[F.count_distinct(F.col(c)["lo"]).alias(f"n_{c}") for c in axes])
+        most = F.greatest(*[f"n_{c}" for c in axes])
+        axis = F.coalesce(*[F.when(F.col(f"n_{c}") == most, F.lit(c)) for c in axes])
+        axis = counts.select(*[F.col(g).alias(f"{g}_") for g in group], axis.alias("axis"))
+        own = boxes.join(axis, [F.col(g) == F.col(f"{g}_") for g in group]).drop(*[f"{g}_" for g in group])
+        # Bounds of different bands may have different types; a cell is named by the rank of its lower bound.
+        rank = {c: F.dense_rank().over(Window.partitionBy(*group).orderBy(F.col(c)["lo"])) for c in axes}
+        last = {c: F.max(F.col(f"r_{c}")).over(Window.partitionBy(*group).orderBy(F.col("edge"))) for c in axes}
+        parts = []
+        for c in axes:
+            mine = own.filter(F.col("axis") == c).withColumn(f"r_{c}", rank[c])
+            # How far a box reaches: the last lower bound up to its upper one, from one order of both kinds of bounds.
+            edges = mine.select(*group, "n", F.col(f"r_{c}"), F.col(c)["lo"].alias("edge"), F.lit(0).alias("side")).unionByName(
+                mine.select(*group, "n", F.lit(0).alias(f"r_{c}"), F.col(c)["hi"].alias("edge"), F.lit(1).alias("side"))
+            )
+            reach = edges.withColumn("reach", last[c]).filter("side = 1").select(F.col("n").alias("of"), "reach")
+            parts.append(mine.join(reach, F.col("n") == F.col("of")).withColumn("cell", F.explode(F.sequence(F.col(f"r_{c}"), F.col("reach")))).select(*group, *axes, "n", "axis", "cell"))
+        cells = parts[0]
+        for part in parts[1:]:
+            cells = cells.unionByName(part)
+        right = cells.toDF(*[f"{c}_" for c in cells.columns])
+        cond = (F.col("n") < F.col("n_")) & (F.col("cell") == F.col("cell_"))
+        for g in group:
+            cond = cond & (F.col(g) == F.col(f"{g}_"))
+        for c in axes:
+            cond = cond & (F.col(c)["lo"] <= F.col(f"{c}_")["hi"]) & (F.col(f"{c}_")["lo"] <= F.col(c)["hi"])
+        met = cells.join(right, cond)
+    doubled = met.agg(F.count(F.lit(1))).scalar()
+    failure = F.raise_error(F.lit(f"overlapping bands of {list(keys)}")).cast("boolean")
+    return dim.filter(F.when(doubled > 0, failure).otherwise(F.lit(True)))
+
+
 def band_join(
     df: DataFrame,
     dim: DataFrame,
@@ -95,9 +147,13 @@ def band_join(
     cols: Mapping[str, str],
     how: str = "left",
 ) -> DataFrame:
-    """Equality keys plus closed bands ``(df column, dim lower, dim upper)``."""
+    """Equality keys plus closed bands ``(df column, dim lower, dim upper)``.
+
+    Bands of a key that overlap would double a row and fail the job. A NULL bound holds nothing.
+    """
     if not on:
         raise ValueError("a band lookup needs at least one equality key")
+    dim = _one_box(dim, list(on.values()), [(lo, hi) for _, lo, hi in bands])
     keep = dim.select(
         *[F.col(b).alias(f"__k_{b}") for b in on.values()],
         *[F.col(lo).alias(f"__lo{i}") for i, (_, lo, _) in enumerate(bands)],
@@ -114,6 +170,50 @@ def band_join(
     return df.join(keep, cond, how).drop(*limits, *[f"__k_{b}" for b in on.values()])
 
 
+@dataclass(frozen=True)
+class Override:
+    """One value to be replaced: ``out`` is the override of ``variable`` in ``lookup`` that holds ``value``, else ``value``."""
+
+    lookup: str
+    variable: str
+    value: str
+    out: str
+
+
+def override_lookups(df: DataFrame, overrides: DataFrame, wanted: Sequence[Override], period: str, line: str) -> DataFrame:
+    """Any number of overrides by one join on ``line`` and ``period``.
+
+    ``overrides``: line, lookup, lookup_var, beg, end, min_val, max_val, override. Names are compared as literals; nothing is
+    pasted into SQL text. Ranges and overrides may be text; they are read in the type of the value. An override without a
+    beginning, an end or a bound holds nothing, so the value stays.
+
+    The rules in force are gathered for the pairs of line and period that occur, each variable's in an array, so an open
+    end costs nothing. Two rules that hold the same value at the same time fail the job.
+    """
+    kinds = {f.name: f.dataType for f in df.schema.fields}
+    which = F.coalesce(*[F.when((F.col("lookup") == F.lit(w.lookup)) & (F.col("lookup_var") == F.lit(w.variable)), F.lit(i)) for i, w in enumerate(wanted)])
+    if len({(w.lookup, w.variable) for w in wanted}) != len(wanted):
+        raise ValueError("a variable is wanted twice")
+    rules = overrides.select(
+        F.col("line").alias("__l"), F.col("beg").alias("__beg"), F.col("end").alias("__end"), which.alias("__which"),
+        F.struct(F.col("min_val").cast("string").alias("lo"), F.col("max_val").cast("string").alias("hi"), F.col("override").cast("string").alias("to")).alias("__rule"),
+    ).filter("__which is not null")
+    asked = df.select(F.col(line).alias("__line"), F.col(period).alias("__period")).distinct()
+    force = asked.join(rules, (F.col("__line") == F.col("__l")) & F.col("__period").between(F.col("__beg"), F.col("__end")))
+    gathered = [F.collect_list(F.when(F.col("__which") == i, F.col("__rule"))).alias(f"__rules{i}") for i in range(len(wanted))]
+    force = force.groupBy("__line", "__period").agg(*gathered)
+    out = df.join(force, (F.col(line) == F.col("__line")) & (F.col(period) == F.col("__period")), "left")
+
+    def replaced(i: int, w: Override) -> Column:
+        kind, value = kinds[w.value], F.col(w.value)
+        hits = F.filter(f"__rules{i}", lambda r: value.between(r["lo"].try_cast(kind), r["hi"].try_cast(kind)))
+        failure = F.raise_error(F.lit(f"overlapping overrides of {w.lookup} {w.variable}")).cast(kind)
+        return F.when(F.size(hits) > 1, failure).otherwise(F.coalesce(F.get(hits, F.lit(0))["to"].try_cast(kind), value))
+
+    new = {w.out: replaced(i, w) for i, w in enumerate(wanted)}
+    return out.withColumns(new).drop("__line", "__period", *[f"__rules{i}" for i in range(len(wanted))])
+
+
 def override_lookup(
     df: DataFrame,
     overrides: DataFrame,
@@ -124,29 +224,8 @@ def override_lookup(
     line: str,
     out: str,
 ) -> DataFrame:
-    """``out`` = the override whose period and value range hold ``value``, else ``value``.
-
-    ``overrides``: line, lookup, lookup_var, beg, end, min_val, max_val, override. Names are
-    compared as literals; nothing is pasted into SQL text. An override is spelled out into the
-    years it touches, so the join has an equality even when ``line`` is a constant. Ranges and
-    overrides may be text; they are read in the type of ``value``.
-    """
-    year = lambda c: F.floor(F.col(c) / 100).cast("int")
-    kind = df.schema[value].dataType
-    mine = overrides.filter((F.col("lookup") == F.lit(lookup)) & (F.col("lookup_var") == F.lit(variable))).select(
-        F.col("line").alias("__line"), F.col("beg").alias("__beg"), F.col("end").alias("__end"),
-        *[F.col(c).try_cast(kind).alias(o) for c, o in (("min_val", "__min"), ("max_val", "__max"), ("override", "__override"))],
-    ).withColumn("__year", F.explode(F.sequence(year("__beg"), year("__end"))))
-    cond = (
-        (year(period) == F.col("__year")) &
-        (F.col(line) == F.col("__line"))
-        & F.col(period).between(F.col("__beg"), F.col("__end"))
-        & F.col(value).between(F.col("__min"), F.col("__max"))
-    )
-    return (
-        df.join(mine, cond, "left").withColumn(out, F.coalesce(F.col("__override"), F.col(value)))
-        .drop("__line", "__beg", "__end", "__min", "__max", "__override", "__year")
-    )
+    """One override; see :func:`override_lookups`."""
+    return override_lookups(df, overrides, [Override(lookup, variable, value, out)], period, line)
 
 
 def metric_lookup(df: DataFrame, metrics: DataFrame, on: Mapping[str, str], label: str, value: str,
