@@ -13,7 +13,7 @@ of the divergence test take the same way. No table of the model is ever held by
 exchanged grows with the distinct n-grams of the chunks. Chunks and answers are tables bucketed by chunk, so the words
 themselves are not shuffled.
 
-N-grams are known by 64 bits of hash.
+Single words are known by 64 bits of hash, longer n-grams by 48.
 """
 
 from __future__ import annotations
@@ -36,12 +36,16 @@ DEPTH = 3
 LEAST = 16
 PRIOR = 16.0
 DIVERGENCE = 3.0
-CHUNK = 1 << 21
+CHUNK = 1 << 20
 #: Distinct n-grams that a shard holds at about.
 SHARD = 1 << 22
 #: Per level the sorted hashes that a chunk asks for, and what it holds of each.
 Request = Iterator[tuple[int, np.ndarray, np.ndarray]]
 _LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
+#: Bits by which n-grams of two and more words are known; the rest is cut off.
+_KNOWN = np.uint64(((1 << 48) - 1) << 16)
+#: Gains are added up as whole parts of a nat, so their order does not matter.
+_PART = 1024
 #: Closes every text; no word holds white space.
 _END = b"\n"
 
@@ -101,6 +105,12 @@ def _dealt(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield done()
 
 
+def _distinct(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct hashes in order, and which of them each is."""
+    keys, inverse = np.unique(hashes, return_inverse=True)
+    return keys, inverse.astype(np.int32)
+
+
 class Chunk:
     """The words of a chunk with the counts of n-grams that were answered so far.
 
@@ -109,10 +119,10 @@ class Chunk:
 
     def __init__(self, row: dict, answers: list[np.ndarray]):
         self.sizes, self.vocabulary = np.asarray(row["sizes"], np.int64), _unpacked_keys(row["vocabulary"])
-        self.words = _unpacked(row["words"], np.int64)
+        self.words = _unpacked(row["words"], np.int64).astype(np.int32)
         self.codes = self.vocabulary[self.words]
         self.starts = np.concatenate([[0], np.cumsum(self.sizes)[:-1]])
-        self.place = np.arange(len(self.words)) - np.repeat(self.starts, self.sizes)
+        self.place = np.arange(len(self.words), dtype=np.int32) - np.repeat(self.starts.astype(np.int32), self.sizes)
         self.learned = np.repeat(~np.asarray(row["held"], bool), self.sizes)
         self.counts: list[np.ndarray] = []
         for level, answer in enumerate(answers):
@@ -124,8 +134,7 @@ class Chunk:
     def grams(self, length: int) -> np.ndarray:
         """Hash of the ``length`` words that end at each place; places too near the start hold none worth reading."""
         out = np.zeros(len(self.codes), np.uint64)
-        found = run_hashes(self.codes, length)
-        out[length - 1 :] = mix(found ^ np.uint64(length))
+        out[length - 1 :] = mix(run_hashes(self.codes, length) ^ np.uint64(length)) & _KNOWN
         return out
 
     def before(self, level: int) -> np.ndarray:
@@ -140,18 +149,18 @@ class Chunk:
         if level == 0:
             keys = mix(mix(self.vocabulary) ^ np.uint64(1))
             order = np.argsort(keys)
-            rank = np.empty(len(order), np.int64)
-            rank[order] = np.arange(len(order))
+            rank = np.empty(len(order), np.int32)
+            rank[order] = np.arange(len(order), dtype=np.int32)
             return np.arange(len(self.words)), keys[order], rank[self.words]
         # Word pairs are asked for with the words, when no count is known yet.
         worth = self.place >= 1 if level == 1 else self.before(level) >= LEAST
-        at = np.flatnonzero(worth)
-        return at, *np.unique(self.grams(level + 1)[at], return_inverse=True)
+        at = np.flatnonzero(worth).astype(np.int32)
+        return at, *_distinct(self.grams(level + 1)[at])
 
     def contexts(self, level: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Places, distinct sorted hashes, and for each place which: the contexts of ``level`` words that are frequent."""
-        at = np.flatnonzero(self.before(level) >= LEAST)
-        return at, *np.unique(self.grams(level)[at - 1], return_inverse=True)
+        at = np.flatnonzero(self.before(level) >= LEAST).astype(np.int32)
+        return at, *_distinct(self.grams(level)[at - 1])
 
 
 def _base(counts: np.ndarray, total: int, distinct: int) -> np.ndarray:
@@ -166,7 +175,7 @@ def divergences(chunk: Chunk, total: int, distinct: int) -> Request:
         shorter = p[at]
         p[at] = (np.maximum(chunk.counts[level][at] - 1, 0) + PRIOR * shorter) / (np.maximum(chunk.before(level)[at] - 1, 0) + PRIOR)
         gain = np.where(chunk.learned[at], np.log(p[at] / shorter), 0.0)
-        yield level, keys, np.bincount(inverse, gain, len(keys))
+        yield level, keys, np.rint(np.bincount(inverse, gain, len(keys)) * _PART)
 
 
 def probabilities(chunk: Chunk, gains: list[np.ndarray], total: int, distinct: int) -> tuple[np.ndarray, np.ndarray]:
@@ -176,7 +185,7 @@ def probabilities(chunk: Chunk, gains: list[np.ndarray], total: int, distinct: i
     for level, gain in enumerate(gains, 1):
         at, _, inverse = chunk.contexts(level)
         kept = np.zeros(len(base), bool)
-        kept[at] = gain[inverse] >= DIVERGENCE
+        kept[at] = gain[inverse] >= DIVERGENCE * _PART
         state &= kept
         p[state] = (chunk.counts[level][state] + PRIOR * p[state]) / (chunk.before(level)[state] + PRIOR)
     return base, p
@@ -190,7 +199,7 @@ def _slices(level: int, chunk: int, keys: np.ndarray, own: np.ndarray, bits: int
     ends = np.searchsorted(keys, np.arange(1, 1 << bits, dtype=np.uint64) << np.uint64(64 - bits)) if bits else np.empty(0, int)
     ends = np.concatenate([[0], ends, [len(keys)]])
     rows = [
-        (level, i, chunk, _packed_keys(keys[a:b]), _packed(own[a:b].astype(np.float64)))
+        (level, i, chunk, _packed_keys(keys[a:b]), _packed(own[a:b].astype(np.int64)))
         for i, (a, b) in enumerate(zip(ends[:-1], ends[1:])) if b > a
     ]
     return pd.DataFrame(rows, columns=["level", "shard", "chunk", "keys", "own"])
@@ -201,7 +210,8 @@ def _totals(group: pd.DataFrame) -> pd.DataFrame:
     group = group.sort_values("chunk")
     keys = [_unpacked_keys(k) for k in group["keys"]]
     every, inverse = np.unique(np.concatenate(keys), return_inverse=True)
-    sums = np.bincount(inverse, np.concatenate([_unpacked(v, np.float64) for v in group["own"]]), len(every))
+    sums = np.zeros(len(every), np.int64)
+    np.add.at(sums, inverse, np.concatenate([_unpacked(v, np.int64) for v in group["own"]]))
     ends = np.cumsum([len(k) for k in keys])
     out = group[["level", "shard", "chunk"]].assign(answer=[_packed(sums[i]) for i in np.split(inverse, ends[:-1])], n=0)
     count = out.iloc[:1].assign(chunk=-1, answer=b"", n=int((sums > 0).sum()))
@@ -261,8 +271,8 @@ class _Exchange:
 def _answer(row: dict, name: str, level: int) -> np.ndarray:
     """The answers of one level, all slices in order."""
     found = row[name] if row[name] is not None else []
-    parts = [_unpacked(x["answer"], np.float64) for x in found if x["level"] == level]
-    return np.concatenate(parts) if parts else np.empty(0)
+    parts = [_unpacked(x["answer"], np.int64) for x in found if x["level"] == level]
+    return np.concatenate(parts) if parts else np.empty(0, np.int64)
 
 
 def _chunk(row: dict, levels: int) -> Chunk:
