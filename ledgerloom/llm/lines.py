@@ -2,19 +2,22 @@
 
 A text is the sequence of its lines; blank lines are no part of it. Every position starts a suffix of line ids. After
 round k all suffixes that share their first 2**k lines have the same name, made from the names of their two halves; such a
-set is an interval of the suffix array in which neighbours have a common prefix of 2**k lines at least. Doubling goes on
-until the depth ``min_lines`` is reached, the last step joining two overlapping halves. The order of suffixes inside an
-interval and deeper prefixes don't change what is deleted: a line belongs to a repeated run of ``min_lines`` or more exactly
-if it stands in the first ``min_lines`` lines of some suffix whose interval has an earlier member. Joined together these
-windows are the maximal repeated runs.
-
-The name of an interval is its first suffix in the order of ids, so "is a later copy" is a comparison. Suffixes that
-share their prefix with no other drop out at once. Everything is DataFrame operations: aggregates that combine before the
-shuffle and joins to one row per name, which adaptive execution splits when a line is very common.
+set is an interval of the suffix array in which neighbours have a common prefix of 2**k lines at least. Suffixes that share
+their prefix with no other drop out, and doubling goes on until none is left, so the last round of a suffix tells its longest
+common prefix up to a factor of two.
+
+The name of an interval is its first suffix in the order of ids, so "is a later copy" is a comparison. A line goes if it
+stands in a later copy of a run of two lines or more, which all are covered by windows of two, or if it is a later copy
+alone and has ``min_words`` words. Joined together these windows are the maximal repeated runs.
+
+Everything is DataFrame operations: aggregates that combine before the shuffle and joins to one row per name, which
+adaptive execution splits when a line is very common.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -23,14 +26,15 @@ from ledgerloom.llm.tables import SPACE, row_key, saved
 _AT = ("k1", "k2", "line")
 
 
-def line_table(docs: DataFrame, doc: str, text: str) -> DataFrame:
-    """``(doc, k1, k2, line, pos, h1, h2)``: lines that are not blank, with their number in the text and their hashes.
+def line_table(docs: DataFrame, doc: str, text: str, min_words: int = 1) -> DataFrame:
+    """``(doc, k1, k2, pos, alone, h1, h2)``: lines that are not blank, with their place in the text and their hashes.
 
-    Rows alike in id and text are one sequence.
+    ``alone`` tells lines of ``min_words`` words or more. Rows alike in id and text are one sequence.
     """
     lines = docs.select(F.col(doc).alias("doc"), *row_key(doc, text), F.posexplode(F.split(text, "\n", -1)).alias("pos", "own"))
     lines = lines.where(F.col("own").rlike(f"[^{SPACE}]"))
-    return lines.select("doc", "k1", "k2", "pos", F.xxhash64("own").alias("h1"), F.xxhash64(F.lit("second"), "own").alias("h2"))
+    long_enough = F.col("own").rlike(f"([^{SPACE}]+[{SPACE}]+){{{min_words - 1}}}[^{SPACE}]") if min_words > 1 else F.lit(True)
+    return lines.select("doc", "k1", "k2", "pos", long_enough.alias("alone"), F.xxhash64("own").alias("h1"), F.xxhash64(F.lit("second"), "own").alias("h2"))
 
 
 def _named(suffixes: DataFrame, by: list[str]) -> DataFrame:
@@ -46,61 +50,76 @@ def _joined(left: DataFrame, right: DataFrame, shift: int) -> DataFrame:
     return left.withColumnRenamed("name", "first").join(right, list(_AT))
 
 
-def repeated_prefixes(lines: DataFrame, depth: int) -> DataFrame:
-    """``(doc, k1, k2, line, pos, name)``: suffixes whose first ``depth`` lines start another suffix too.
+def repeated_prefixes(lines: DataFrame) -> Iterator[tuple[int, DataFrame]]:
+    """For the depths 1, 2, 4, ..: ``(doc, k1, k2, line, alone, name)``, the suffixes whose first lines start another suffix too.
 
-    ``lines`` is what ``line_table`` gives. ``name`` is the first such suffix.
+    ``lines`` is what ``line_table`` gives. ``name`` is the first such suffix. Ends when no suffix shares its prefix.
     """
     order = Window.partitionBy("k1", "k2").orderBy("pos")
     # Equal rows give equal lines at equal places; each place counts once.
-    placed = lines.groupBy("doc", "k1", "k2", "pos").agg(F.first("h1").alias("h1"), F.first("h2").alias("h2"))
-    placed = saved(placed.withColumn("line", F.row_number().over(order)), "lines")
-    names = saved(_named(placed, ["h1", "h2"]), "names")
-    length = 1
-    while length < depth:
-        step = min(length, depth - length)
-        # The two halves overlap when the depth is no power of two.
-        names = saved(_named(_joined(names, names.select("k1", "k2", "line", "name"), step), ["first", "second"]), "names")
-        length += step
-    return names
-
-
-def repeated_runs(prefixes: DataFrame, depth: int) -> DataFrame:
-    """Maximal runs ``(doc, k1, k2, begin, end)`` of lines that stand in a later copy, as numbers of lines not blank."""
-    later = prefixes.where(F.col("name") != F.struct("doc", *_AT)).select("doc", "k1", "k2", "line")
-    order = Window.partitionBy("k1", "k2").orderBy("line")
-    first = F.coalesce(F.col("line") > F.lag("line").over(order) + depth, F.lit(True))
-    runs = later.withColumn("run", F.sum(first.cast("int")).over(order))
-    return runs.groupBy("doc", "k1", "k2", "run").agg(F.min("line").alias("begin"), (F.max("line") + depth).alias("end")).drop("run")
-
-
-def without_repeated_lines(docs: DataFrame, doc: str = "doc_id", text: str = "text", min_lines: int = 2) -> DataFrame:
-    """The rows with ``text`` without later copies of repeated line runs, and ``n_lines``, ``n_removed``, ``n_runs`` added.
-
-    A run is ``min_lines`` or more lines in a row, not counting blank ones; it is a later copy if the same lines start
-    anywhere earlier in the order of ids (NULL first) and lines, in the same text or another. Later copies are deleted, the
-    first stays. Blank lines stay. Kept lines are joined by a line feed. A NULL text stays NULL and has no lines; an empty one
+    placed = lines.groupBy("doc", "k1", "k2", "pos").agg(*[F.first(c).alias(c) for c in ("alone", "h1", "h2")])
+    placed = saved(placed.withColumn("line", F.row_number().over(order)).drop("pos"), "lines")
+    names, depth = saved(_named(placed, ["h1", "h2"]), "names"), 1
+    while not names.isEmpty():
+        yield depth, names
+        halves = _joined(names, names.select("k1", "k2", "line", "name"), depth)
+        names, depth = saved(_named(halves, ["first", "second"]), "names"), 2 * depth
+
+
+def repeated_runs(later: DataFrame) -> DataFrame:
+    """Maximal runs ``(k1, k2, begin, end)`` that windows ``(k1, k2, line, width)`` cover, as numbers of lines not blank."""
+    order = Window.partitionBy("k1", "k2").orderBy("line", "width")
+    so_far = F.max(F.col("line") + F.col("width")).over(order.rowsBetween(Window.unboundedPreceding, -1))
+    fresh = F.coalesce(F.col("line") > so_far, F.lit(True))
+    runs = later.withColumn("run", F.sum(fresh.cast("int")).over(order.rowsBetween(Window.unboundedPreceding, 0)))
+    return runs.groupBy("k1", "k2", "run").agg(F.min("line").alias("begin"), F.max(F.col("line") + F.col("width")).alias("end")).drop("run")
+
+
+_ADDED = ("n_lines", "n_removed", "n_runs", "deepest")
+
+
+def without_repeated_lines(docs: DataFrame, doc: str = "doc_id", text: str = "text", min_words: int = 5) -> DataFrame:
+    """The rows with ``text`` without later copies of repeated line runs, and ``n_lines``, ``n_removed``, ``n_runs``, ``deepest`` added.
+
+    A run is any number of lines in a row, not counting blank ones; a line alone needs ``min_words`` words between ASCII white
+    space. It is a later copy if the same lines start anywhere earlier in the order of ids (NULL first) and lines, in the
+    same text or another. Later copies are deleted, the first stays. ``n_runs`` are the maximal deleted runs; ``deepest`` is the
+    largest power of two of lines in a row that the text shares with any other place (0 if none).
+
+    Blank lines stay. Kept lines are joined by a line feed. A NULL text stays NULL and has no lines; an empty one
     stays empty. A text all of whose lines go becomes empty (or its blank lines) and its row stays. Rows with the same
     id are told apart by their texts; rows alike in both get the same result and are no copies of each other. Other
-    columns are passed on, but ``n_lines``, ``n_removed`` and ``n_runs`` replace columns of these names. An empty
-    table gives none.
+    columns are passed on, but the added columns replace those of their names. An empty table gives none.
     """
-    runs = saved(repeated_runs(repeated_prefixes(line_table(docs, doc, text), min_lines), min_lines), "runs")
-    gone = runs.groupBy("k1", "k2").agg(F.sort_array(F.collect_list(F.struct("begin", "end"))).alias("__gone"))
+    windows = deepest = None
+    for depth, names in repeated_prefixes(line_table(docs, doc, text, min_words)):
+        shared = names.select("k1", "k2", F.lit(depth).alias("deepest")).distinct()
+        deepest = shared if deepest is None else deepest.unionByName(shared)
+        if depth <= 2:
+            later = names.where(F.col("name") != F.struct("doc", *_AT))
+            own = (later.where("alone") if depth == 1 else later).select("k1", "k2", "line", F.lit(depth).alias("width"))
+            windows = own if windows is None else windows.unionByName(own)
     k1, k2 = row_key(doc, text)
-    others = [c for c in docs.columns if c not in ("n_lines", "n_removed", "n_runs")]
+    others = [c for c in docs.columns if c not in _ADDED]
     # Internal names, so that columns of the input can't clash with them.
     keyed = docs.select(*others, k1.alias("__k1"), k2.alias("__k2"))
-    # Both sides are shuffled whatever their size, so a small corpus shows what a large one costs.
-    joined = keyed.join(gone.toDF("__k1", "__k2", "__gone").hint("shuffle_merge"), ["__k1", "__k2"], "left")
+    if windows is None:
+        joined = keyed.withColumns({"__gone": F.lit(None).cast("array<struct<begin:int,end:int>>"), "__deepest": F.lit(0)})
+    else:
+        runs = saved(repeated_runs(windows), "runs").select("k1", "k2", F.struct("begin", "end").alias("run"), F.lit(0).alias("deepest"))
+        found = runs.unionByName(deepest.withColumn("run", F.lit(None).cast(runs.schema["run"].dataType)))
+        gone = found.groupBy("k1", "k2").agg(F.sort_array(F.collect_list("run")), F.max("deepest"))
+        # Both sides are shuffled whatever their size, so a small corpus shows what a large one costs.
+        joined = keyed.join(gone.toDF("__k1", "__k2", "__gone", "__deepest").hint("shuffle_merge"), ["__k1", "__k2"], "left")
     lines = F.split(text, "\n", -1)
     full = F.coalesce(F.array_size(F.filter(lines, lambda x: x.rlike(f"[^{SPACE}]"))), F.lit(0))
     removed = F.coalesce(F.aggregate("__gone", F.lit(0), lambda a, r: a + r["end"] - r["begin"]), F.lit(0))
-    kept = F.when(F.col("__gone").isNull(), F.col(text)).otherwise(_kept(lines))
+    kept = F.when(F.coalesce(F.array_size("__gone"), F.lit(0)) == 0, F.col(text)).otherwise(_kept(lines))
     return joined.select(
         *[kept.alias(c) if c == text else F.col(c) for c in others], full.cast("bigint").alias("n_lines"),
         removed.cast("bigint").alias("n_removed"), F.coalesce(F.array_size("__gone"), F.lit(0)).cast("bigint").alias("n_runs"),
-    ).select(*docs.columns, *[c for c in ("n_lines", "n_removed", "n_runs") if c not in docs.columns])
+        F.coalesce("__deepest", F.lit(0)).cast("bigint").alias("deepest"),
+    ).select(*docs.columns, *[c for c in _ADDED if c not in docs.columns])
 
 
 def _kept(lines: Column) -> Column:

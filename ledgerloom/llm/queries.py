@@ -45,7 +45,7 @@ def op3_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = without_repeated_lines(_table(spark, sf_dir, "documents").select("doc_id", "text"))
-    return found.select("doc_id", "n_lines", "n_removed", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+    return found.select("doc_id", "n_lines", "n_removed", "deepest", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
 
 
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

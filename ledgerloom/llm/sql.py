@@ -63,22 +63,28 @@ WITH line AS (
   SELECT doc_id, unnest(range(1, len(a) + 1)) AS pos, unnest(a) AS own
   FROM (SELECT doc_id, string_split(text, chr(10)) AS a FROM documents WHERE text IS NOT NULL)
 ), solid AS (
-  SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY pos) AS n FROM line WHERE regexp_matches(own, '[^\x20\x09-\x0D]')
-), pairs AS (
-  SELECT doc_id, n, own || chr(10) || lead(own) OVER (PARTITION BY doc_id ORDER BY n) AS two FROM solid
-), later AS (
-  SELECT doc_id, n FROM (SELECT doc_id, n, row_number() OVER (PARTITION BY two ORDER BY doc_id, n) AS copy FROM pairs WHERE two IS NOT NULL)
-  WHERE copy > 1
+  SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY pos) AS n, len(regexp_extract_all(own, '[^\x20\x09-\x0D]+')) AS words
+  FROM line WHERE regexp_matches(own, '[^\x20\x09-\x0D]')
+), whole AS (
+  SELECT doc_id, list(md5(own) ORDER BY n) AS ids, list(words ORDER BY n) AS words FROM solid GROUP BY doc_id
+), runs AS (
+  SELECT doc_id, n, width, words[n] AS words, md5(array_to_string(ids[n : n + width - 1], '')) AS run
+  FROM (SELECT doc_id, ids, words, width, unnest(range(1, len(ids) - width + 2)) AS n
+    FROM whole, (SELECT CAST(pow(2, unnest(range(0, 16))) AS BIGINT) AS width) WHERE width <= len(ids))
+), shared AS (
+  SELECT *, row_number() OVER (PARTITION BY width, run ORDER BY doc_id, n) AS copy, count(*) OVER (PARTITION BY width, run) AS copies FROM runs
 ), gone AS (
-  SELECT s.doc_id, s.pos FROM solid s JOIN (SELECT doc_id, n FROM later UNION SELECT doc_id, n + 1 FROM later) g USING (doc_id, n)
+  SELECT DISTINCT s.doc_id, s.pos FROM solid s JOIN (
+    SELECT doc_id, unnest(range(n, n + width)) AS n FROM shared WHERE copy > 1 AND (width > 1 OR words >= 5)) g USING (doc_id, n)
 ), kept AS (
   SELECT l.doc_id, string_agg(l.own, chr(10) ORDER BY l.pos) AS text FROM line l ANTI JOIN gone g ON g.doc_id = l.doc_id AND g.pos = l.pos
   GROUP BY l.doc_id
 )
-SELECT d.doc_id, CAST(coalesce(s.n, 0) AS BIGINT) AS n_lines, CAST(coalesce(g.n, 0) AS BIGINT) AS n_removed,
+SELECT d.doc_id, CAST(coalesce(s.n, 0) AS BIGINT) AS n_lines, CAST(coalesce(g.n, 0) AS BIGINT) AS n_removed, coalesce(w.deepest, 0) AS deepest,
   sha256(coalesce(k.text, '')) AS kept_sha256
 FROM documents d LEFT JOIN kept k USING (doc_id) LEFT JOIN (SELECT doc_id, count(*) AS n FROM solid GROUP BY doc_id) s USING (doc_id)
 LEFT JOIN (SELECT doc_id, count(*) AS n FROM gone GROUP BY doc_id) g USING (doc_id)
+LEFT JOIN (SELECT doc_id, max(width) AS deepest FROM shared WHERE copies > 1 GROUP BY doc_id) w USING (doc_id)
 """
 
 

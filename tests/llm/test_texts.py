@@ -69,35 +69,41 @@ def test_repeats_of_odd_rows(odd_docs, no_docs):
 # lines
 
 
-def brute_lines(rows, depth):
+def brute_lines(rows, min_words):
+    """Runs of every length; a line alone needs so many words."""
     rows = sorted(rows)
     solid = {i: [(k, x) for k, x in enumerate(t.split("\n")) if re.search(r"[^\x20\x09-\x0D]", x)] for i, t in rows}
-    first = {}
+    places = {}
     for i, _ in rows:
-        for k in range(len(solid[i]) - depth + 1):
-            first.setdefault(tuple(x for _, x in solid[i][k : k + depth]), (i, k))
-    out = {}
-    for i, t in rows:
-        gone = set()
-        for k in range(len(solid[i]) - depth + 1):
-            if first[tuple(x for _, x in solid[i][k : k + depth])] != (i, k):
-                gone.update(solid[i][j][0] for j in range(k, k + depth))
-        out[i] = ("\n".join(x for k, x in enumerate(t.split("\n")) if k not in gone), len(solid[i]), len(gone))
-    return out
-
-
-@pytest.mark.parametrize("depth", [1, 2, 3, 5])
-def test_lines_match_brute_force(spark, depth):
-    rng = np.random.default_rng(depth)
-    rows = [(i, "\n".join(rng.choice(["a", "b", "c", "d", " ", ""], size=rng.integers(1, 25)))) for i in range(30)]
-    rows += [(100, "x\ny\nz\nx\ny\nz\nw"), (101, "q\n\nx\n \ny\nz"), (102, "m\nm\nm\nm\nm")]
-    got = without_repeated_lines(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), min_lines=depth).collect()
-    assert {r.doc_id: (r.text, r.n_lines, r.n_removed) for r in got} == brute_lines(rows, depth)
+        for k in range(len(solid[i])):
+            for n in range(1, len(solid[i]) - k + 1):
+                places.setdefault(tuple(x for _, x in solid[i][k : k + n]), []).append((i, k))
+    gone, deepest = {i: set() for i, _ in rows}, dict.fromkeys([i for i, _ in rows], 0)
+    for run, found in places.items():
+        for i, k in found if len(found) > 1 else []:
+            if len(run) & (len(run) - 1) == 0:
+                deepest[i] = max(deepest[i], len(run))
+            if (i, k) != found[0] and (len(run) > 1 or len(run[0].split()) >= min_words):
+                gone[i].update(solid[i][j][0] for j in range(k, k + len(run)))
+    text = {i: "\n".join(x for k, x in enumerate(t.split("\n")) if k not in gone[i]) for i, t in rows}
+    return {i: (text[i], len(solid[i]), len(gone[i]), deepest[i]) for i in text}
+
+
+@pytest.mark.parametrize("min_words", [1, 2, 5])
+def test_lines_match_brute_force(spark, min_words):
+    rng = np.random.default_rng(min_words)
+    rows = [(i, "\n".join(rng.choice(["a", "b c", " c  d e", "d e f g h", " ", ""], size=rng.integers(1, 25)))) for i in range(30)]
+    rows += [(100, "x\ny\nz\nx\ny\nz\nw"), (101, "q\n\nx\n \ny\nz"), (102, "m\nm\nm\nm\nm"), (103, "one two three four five"), (104, "u\none two three four five\nv")]
+    long = [f"line {k}" for k in range(70)]
+    rows += [(200, "\n".join(long)), (201, "\n".join(["own", *long[:67], "end"]))]
+    got = without_repeated_lines(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), min_words=min_words).collect()
+    assert {r.doc_id: (r.text, r.n_lines, r.n_removed, r.deepest) for r in got} == brute_lines(rows, min_words)
+    assert {r.deepest for r in got if r.doc_id > 199} == {64}
 
 
 def test_lines_of_odd_rows(spark, odd_docs, no_docs):
     more = odd_docs.unionByName(odd_docs.limit(0)).withColumnRenamed("row", "n_lines")
-    rows = without_repeated_lines(more, min_lines=1).collect()
+    rows = without_repeated_lines(more, min_words=1).collect()
     assert len(rows) == odd_docs.count() and "key" in rows[0].asDict()
     assert [r.text for r in rows if r.doc_id == 2] == [""]
     assert {r.text for r in rows if r.doc_id == 3} == {None} and {r.n_lines for r in rows if r.doc_id == 3} == {0}
