@@ -136,6 +136,13 @@ def curve_moments(
     return moments if terms is None else moments.filter(F.col("term").isin(*terms))
 
 
+def by_curve(moments: DataFrame) -> DataFrame:
+    """One row per curve: its name and the moments of all tabulated terms, by term. A run-off then needs one join per curve."""
+    name = moments.columns[0]
+    entries = F.collect_list(F.struct("term", F.struct("m1", "m2")))
+    return moments.groupBy(name).agg(F.map_from_entries(entries).alias("moments"))
+
+
 @F.pandas_udf(T.DoubleType())
 def _discounted_balance(cost: pd.Series, z: pd.Series, a: pd.Series, n: pd.Series, factor: pd.Series) -> pd.Series:
     """``sum (1 - a p)(cost - z p) factor^p`` over periods 1 .. n, a batch of contracts at a time.
@@ -187,8 +194,8 @@ def run_off(
 ) -> DataFrame:
     """Curve-weighted rates per contract, and average balances.
 
-    ``moments``: output name to a table from :func:`curve_moments` with columns name, term,
-    m1, m2. ``curve_keys``: output name to the df column with the curve's name. If any of
+    ``moments``: output name to a table from :func:`curve_moments` (name, term, m1, m2) or
+    :func:`by_curve`; one that several outputs share is best written once. ``curve_keys``: output name to the df column with the curve's name. If any of
     the curves is missing, everything is 0. A term that is not tabulated though its curve is
     fails the job.
     """
@@ -197,15 +204,12 @@ def run_off(
     out = out.withColumn("__t", F.when(F.col(term) == 0, 1).otherwise(F.col(term)).cast("int"))
     complete = F.lit(True)
     for name, table in moments.items():
-        key = curve_keys[name]
-        side = table.select(
-            F.col(table.columns[0]).alias(f"__c_{name}"), F.col("term").alias(f"__t_{name}"),
-            F.col("m1").alias(f"__m1_{name}"), F.col("m2").alias(f"__m2_{name}"),
-        )
-        out = out.join(side, (F.col(key) == F.col(f"__c_{name}")) & (F.col("__t") == F.col(f"__t_{name}")), "left")
-        known = table.select(F.col(table.columns[0]).alias(f"__k_{name}")).distinct()
-        out = out.join(known, F.col(key) == F.col(f"__k_{name}"), "left")
-        untold = F.col(f"__k_{name}").isNotNull() & F.col(f"__m1_{name}").isNull() & F.col("__t").isNotNull()
+        table = by_curve(table) if "term" in table.columns else table
+        side = table.select(F.col(table.columns[0]).alias(f"__c_{name}"), F.col("moments").alias(f"__m_{name}"))
+        out = out.join(side, F.col(curve_keys[name]) == F.col(f"__c_{name}"), "left")
+        held = F.col(f"__m_{name}")[F.col("__t")]
+        out = out.withColumns({f"__m1_{name}": held["m1"], f"__m2_{name}": held["m2"]})
+        untold = F.col(f"__m_{name}").isNotNull() & held.isNull() & F.col("__t").isNotNull()
         absent = F.raise_error(F.concat(F.lit(f"{name}: no moments for term "), F.col("__t").cast("string"))).cast("boolean")
         complete = complete & F.when(untold, absent).otherwise(F.col(f"__m1_{name}").isNotNull())
     results = {}
@@ -217,5 +221,5 @@ def run_off(
         results[anr] = F.when(complete, F.col("__bal_sum") / 12).otherwise(0.0)
         results[disc] = F.when(complete, F.col("__bal_disc_sum") / 12).otherwise(0.0)
     temporary = [f"__{k}" for k in pieces] + ["__t"]
-    temporary += [f"__{k}_{name}" for name in moments for k in ("c", "t", "m1", "m2", "k")]
+    temporary += [f"__{k}_{name}" for name in moments for k in ("c", "m", "m1", "m2")]
     return out.withColumns(results).drop(*temporary)

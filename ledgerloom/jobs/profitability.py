@@ -15,7 +15,9 @@ from pyspark.sql import functions as F
 from ledgerloom.functions import bands, finance
 from ledgerloom.functions.scalars import months_since_model_year, year_month
 from ledgerloom.operators.joins import lookup_equi
-from ledgerloom.operators.lookups import band_join, effective_lookup, metric_lookup, months_spanned, override_lookup
+from ledgerloom.operators.lookups import Override, band_join, metric_lookup, override_lookups
+from ledgerloom.operators.sweep import Dated, sweep
+from ledgerloom.session import written_table
 
 EQUITY_COST = 0.1  # fixed value: cost of equity
 EARNING_RATE = 0.0435  # fixed value: earning rate on subsidised contracts
@@ -59,19 +61,12 @@ class ProfitRules:
     line: str = "lease"
 
 
-def _dated(df: DataFrame, dim: DataFrame, on: Mapping[str, str], date: str, cols: Mapping[str, str], months, **more) -> DataFrame:
-    """Dated lookup that must not multiply contracts."""
-    return effective_lookup(df, dim, on, date, "beg", "end", cols, months=months, single=True, **more)
-
-
-def with_dimensions(df: DataFrame, t: ProfitTables, rules: ProfitRules, months: tuple[int, int]) -> DataFrame:
-    """Tax rate, stage flags, driver amounts, market metrics, bands, dealer and capital lookups."""
-    df = lookup_equi(df, t.stage, {"account_no": "account_no"}, {"new_used_flag": "new_used_flag", "grade": "stage_grade"})
-    df = df.withColumns(
+def with_bands(df: DataFrame) -> DataFrame:
+    """Terms, speeds, ages and periods by fixed bands."""
+    return df.withColumns(
         {
             "drive_date": F.coalesce("lease_date", "booking_date"),
             "tax_rate": bands.band_by_date(F.col("booking_date"), bands.TAX_RATES, bands.TAX_DEFAULT),
-            "region": bands.code_map(F.col("dealer_location"), rules.region_codes) if rules.region_codes else F.lit(None).cast("string"),
             "speed": bands.band(F.col("term_months"), bands.PREPAY_SPEEDS, bands.PREPAY_DEFAULT),
             "term_band": bands.band(F.col("term_months"), bands.TERM_BANDS, bands.TERM_DEFAULT),
             "age_class": bands.band(
@@ -81,66 +76,89 @@ def with_dimensions(df: DataFrame, t: ProfitTables, rules: ProfitRules, months:
             "lease_period": year_month(F.col("lease_date")),
         }
     )
-    for key, out in (("debt", "senior_debt"), ("capital_charge", "capital_charge")):
-        df = _dated(
-            df, t.drivers, {}, "lease_date", {"measure": out}, months, constants={"line": rules.line, "dim_key": key}
-        )
-    df = df.withColumn("subordinated_debt", F.col("senior_debt"))
-    df = metric_lookup(df, t.metrics, {"booking_date": "as_of"}, "label", "value", {"1m": "index_1m", "24m": "index_24m"})
-    df = _dated(
-        df, t.dealers, {"dealer_location": "dealer_location"}, "booking_date",
-        {"manufacturer_id": "manufacturer_id", "manufacturer": "business_line"}, months,
-    )
-    df = _dated(
-        df, t.capital, {"model": "model", "make_id": "make_id"}, "booking_date",
-        {"capital": "capital", "capital_market": "capital_market", "capital_standard": "capital_standard"}, months,
-    )
-    return _dated(
-        df, t.returns, {"manufacturer_id": "manufacturer_id", "model": "model", "term_band": "term", "stage_grade": "grade"}, "drive_date",
-        {"return_rate": "return_rate"}, months,
-    )
 
 
-def with_run_off(df: DataFrame, t: ProfitTables, months: tuple[int, int]) -> DataFrame:
-    """Costs of funds on the lease-date and booking-date curves, capital cost, discounted balances.
+def _same(*names: str) -> dict[str, str]:
+    return {n: n for n in names}
 
-    Curves are reduced to their moments once and shared by all passes.
-    """
-    df = _dated(
-        df, t.curve_types, {"subsidised": "subsidised", "manufacturer_id": "manufacturer_id"}, "booking_date",
-        {"curve_type": "curve_type"}, months,
-    )
+
+def _dealer_lookups(t: ProfitTables) -> list[Dated]:
+    """What the run-off needs of the contract's own keys."""
+    dealer = {"manufacturer_id": "manufacturer_id", "manufacturer": "business_line"}
+    return [
+        Dated(t.dealers, {"dealer_location": "dealer_location"}, "booking_date", dealer),
+        Dated(t.liquidity_curves, {}, "lease_date", {"name": "lease_liquidity"}),
+        Dated(t.liquidity_curves, {}, "booking_date", {"name": "booked_liquidity"}),
+    ]
+
+
+def _curve_type(t: ProfitTables) -> Dated:
+    on = {"subsidised": "subsidised", "manufacturer_id": "manufacturer_id"}
+    return Dated(t.curve_types, on, "booking_date", _same("curve_type"))
+
+
+def with_dimensions(df: DataFrame, t: ProfitTables, rules: ProfitRules) -> DataFrame:
+    """Stage flags, market metrics, and all dated lookups: one sweep for all whose keys are known, then the next."""
+    df = lookup_equi(df, t.stage, {"account_no": "account_no"}, {"new_used_flag": "new_used_flag", "grade": "stage_grade"})
+    df = df.withColumn("region", bands.code_map(F.col("dealer_location"), rules.region_codes) if rules.region_codes else F.lit(None).cast("string"))
+    df = metric_lookup(df, t.metrics, {"booking_date": "as_of"}, "label", "value", {"1m": "index_1m", "24m": "index_24m"})
+    driver = lambda key, out: Dated(t.drivers, {}, "lease_date", {"measure": out}, constants={"line": rules.line, "dim_key": key})
+    capital = {"model": "model", "make_id": "make_id"}
+    df = sweep(df, [
+        *_dealer_lookups(t), driver("debt", "senior_debt"), driver("capital_charge", "capital_charge"),
+        Dated(t.capital, capital, "booking_date", _same("capital", "capital_market", "capital_standard")),
+    ])
+    maker = {"manufacturer_id": "manufacturer_id"}
+    columns = rules.expense_columns
+    fees = _same("origination_fee", "revenue_share", "subvention_fund")
+    df = sweep(df, [
+        _curve_type(t), Dated(t.management_fees, {**maker, "subsidised": "subsidised", "age_class": "age_class"}, "booking_date", fees),
+        Dated(t.returns, {**maker, "model": "model", "term_band": "term", "stage_grade": "grade"}, "drive_date", _same("return_rate")),
+        Dated(t.expenses, maker, "lease_date", {c: f"{c}_expense" for c in columns}),
+        Dated(t.marginal_rates, maker, "lease_date", {f"{c}_rate": f"{c}_marginal_rate" for c in columns}),
+    ])
+    line = {"business_line": "business_line", "curve_type": "curve_type"}
+    df = sweep(df, [Dated(t.credit_adjustments, line, "booking_date", _same("credit_adjustment"))])
+    return df.withColumn("subordinated_debt", F.col("senior_debt"))
+
+
+def _curve_names(df: DataFrame) -> DataFrame:
     name = lambda when: F.concat_ws("|", F.date_format(when, "yyyy-MM-dd"), F.col("curve_type"))
-    df = df.withColumns({"lease_curve": name("lease_date"), "booked_curve": name("booking_date")})
-    for when, out in (("lease_date", "lease_liquidity"), ("booking_date", "booked_liquidity")):
-        df = _dated(df, t.liquidity_curves, {}, when, {"name": out}, months)
+    return df.withColumns({"lease_curve": name("lease_date"), "booked_curve": name("booking_date")})
+
+
+def _moments(t: ProfitTables) -> tuple[DataFrame, DataFrame]:
+    """Curves reduced to the moments of the banded terms, written once: every pass reads these two small tables."""
     terms = [label for _, _, label in bands.TERM_BANDS] + [bands.TERM_DEFAULT]
-    funds = finance.curve_moments(t.curves, "name", "curve", max(terms), terms=terms)
-    liquidity = finance.curve_moments(t.liquidity_curves, "name", "curve", max(terms), terms=terms)
-    common = ("capital_cost", "residual", "term_band", "speed")
+    reduced = lambda curves: finance.by_curve(finance.curve_moments(curves, "name", "curve", max(terms), terms=terms))
+    return written_table(reduced(t.curves), "curves"), written_table(reduced(t.liquidity_curves), "liquidity")
+
+
+_COMMON = ("capital_cost", "residual", "term_band", "speed", "wacc")
+
+
+def _booked_run_off(df: DataFrame, funds: DataFrame, liquidity: DataFrame) -> DataFrame:
+    """Rates on the booking-date curves and the balances."""
+    return finance.run_off(
+        df, {"booked_cof": funds, "booked_lp": liquidity, "booked_cf": funds},
+        {"booked_cof": "booked_curve", "booked_lp": "booked_liquidity", "booked_cf": "curve_type"}, *_COMMON,
+    )
+
+
+def with_run_off(df: DataFrame, t: ProfitTables) -> DataFrame:
+    """Costs of funds on the lease-date and booking-date curves, capital cost, discounted balances."""
+    funds, liquidity = _moments(t)
     df = finance.run_off(
-        df.withColumn("wacc", F.lit(START_WACC)), {"cof": funds, "lp": liquidity, "cf": funds},
-        {"cof": "lease_curve", "lp": "lease_liquidity", "cf": "curve_type"}, *common, "wacc", balances=None,
+        _curve_names(df).withColumn("wacc", F.lit(START_WACC)), {"cof": funds, "lp": liquidity, "cf": funds},
+        {"cof": "lease_curve", "lp": "lease_liquidity", "cf": "curve_type"}, *_COMMON, balances=None,
     )
     wacc = finance.cost_of_capital(F.col("cof"), F.col("tax_rate"), F.col("markup_amount"), F.lit(EQUITY_COST))
     # The balances depend on the capital cost just found, the booked rates do not: one pass gives both.
-    return finance.run_off(
-        df.withColumn("wacc", wacc), {"booked_cof": funds, "booked_lp": liquidity, "booked_cf": funds},
-        {"booked_cof": "booked_curve", "booked_lp": "booked_liquidity", "booked_cf": "curve_type"}, *common, "wacc",
-    )
+    return _booked_run_off(df.withColumn("wacc", wacc), funds, liquidity)
 
 
-def with_fees(df: DataFrame, t: ProfitTables, months: tuple[int, int]) -> DataFrame:
-    """Management fees, amounts spread over the balances, credit adjustment."""
-    df = _dated(
-        df, t.management_fees, {"manufacturer_id": "manufacturer_id", "subsidised": "subsidised", "age_class": "age_class"},
-        "booking_date",
-        {"origination_fee": "origination_fee", "revenue_share": "revenue_share", "subvention_fund": "subvention_fund"}, months,
-    )
-    df = _dated(
-        df, t.credit_adjustments, {"business_line": "business_line", "curve_type": "curve_type"}, "booking_date",
-        {"credit_adjustment": "credit_adjustment"}, months,
-    )
+def with_fees(df: DataFrame) -> DataFrame:
+    """Amounts spread over the balances."""
     anr, disc = F.col("anr"), F.col("anr_disc")
     return df.withColumns(
         {
@@ -172,22 +190,21 @@ def with_adjustors(df: DataFrame, t: ProfitTables) -> DataFrame:
             "new_used_class": F.when(F.col("age_class") == "new", "new").otherwise("used"),
         }
     )
-    for lookup, variable, column, period, out in (
-        ("dealer", "manufacturer", "any_manufacturer", "booked_period", "dealer_manufacturer"),
-        ("dealer", "make", "make_id", "booked_period", "dealer_make"),
-        ("dealer", "channel", "any_channel", "booked_period", "dealer_channel"),
-        ("loyalty", "manufacturer", "manufacturer_id", "booked_period", "loyalty_manufacturer"),
-        ("loyalty", "make", "make_id", "booked_period", "loyalty_make"),
-        ("loyalty", "loyal", "loyal", "booked_period", "loyalty_flag"),
-        ("loyalty", "subsidised", "subsidised", "booked_period", "loyalty_subsidised"),
-        ("loyalty", "new_used", "new_used_class", "booked_period", "loyalty_new_used"),
-        ("loyalty", "age", "age_class", "booked_period", "loyalty_age"),
-        ("portfolio", "manufacturer", "manufacturer_id", "booked_period", "portfolio_manufacturer"),
-        ("portfolio", "income_ratio", "income_ratio", "booked_period", "portfolio_income_ratio"),
-        ("portfolio", "make", "make_id", "booked_period", "portfolio_make"),
-        ("portfolio", "subsidised", "subsidised", "booked_period", "portfolio_subsidised"),
-    ):
-        df = override_lookup(df, t.overrides, lookup, variable, column, period, "line", out)
+    df = override_lookups(df, t.overrides, [
+        Override("dealer", "manufacturer", "any_manufacturer", "dealer_manufacturer"),
+        Override("dealer", "make", "make_id", "dealer_make"),
+        Override("dealer", "channel", "any_channel", "dealer_channel"),
+        Override("loyalty", "manufacturer", "manufacturer_id", "loyalty_manufacturer"),
+        Override("loyalty", "make", "make_id", "loyalty_make"),
+        Override("loyalty", "loyal", "loyal", "loyalty_flag"),
+        Override("loyalty", "subsidised", "subsidised", "loyalty_subsidised"),
+        Override("loyalty", "new_used", "new_used_class", "loyalty_new_used"),
+        Override("loyalty", "age", "age_class", "loyalty_age"),
+        Override("portfolio", "manufacturer", "manufacturer_id", "portfolio_manufacturer"),
+        Override("portfolio", "income_ratio", "income_ratio", "portfolio_income_ratio"),
+        Override("portfolio", "make", "make_id", "portfolio_make"),
+        Override("portfolio", "subsidised", "subsidised", "portfolio_subsidised"),
+    ], "booked_period", "line")
     df = band_join(
         df, t.dealer_adjustors,
         {"dealer_make": "make_id", "dealer_manufacturer": "manufacturer_id", "dealer_channel": "channel_id",
@@ -214,12 +231,9 @@ def with_adjustors(df: DataFrame, t: ProfitTables) -> DataFrame:
     )
 
 
-def with_expenses(df: DataFrame, t: ProfitTables, rules: ProfitRules, months: tuple[int, int]) -> DataFrame:
-    """Expenses and marginal rates of the manufacturer, losses, customer relationship."""
+def with_expenses(df: DataFrame, t: ProfitTables, rules: ProfitRules) -> DataFrame:
+    """Losses, customer relationship, marginal costs."""
     columns = rules.expense_columns
-    df = _dated(
-        df, t.expenses, {"manufacturer_id": "manufacturer_id"}, "lease_date", {c: f"{c}_expense" for c in columns}, months
-    )
     df = lookup_equi(
         df, t.losses, {"make_id": "make_id", "term_band": "term", "stage_grade": "grade"}, {"net_loss": "net_loss"}
     )
@@ -227,10 +241,6 @@ def with_expenses(df: DataFrame, t: ProfitTables, rules: ProfitRules, months: tu
         df = lookup_equi(
             df, t.relationships, {"application_id": "application_id"}, {c: c for c in rules.relationship_columns}
         )
-    df = _dated(
-        df, t.marginal_rates, {"manufacturer_id": "manufacturer_id"}, "lease_date",
-        {f"{c}_rate": f"{c}_marginal_rate" for c in columns}, months,
-    )
     return finance.marginal_costs(df, [(f"{c}_expense", f"{c}_marginal_rate", f"{c}_marginal") for c in columns])
 
 
@@ -260,18 +270,25 @@ def with_weights(df: DataFrame) -> DataFrame:
 def profitability(tables: ProfitTables, rules: ProfitRules) -> DataFrame:
     """All contracts with their profit measures."""
     base = tables.contracts.toDF(*[c.lower() for c in tables.contracts.columns])
-    # The only action: two dates of the base table, so no lookup has to scan the plan so far.
-    months = months_spanned(base, ["booking_date", "lease_date"])
-    df = base.withColumn("line", F.lit(rules.line))
-    df = with_dimensions(df, tables, rules, months)
-    df = with_run_off(df, tables, months)
-    df = with_fees(df, tables, months)
+    df = with_dimensions(with_bands(base.withColumn("line", F.lit(rules.line))), tables, rules)
+    df = with_fees(with_run_off(df, tables))
     df = with_adjustors(df, tables)
-    return with_weights(with_expenses(df, tables, rules, months))
+    return with_weights(with_expenses(df, tables, rules))
+
+
+def balances(tables: ProfitTables) -> DataFrame:
+    """Booking period, business line and average balance ``anr`` of all contracts: of the job only what these need."""
+    base = tables.contracts.toDF(*[c.lower() for c in tables.contracts.columns])
+    df = sweep(with_bands(base), _dealer_lookups(tables))
+    df = _curve_names(sweep(df, [_curve_type(tables)])).withColumn("wacc", F.lit(START_WACC))
+    return _booked_run_off(df, *_moments(tables)).select("booked_period", "business_line", "anr")
 
 
 def period_totals(profit: DataFrame) -> DataFrame:
-    """Contracts and balance per booking period and business line, for merging into a load log."""
+    """Contracts and balance per booking period and business line, for merging into a load log.
+
+    ``profit`` is what :func:`profitability` gives, or :func:`balances` where the totals are all that is wanted.
+    """
     return profit.groupBy(F.col("booked_period").alias("period"), "business_line").agg(
         F.count(F.lit(1)).alias("n_contracts"), F.sum("anr").alias("anr")
     )

@@ -82,15 +82,12 @@ def sweep(df: DataFrame, lookups: Sequence[Dated], ranges: int | None = None) ->
         for i in members:
             events = events.unionByName(_starts(lookups[i], kinds, n, i), allowMissingColumns=True)
 
-    placed = place_in_order(events, ["set", "key", "at", "kind"], ranges)
+    # Written before it is sampled for ranges, so the plans of the rows and of all lookup tables run once.
+    placed = place_in_order(written_table(events, "events"), ["set", "key", "at", "kind"], ranges)
     group = ["set", "key"]
     inside = Window.partitionBy(RANGE, *group).orderBy("at", "kind")
-    upto = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     before = inside.rowsBetween(Window.unboundedPreceding, -1)
-    local = placed.select(
-        "*", *[F.last(v, ignorenulls=True).over(upto).alias(f"now_{v}") for v in names],
-        *[F.last(v, ignorenulls=True).over(before).alias(f"was_{v}") for v in names],
-    )
+    local = placed.select("*", *[F.last(v, ignorenulls=True).over(before).alias(f"was_{v}") for v in names])
     # Only the first key of a range can have started in an earlier one: one row per range at most, safe to broadcast.
     earlier = Window.partitionBy(*group).orderBy(RANGE).rowsBetween(Window.unboundedPreceding, -1)
     latest = placed.groupBy(RANGE, *group).agg(*[F.max_by(v, F.when(F.col(v).isNotNull(), F.col("at"))).alias(v) for v in names])
@@ -102,7 +99,7 @@ def sweep(df: DataFrame, lookups: Sequence[Dated], ranges: int | None = None) ->
     clash = _any([F.col(v).isNotNull() & (F.coalesce(f"was_{v}", f"held_{v}")["end"] >= F.col("at")) for v in names])
     failure = F.raise_error(F.concat(F.lit("overlapping periods of key "), F.array_join("key", ","), F.lit(" at "), F.col("at").cast("string"))).cast("boolean")
     found = both.filter(F.when(clash, failure).otherwise(F.col("kind") == 1)).select(
-        *group, "at", *[F.coalesce(f"now_{v}", f"held_{v}").alias(v) for v in names]
+        *group, "at", *[F.coalesce(f"was_{v}", f"held_{v}").alias(v) for v in names]
     )
     found = written_table(found.select(*group, "at", *[F.when(F.col(v)["end"] >= F.col("at"), F.col(v)).alias(v) for v in names]), "periods")
 

@@ -10,6 +10,7 @@ from ledgerloom.functions import bands
 from ledgerloom.jobs import enrichment, profitability
 from ledgerloom.operators.changes import merge_upsert
 from ledgerloom.plans.registry import mean, query, rounded, table, total
+from ledgerloom.session import written_table
 
 AS_OF = date(1998, 6, 20)
 
@@ -175,6 +176,7 @@ def profit_tables(spark, d) -> profitability.ProfitTables:
     orders, customer, nation = (table(spark, d, n) for n in ("orders", "customer", "nation"))
     lines = table(spark, d, "lineitem")
     key = F.col("c_nationkey")
+    # The job reads contracts from storage several times; here they have to be made first.
     contracts = base.withColumns(
         {
             "dealer_location": key.cast("string"),
@@ -315,7 +317,7 @@ def profit_tables(spark, d) -> profitability.ProfitTables:
     ).select("*", F.explode(F.array(F.lit("tier0"), F.lit("tier2"))).alias("grade"))
     relations = orders.select(F.col("o_orderkey").alias("application_id"), F.col("o_custkey").alias("deposits"))
     return profitability.ProfitTables(
-        contracts, stage, drivers, metrics, dealers, capital, returns, curve_types, dated.union(plain), liquidity, fees, credit,
+        written_table(contracts, "contracts"), stage, drivers, metrics, dealers, capital, returns, curve_types, dated.union(plain), liquidity, fees, credit,
         overrides, dealer_adj, loyalty_adj, portfolio_adj, expenses, losses, relations, marginal,
     )
 
@@ -408,7 +410,7 @@ def contract_profit(spark, d):
 )
 def contract_period_merge(spark, d):
     """The job's last step: merge totals per period and line into a running table."""
-    fresh = profitability.period_totals(profitability.profitability(profit_tables(spark, d), RULES))
+    fresh = profitability.period_totals(profitability.balances(profit_tables(spark, d)))
     fresh = fresh.withColumn("anr", F.round("anr", 1))
     placed = (
         table(spark, d, "orders").filter("o_orderdate < TIMESTAMP_NTZ '1996-07-01'")
