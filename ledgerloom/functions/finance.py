@@ -23,8 +23,38 @@ def future_value(rate: Column, periods: Column, payment: Column, present: Column
     )
 
 
+def _values(rate, n, payment, present, target, due) -> np.ndarray:
+    """Future value less target; at a rate of 0 its limit. Close to 0 by ``expm1``, which keeps the digits that ``growth - 1`` loses."""
+    with np.errstate(all="ignore"):
+        grown = np.expm1(n * np.log1p(rate))
+        small = np.abs(rate) < TINY
+        r = np.where(small, 1.0, rate)
+        annuity = np.where(small, n, grown / r)
+        return present * (1 + grown) + payment * annuity * (1 + np.where(small, 0.0, rate) * due) - target
+
+
+#: Rates per period between which a sign change is looked for.
+_GRID = np.array([-0.99, -0.9, -0.7, -0.5, -0.3, -0.2, -0.1, -0.05, -0.02, -0.01, -1e-3, -1e-4, 0.0, 1e-4, 1e-3, 0.005, 0.01, 0.02, 0.05, 0.1, 0.2, 0.5, 1, 2, 5, 10])
+
+
+def _bracketed(n, payment, present, target, due, guess: float, halvings: int = 80) -> np.ndarray:
+    """Bisection in the interval of ``_GRID`` that has a sign change and lies nearest to ``guess``; NaN without one."""
+    values = np.stack([_values(np.full(len(n), r), n, payment, present, target, due) for r in _GRID])
+    changed = np.isfinite(values[:-1]) & np.isfinite(values[1:]) & (np.sign(values[:-1]) != np.sign(values[1:]))
+    away = np.abs((_GRID[:-1] + _GRID[1:]) / 2 - guess)
+    at = np.argmin(np.where(changed, away[:, None], np.inf), axis=0)
+    low, high = _GRID[at], _GRID[at + 1]
+    sign = np.sign(_values(low, n, payment, present, target, due))
+    for _ in range(halvings):
+        middle = (low + high) / 2
+        same = np.sign(_values(middle, n, payment, present, target, due)) == sign
+        low, high = np.where(same, middle, low), np.where(same, high, middle)
+    # A root at the lower end has no sign of its own.
+    return np.where(changed.any(axis=0), np.where(sign == 0, _GRID[at], (low + high) / 2), np.nan)
+
+
 def _newton(n, payment, present, target, due, guess: float, steps: int) -> np.ndarray:
-    """Newton steps for a batch of annuities at once; NaN where they do not settle."""
+    """Newton steps for a batch of annuities at once, and bisection for those that do not settle; NaN where no root is found."""
     rate = np.full(len(n), guess)
     settled = np.zeros(len(n), dtype=bool)
     with np.errstate(all="ignore"):
@@ -33,28 +63,33 @@ def _newton(n, payment, present, target, due, guess: float, steps: int) -> np.nd
             lift = n * growth / (1 + rate)
             small = np.abs(rate) < TINY
             r = np.where(small, 1.0, rate)
-            value = np.where(small, present + payment * n, present * growth + payment * (growth - 1) * (1 + r * due) / r)
+            value = _values(rate, n, payment, present, target, due)
             slope = np.where(
                 small,
                 present * n + payment * (n * (n - 1) / 2 + n * due),
                 present * lift + payment * (lift * (1 + r * due) / r - (growth - 1) / (r * r)),
             )
-            moved = np.maximum(rate - (value - target) / slope, FLOOR)
+            moved = np.maximum(rate - value / slope, FLOOR)
             # Resting on the floor is no root.
             settled = (np.abs(moved - rate) < 1e-9) & (moved > FLOOR)
             rate = moved
             if settled.all():
                 break
+        left = ~settled & np.isfinite(n + payment + present + target + due)
+        if left.any():
+            rate[left] = _bracketed(n[left], payment[left], present[left], target[left], due[left], guess)
+            settled[left] = np.isfinite(rate[left])
     return np.where(settled, rate, np.nan)
 
 
 def implied_rate(
     periods: Column, payment: Column, present: Column, target: Column, due: Column, guess: float = 0.01, steps: int = 25
 ) -> Column:
-    """Rate per period at which :func:`future_value` reaches ``target``, by Newton steps.
+    """Rate per period at which :func:`future_value` reaches ``target``, by Newton steps backed by bisection.
 
     The sign convention is the caller's: repaying ``-present`` down to a residual needs
-    ``target = -residual``. NULL when the steps do not settle.
+    ``target = -residual``. Where the steps do not settle, the root nearest to ``guess`` between -99 % and 1000 % is bracketed;
+    NULL only without one, or when an argument is NULL.
 
     A root search has no closed form, and Spark evaluates a folded lambda node by node
     (measured: about five times slower), so batches go to numpy through Arrow.

@@ -4,7 +4,7 @@ from importlib import import_module
 
 MODULES = (
     "star", "tables", "projections", "joined", "grouped", "ranked", "scalar", "documents",
-    "versions", "trust", "workload", "finance", "fraud", "learning", "contracts",
+    "versions", "trust", "workload", "finance", "fraud", "learning", "contracts", "stored",
 )
 
 

@@ -10,7 +10,11 @@ from ledgerloom.operators import aggregates, fraud, governance, models, quality,
 from ledgerloom.session import drop_scratch, scratch_path, written_table
 from ledgerloom.sources import readers, writers
 
-DOC = '{"info":{"type":1,"address":{"town":"Lisbon","country":"Portugal"},"tags":["Chess","Rowing"]},"type":"Basic","odd":"[x"}'
+#: A shipment: nested three deep, with numbers, an empty object, a list of objects and a text that begins with a bracket.
+DOC = (
+    '{"shipment":88,"route":[{"port":"Riga","days":2},{"port":"Bergen","days":5}],'
+    '"cargo":{"tonnes":12.5,"fragile":false,"holds":{"fore":"grain","aft":"timber"},"notes":{}},"remark":"[late"}'
+)
 
 
 @pytest.fixture(scope="module")
@@ -21,11 +25,11 @@ def doc(spark):
 def test_json_value_and_query(doc):
     d = F.col("d")
     r = doc.select(
-        documents.json_value(d, "$.type"), documents.json_value(d, "$.info.type"), documents.json_value(d, "$.info.tags[0]"),
-        documents.json_value(d, "$.info"), documents.json_value(d, "$.odd"), documents.json_query(d, "$.odd"),
-        documents.json_query(d, "$.info.tags"), documents.json_query(d, "$.type"),
+        documents.json_value(d, "$.shipment"), documents.json_value(d, "$.cargo.holds.aft"), documents.json_value(d, "$.route[1].port"),
+        documents.json_value(d, "$.cargo.notes"), documents.json_value(d, "$.remark"), documents.json_query(d, "$.remark"),
+        documents.json_query(d, "$.route[0]"), documents.json_query(d, "$.cargo.tonnes"), documents.json_value(d, "$.cargo.fragile"),
     ).first()
-    assert tuple(r) == ("Basic", "1", "Chess", None, "[x", None, '["Chess","Rowing"]', None)
+    assert tuple(r) == ("88", "timber", "Bergen", None, "[late", None, '{"port":"Riga","days":2}', None, "false")
 
 
 def test_is_json_rejects_scalars(spark):
@@ -34,17 +38,17 @@ def test_is_json_rejects_scalars(spark):
 
 
 def test_members_and_elements(doc):
-    assert sorted(map(tuple, documents.each_member(doc, "d", "$.info.address").select("key", "value").collect())) == [
-        ("country", "Portugal"), ("town", "Lisbon")
-    ]
-    assert [tuple(r) for r in documents.each_element(doc, "d", "$.info.tags").select("i", "value").collect()] == [(0, "Chess"), (1, "Rowing")]
+    members = documents.each_member(doc, "d", "$.cargo.holds").select("key", "value").collect()
+    assert sorted(map(tuple, members)) == [("aft", "timber"), ("fore", "grain")]
+    stops = documents.each_element(doc, "d", "$.route").select("i", "value").collect()
+    assert [tuple(r) for r in stops] == [(0, '{"port":"Riga","days":2}'), (1, '{"port":"Bergen","days":5}')]
 
 
 def test_typed_array_and_import(spark):
-    text = '[{"FirstName":"A","LastName":"B"},{"FirstName":"C","LastName":"D"}]'
+    text = '[{"port":"Riga","days":2},{"port":"Bergen","days":5}]'
     df = spark.createDataFrame([(text,), ("[]",), (None,)], "d string")
-    assert documents.typed_array(df, "d", "FirstName string, LastName string").count() == 2
-    assert readers.from_json_text(df, "d", "array<struct<FirstName:string,LastName:string>>").count() == 2
+    assert documents.typed_array(df, "d", "port string, days int").count() == 2
+    assert readers.from_json_text(df, "d", "array<struct<port:string,days:int>>").count() == 2
 
 
 def test_word_search_takes_whole_words(spark):
