@@ -106,19 +106,23 @@ def _name(value: Column, kind: Column, digest: Column) -> Column:
 def surrogate(kind: Column, value: Column, attempt: Column | int, key: str) -> Column:
     """The replacement of one entity; another ``attempt`` gives another one.
 
-    From the fourth attempt on a shape too small for distinct values (a one-letter mailbox, say) grows by the attempt's number.
+    From the fourth attempt on a shape too small for distinct values grows, one digit with every attempt, so that free values
+    are found however many of its own the corpus uses up; an address of the old kind becomes one of the new kind (2001:db8::/32,
+    which is for documentation only).
     """
     attempt = attempt if isinstance(attempt, Column) else F.lit(attempt)
     # A name is the same person in capitals.
     named = F.when(kind.rlike("^(?:given|surname)"), F.lower(value)).otherwise(value)
     digest = F.sha2(F.concat_ws("\x1f", F.lit(key), kind, named, attempt.cast("string")).cast("binary"), 512)
-    shaped = _shaped(value, digest)
+    grown = F.concat(value, F.repeat(F.lit("0"), F.greatest(attempt - 2, F.lit(0))))
+    shaped = _shaped(grown, digest)
     more = F.when(attempt >= 3, attempt.cast("string")).otherwise(F.lit(""))
     mailbox, host = F.substring_index(value, "@", 1), F.substring_index(value, "@", -1)
     # Names below .example are never given to anybody.
     email = F.concat(_shaped(mailbox, digest), more, F.lit("@"), _shaped(F.regexp_replace(host, r"\.\p{L}+$", ""), F.reverse(digest)), F.lit(".example"))
     # 240.0.0.0/4 is reserved, so such an address is nobody's.
     ip = F.concat_ws(".", (240 + _number(digest, 0, 15)).cast("string"), *[_number(digest, i, 256).cast("string") for i in (1, 2, 3)])
+    ip = F.when(attempt >= 3, F.concat_ws(":", F.lit("2001:db8"), *[digest.substr(1 + 4 * i, 4) for i in range(6)])).otherwise(ip)
     last = F.pmod(F.right(shaped, F.lit(1)).cast("int") + _luhn(value) - _luhn(shaped), F.lit(10))
     card = F.concat(shaped.substr(F.lit(1), F.length(shaped) - 1), last.cast("string"))
     code = F.regexp_extract(value, r"^(\+\d{1,3})", 1)
