@@ -128,20 +128,24 @@ def mixed(docs: DataFrame, doc: str = "doc_id", text: str = "text", source: str
     table gives none.
     """
     key = row_key(doc, text, source)
-    units = docs.select(carried(doc).alias("doc"), F.col(source).cast("string").alias("source"), n_words(text).alias("size"), *key)
+    units = docs.select(
+        carried(doc).alias("doc"), F.col(source).cast("string").alias("source"), n_words(text).alias("size"), *key, F.monotonically_increasing_id().alias("row")
+    )
+    # Rows alike are numbered, so that however many there are they don't meet in one block; which of them has which number is all one.
+    units = ordered_row_number(saved(units, "units"), ["k1", "k2"], ["row"], "again").drop("row")
     units = saved(units, "units")
     targets = saved(source_targets(units, cap), "targets")
     ratio = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
     same = units["source"].eqNullSafe(targets["source"])
     state = units.join(targets, same).select(
-        "doc", units["source"], "size", "k1", "k2", "source_size", "target", F.floor(ratio).alias("base"), (ratio - F.floor(ratio)).alias("chance"),
+        "doc", units["source"], "size", "k1", "k2", "again", "source_size", "target", F.floor(ratio).alias("base"), (ratio - F.floor(ratio)).alias("chance"),
         F.col("n_docs").alias("n"),
     )
-    schema = "doc string, source string, size long, k1 long, k2 long, source_size long, target double, base long, chance double"
+    schema = "doc string, source string, size long, k1 long, k2 long, again long, source_size long, target double, base long, chance double"
     done, level = None, 0
     while True:
         blocks = F.ceil(F.col("n") / BLOCK)
-        dealt = state.withColumns({"block": F.pmod(F.xxhash64("k1", F.lit(level)), blocks), "alone": blocks == 1, "level": F.lit(level)}).drop("n")
+        dealt = state.withColumns({"block": F.pmod(F.xxhash64("k1", "again", F.lit(level)), blocks), "alone": blocks == 1, "level": F.lit(level)}).drop("n")
         moved = saved(dealt.groupBy("source", "block").applyInPandas(_settled, schema), "moved")
         open_ = (F.col("chance") > 0) & (F.col("chance") < 1)
         done = moved.where(~open_) if done is None else done.unionByName(moved.where(~open_))
