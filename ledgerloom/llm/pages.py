@@ -61,7 +61,8 @@ _UNSEEN_TAGS = set("title script style template iframe audio video canvas datali
 class LineParser(HTMLParser):
     """Parser events to lines of text; ``holders`` maps the number of a container to its tag.
 
-    With ``visible`` only what a reader doesn't see is left out, boilerplate is not.
+    With ``visible`` only what a reader doesn't see is left out, boilerplate is not. ``title`` is the first title of the page,
+    ``links`` the number of anchors that lead somewhere; comments, scripts and the like hold none.
     """
 
     def __init__(self, visible: bool = False) -> None:
@@ -71,12 +72,21 @@ class LineParser(HTMLParser):
         self.holders = {0: "page"}
         self._open: list[tuple[str, int, int | None]] = []  # tag, how surely no content (0 to 2), container number
         self._parts: list[str] = []
-        self._tags = self._linked = 0
+        self._tags = self._linked = self.links = 0
+        self._title: list[str] | None = None
+        self._titled = False
+
+    @property
+    def title(self) -> str:
+        return " ".join("".join(self._title or []).split())
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         if tag not in _INLINE:
             self._end_line()
         self._tags += 1
+        self.links += tag == "a" and any(name == "href" for name, _ in attrs)
+        if tag == "title" and self._title is None:
+            self._title, self._titled = [], True
         if tag in _VOID:
             return
         if tag not in _INLINE:
@@ -88,6 +98,7 @@ class LineParser(HTMLParser):
         self.handle_starttag(tag, attrs)
 
     def handle_endtag(self, tag: str) -> None:
+        self._titled = self._titled and tag != "title"
         if tag not in _INLINE:
             self._end_line()
         for i in range(len(self._open) - 1, -1, -1):
@@ -98,6 +109,8 @@ class LineParser(HTMLParser):
                 return
 
     def handle_data(self, data: str) -> None:
+        if self._titled:
+            self._title.append(data)
         if not self._open or not self._open[-1][1]:
             self._parts.append(data)
             if any(tag == "a" for tag, *_ in self._open[-4:]):

@@ -10,7 +10,6 @@ from __future__ import annotations
 import base64
 import gzip
 import hashlib
-import re
 import uuid
 from collections.abc import Iterator
 
@@ -61,10 +60,8 @@ def page_responses(pages: DataFrame, date: str, page: str = "page_id", url: str
 
 def plain_text(html: str | None) -> tuple[str, str, int]:
     """All visible text, menus, forms and boilerplate with it, one line per block; the title; the number of links."""
-    html = html or ""
-    parser = _events(html, visible=True)
-    title = re.search(r"<title[^>]*>(.*?)</title", html, re.S | re.I)
-    return "\n".join(x.text for x in parser.lines), " ".join(title[1].split()) if title else "", len(re.findall(r"<a\s[^>]*href", html, re.I))
+    parser = _events(html or "", visible=True)
+    return "\n".join(x.text for x in parser.lines), parser.title, parser.links
 
 
 def _records(r) -> Iterator[tuple]:

@@ -250,7 +250,7 @@ def plain_scores(texts):
             p = base(x)
             for n in range(1, min(suffixes.DEPTH, i) + 1):
                 s = tuple(w[i - n : i])
-                if count[s] < suffixes.LEAST or gains[s] < suffixes.DIVERGENCE:
+                if count[s] < suffixes.LEAST or round(gains[s] * suffixes._PART) < suffixes.DIVERGENCE * suffixes._PART:
                     break
                 p = (count[*s, x] + suffixes.PRIOR * p) / (count[s] + suffixes.PRIOR)
             score += math.log10(p)

@@ -12,8 +12,9 @@ from ledgerloom.llm.lines import without_repeated_lines
 from ledgerloom.llm.mixing import flight, mixed, source_targets
 from ledgerloom.llm.quality import held_out, quality_scores, statistics
 from ledgerloom.llm.substrings import without_repeats
-from ledgerloom.llm.surrogates import _luhn, with_surrogates
+from ledgerloom.llm.surrogates import _luhn, distinct_surrogates, with_surrogates
 from ledgerloom.llm.tokens import WordCodes, run_hashes
+from ledgerloom.llm.warc import plain_text
 
 
 def by_id(df):
@@ -329,3 +330,23 @@ def test_digest_columns_are_of_the_kept_words(spark):
     for r in rows:
         if not r.n_removed:
             assert r.kept_sha256 == hashlib.sha256(" ".join(texts[r.doc_id].split()).encode()).hexdigest()
+
+
+def test_surrogates_end_when_a_shape_is_used_up(spark):
+    """Every number of a shape is in the corpus: the surrogates grow, stay distinct and are no value of it."""
+    found = spark.createDataFrame([("phone", f"+1 {i:04d}") for i in range(10_000)] + [("ssn", "123-45-6789"), ("ip", "10.0.0.1")], "kind string, value string")
+    got = distinct_surrogates(found, "k").collect()
+    assert len(got) == 10_002 and len({(r.kind, r.surrogate) for r in got}) == 10_002
+    assert not {r.surrogate for r in got} & {r.value for r in got}
+    assert all(re.fullmatch(r"\+1 \d{5,9}", r.surrogate) for r in got if r.kind == "phone")
+
+
+def test_title_and_links_come_from_the_markup():
+    """References are decoded, comments and scripts hold no links, a second title is none."""
+    html = (
+        "<html><head><title>A &amp; B\n <!-- C --></title></head><body><!-- <a href=x>no</a> --><script>'<a href=y>'</script>"
+        "<a name=here>anchor</a><a class=z\nhref='/q'>yes</a><svg><title>icon</title></svg><A HREF=r>also</A></body></html>"
+    )
+    text, title, links = plain_text(html)
+    assert title.startswith("A & B") and links == 2 and "anchor" in text and "also" in text
+    assert plain_text(None) == ("", "", 0) and plain_text("<title>x")[1] == "x"
