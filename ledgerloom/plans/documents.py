@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ledgerloom.functions import documents as js
+from ledgerloom.functions import variants
 from ledgerloom.operators.nesting import children_as_json
 from ledgerloom.plans.registry import query, rounded, table, total
+from ledgerloom.session import scratch_path
 
 
 def _order_docs(spark, d):
@@ -166,6 +168,30 @@ def json_report(spark, d):
     )
 
 
+@query(
+    "variant_report",
+    """
+    SELECT c_nationkey::VARCHAR AS nation, o_orderstatus AS status, c_mktsegment AS tag, count(*) AS n_docs, count(DISTINCT c_name) AS n_names,
+      2 * count(*) AS n_tags, '["' || c_mktsegment || '","' || min(o_orderpriority) || '"]' AS first_tags, 0::BIGINT AS n_objects
+    FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY 1, 2, 3
+    """,
+)
+def variant_report(spark, d):
+    """Documents parsed and stored once; six paths of them are read."""
+    docs = variants.stored(_order_docs(spark, d).select("o_orderkey", "info"), "info", "doc", scratch_path(spark, "variants"))
+    doc = F.col("doc")
+    read = docs.select(
+        variants.value_at(doc, "$.Customer.Nation").alias("nation"), variants.value_at(doc, "$.Status").alias("status"),
+        variants.value_at(doc, "$.Tags[0]").alias("tag"), variants.value_at(doc, "$.Customer.Name").alias("name"),
+        F.size(F.try_variant_get(doc, "$.Tags", "array<string>")).alias("n"), variants.fragment_at(doc, "$.Tags").alias("tags"),
+        variants.value_at(doc, "$.Customer").alias("object"),
+    )
+    return read.groupBy("nation", "status", "tag").agg(
+        total().alias("n_docs"), F.count_distinct("name").alias("n_names"), F.sum("n").alias("n_tags"), F.min("tags").alias("first_tags"),
+        F.count("object").alias("n_objects"),
+    )
+
+
 @query(
     "json_reason_report",
     """

@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from ledgerloom.functions import catalog, finance
+from ledgerloom.functions import catalog, finance, variants
 from ledgerloom.operators import bitmaps
 from ledgerloom.session import scratch_path
 from ledgerloom.sources import readers
@@ -174,3 +174,24 @@ def test_sql_functions_take_text_as_text(spark):
     assert rows(spark.sql("SELECT * FROM named()")) == [(1,), (2,)] and rows(spark.sql("SELECT * FROM named(NULL)")) == [(1,), (2,)]
     catalog.scalar_function(spark, "key_of", {"wanted": "string"}, "int", "(SELECT max(k) FROM held_names WHERE name = wanted)")
     assert spark.sql("SELECT key_of('x') AS a, key_of('none') AS b").first().asDict() == {"a": 1, "b": None}
+
+
+def test_documents_are_parsed_once(spark):
+    text = '{"a":{"b":[1,{"c":"x"},null],"d":2.5},"e":"[no","f":true,"g":{}}'
+    df = spark.createDataFrame([(1, text), (2, "{bad"), (3, None), (4, "[7,8]"), (5, "3")], "id int, doc string")
+    docs = variants.parsed(df, "doc", "v")
+    assert [r["id"] for r in variants.malformed(docs, "doc", "v").collect()] == [2]
+    v = F.col("v")
+    one = docs.filter("id = 1").select(
+        *[variants.value_at(v, p) for p in ("$.a.b[0]", "$.a.b[1].c", "$.a.b[2]", "$.a", "$.e", "$.f", "$.a.d", "$.none")],
+        variants.fragment_at(v, "$.a.b"), variants.fragment_at(v, "$.e"), variants.fragment_at(v, "$.g"),
+    ).first()
+    assert tuple(one) == ("1", "x", None, None, "[no", "true", "2.5", None, '[1,{"c":"x"},null]', None, "{}")
+    kept = variants.stored(df, "doc", "v", scratch_path(spark, "variants"))
+    assert kept.columns == ["id", "v"] and kept.count() == 5
+    got = variants.elements_of(kept, "v").select("id", "i", F.col("value").cast("int")).collect()
+    assert sorted(map(tuple, got)) == [(4, 0, 7), (4, 1, 8)]
+    got = variants.members_of(kept, "v", "$.a").select("id", "key", variants.fragment_at(F.col("value"))).collect()
+    assert sorted(map(tuple, got)) == [(1, "b", '[1,{"c":"x"},null]'), (1, "d", None)]
+    typed = variants.typed_at(kept, "v", {"d": ("double", "$.a.d"), "e": ("int", "$.e")}).filter("id = 1").first()
+    assert (typed["d"], typed["e"]) == (2.5, None)
