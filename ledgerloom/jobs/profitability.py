@@ -119,7 +119,8 @@ def with_dimensions(df: DataFrame, t: ProfitTables, rules: ProfitRules) -> DataF
     ])
     line = {"business_line": "business_line", "curve_type": "curve_type"}
     df = sweep(df, [Dated(t.credit_adjustments, line, "booking_date", _same("credit_adjustment"))])
-    return df.withColumn("subordinated_debt", F.col("senior_debt"))
+    # Written here: the run-off, adjustors and expenses are then planned on a table and not on all these joins once more.
+    return written_table(df.withColumn("subordinated_debt", F.col("senior_debt")), "dimensions")
 
 
 def _curve_names(df: DataFrame) -> DataFrame:

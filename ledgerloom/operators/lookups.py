@@ -94,8 +94,8 @@ def _one_box(dim: DataFrame, keys: Sequence[str], bands: Sequence[tuple[str, str
     """Pass ``dim`` through, failing the job when two rows of a key hold a point in common.
 
     Boxes meet if they meet in every band. With one band, a row meets an earlier one (by lower bound) if it starts before the
-    greatest upper bound so far. With more, each key is cut into cells at the lower bounds of the band that has most of them;
-    two boxes that meet share a cell, so only boxes of one cell are compared.
+    greatest upper bound so far. With more, the boxes of one key are compared with each other, which is meant for the few that
+    a rule table has per key.
     """
     boxes = dim.select(*[F.col(k).alias(f"k{i}") for i, k in enumerate(keys)], *[F.struct(F.col(lo).alias("lo"), F.col(hi).alias("hi")).alias(f"b{i}") for i, (lo, hi) in enumerate(bands)])
     group = [f"k{i}" for i in range(len(keys))]
@@ -106,34 +106,16 @@ def _one_box(dim: DataFrame, keys: Sequence[str], bands: Sequence[tuple[str, str
         before = Window.partitionBy(*group).orderBy("b0.lo", "b0.hi").rowsBetween(Window.unboundedPreceding, -1)
         met = boxes.withColumn("until", F.max("b0.hi").over(before)).filter(F.col("until") >= F.col("b0.lo"))
     else:
-        boxes = boxes.withColumn("n", F.monotonically_increasing_id())
-        counts = boxes.groupBy(*group).agg(*[F.count_distinct(F.col(c)["lo"]).alias(f"n_{c}") for c in axes])
-        most = F.greatest(*[f"n_{c}" for c in axes])
-        axis = F.coalesce(*[F.when(F.col(f"n_{c}") == most, F.lit(c)) for c in axes])
-        axis = counts.select(*[F.col(g).alias(f"{g}_") for g in group], axis.alias("axis"))
-        own = boxes.join(axis, [F.col(g) == F.col(f"{g}_") for g in group]).drop(*[f"{g}_" for g in group])
-        # Bounds of different bands may have different types; a cell is named by the rank of its lower bound.
-        rank = {c: F.dense_rank().over(Window.partitionBy(*group).orderBy(F.col(c)["lo"])) for c in axes}
-        last = {c: F.max(F.col(f"r_{c}")).over(Window.partitionBy(*group).orderBy(F.col("edge"))) for c in axes}
-        parts = []
-        for c in axes:
-            mine = own.filter(F.col("axis") == c).withColumn(f"r_{c}", rank[c])
-            # How far a box reaches: the last lower bound up to its upper one, from one order of both kinds of bounds.
-            edges = mine.select(*group, "n", F.col(f"r_{c}"), F.col(c)["lo"].alias("edge"), F.lit(0).alias("side")).unionByName(
-                mine.select(*group, "n", F.lit(0).alias(f"r_{c}"), F.col(c)["hi"].alias("edge"), F.lit(1).alias("side"))
-            )
-            reach = edges.withColumn("reach", last[c]).filter("side = 1").select(F.col("n").alias("of"), "reach")
-            parts.append(mine.join(reach, F.col("n") == F.col("of")).withColumn("cell", F.explode(F.sequence(F.col(f"r_{c}"), F.col("reach")))).select(*group, *axes, "n", "axis", "cell"))
-        cells = parts[0]
-        for part in parts[1:]:
-            cells = cells.unionByName(part)
-        right = cells.toDF(*[f"{c}_" for c in cells.columns])
-        cond = (F.col("n") < F.col("n_")) & (F.col("cell") == F.col("cell_"))
+        # Rows alike are counted first, so a pair of different ones can be ordered by what they hold.
+        boxes = boxes.groupBy(*group, *axes).agg(F.count(F.lit(1)).alias("n"))
+        right = boxes.toDF(*[f"{c}_" for c in boxes.columns])
+        cond = F.struct(*axes) <= F.struct(*[F.col(f"{c}_").alias(c) for c in axes])
         for g in group:
             cond = cond & (F.col(g) == F.col(f"{g}_"))
         for c in axes:
             cond = cond & (F.col(c)["lo"] <= F.col(f"{c}_")["hi"]) & (F.col(f"{c}_")["lo"] <= F.col(c)["hi"])
-        met = cells.join(right, cond)
+        same = F.struct(*axes) == F.struct(*[F.col(f"{c}_").alias(c) for c in axes])
+        met = boxes.join(right, cond).filter(~same | (F.col("n") > 1))
     doubled = met.agg(F.count(F.lit(1))).scalar()
     failure = F.raise_error(F.lit(f"overlapping bands of {list(keys)}")).cast("boolean")
     return dim.filter(F.when(doubled > 0, failure).otherwise(F.lit(True)))
