@@ -181,7 +181,13 @@ def override_lookups(df: DataFrame, overrides: DataFrame, wanted: Sequence[Overr
         F.struct(F.col("min_val").cast("string").alias("lo"), F.col("max_val").cast("string").alias("hi"), F.col("override").cast("string").alias("to")).alias("__rule"),
     ).filter("__which is not null")
     asked = df.select(F.col(line).alias("__line"), F.col(period).alias("__period")).distinct()
-    force = asked.join(rules, (F.col("__line") == F.col("__l")) & F.col("__period").between(F.col("__beg"), F.col("__end")))
+    # Joined by year too, so there is an equality left where the line is a constant; rules are cut to the years that occur.
+    year = lambda c: F.floor(F.col(c) / 100).cast("int")
+    span = asked.agg(F.struct(F.min(year("__period")).alias("lo"), F.max(year("__period")).alias("hi"))).scalar()
+    first, last = F.greatest(year("__beg"), span["lo"]), F.least(year("__end"), span["hi"])
+    rules = rules.filter(first <= last).withColumn("__year", F.explode(F.sequence(first, last)))
+    held = F.col("__period").between(F.col("__beg"), F.col("__end")) & (year("__period") == F.col("__year"))
+    force = asked.join(rules, (F.col("__line") == F.col("__l")) & held)
     gathered = [F.collect_list(F.when(F.col("__which") == i, F.col("__rule"))).alias(f"__rules{i}") for i in range(len(wanted))]
     force = force.groupBy("__line", "__period").agg(*gathered)
     out = df.join(force, (F.col(line) == F.col("__line")) & (F.col(period) == F.col("__period")), "left")
