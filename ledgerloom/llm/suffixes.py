@@ -32,11 +32,11 @@ from ledgerloom.llm.tables import carried, restored, saved
 from ledgerloom.llm.tokens import WordCodes, mix, run_hashes
 from ledgerloom.session import scratch_path
 
-DEPTH = 3
-LEAST = 16
-PRIOR = 16.0
+DEPTH = 2
+LEAST = 24
+PRIOR = 128.0
 DIVERGENCE = 3.0
-CHUNK = 1 << 20
+CHUNK = 3 << 19
 #: Distinct n-grams that a shard holds at about.
 SHARD = 1 << 22
 #: Per level the sorted hashes that a chunk asks for, and what it holds of each.
@@ -44,8 +44,8 @@ Request = Iterator[tuple[int, np.ndarray, np.ndarray]]
 _LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 #: Bits by which n-grams of two and more words are known; the rest is cut off.
 _KNOWN = np.uint64(((1 << 48) - 1) << 16)
-#: Gains are added up as whole parts of a nat, so their order does not matter.
-_PART = 1024
+#: Gains are added up as whole sixteenths of a nat, so their order does not matter.
+_PART = 16
 #: Closes every text; no word holds white space.
 _END = b"\n"
 
