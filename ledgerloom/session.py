@@ -46,10 +46,15 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/ledgerloom/{application}/{name}-{uuid.uuid4().hex}"
 
 
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder of the shared folder, by the file system it is in."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop, True)
+
+
 def drop_scratch(spark: SparkSession) -> None:
     """Delete this application's tables in the shared folder; for jobs, once their results are written."""
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark).rstrip('/')}/ledgerloom/{spark.sparkContext.applicationId}")
-    hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop, True)
+    delete_path(spark, f"{shared_dir(spark).rstrip('/')}/ledgerloom/{spark.sparkContext.applicationId}")
 
 
 def written_table(df: DataFrame, name: str) -> DataFrame:

@@ -2,10 +2,12 @@
 
 import hashlib
 import math
+import uuid
 import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pandas as pd
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -280,6 +282,55 @@ def test_scores_equal_plain_version(spark, monkeypatch, prose, chunk, shard):
     _same_scores(suffixes.text_scores(spark.createDataFrame(texts, "doc_id long, text string")), texts)
 
 
+def _coded(texts):
+    """A chunk with these learned texts."""
+    words = [suffixes.WordCodes().of(suffixes.tokens_of(t)) for t in texts]
+    vocabulary, numbers = np.unique(np.concatenate(words), return_inverse=True)
+    return {
+        "sizes": [len(w) for w in words], "held": [False] * len(words), "vocabulary": suffixes._packed_keys(vocabulary),
+        "words": suffixes._packed(numbers.astype(np.uint64)),
+    }
+
+
+def test_scores_ask_only_for_what_other_chunks_may_hold(monkeypatch):
+    """Pairs after rare words, and with a word that no other chunk holds, are not sent; their counts are right all the same."""
+    monkeypatch.setattr(suffixes, "LEAST", 2)
+    rows = [_coded(["the cat sat", "the cat ran", "the own own"]), _coded(["the cat sat"])]
+    slices = []
+    for number, row in enumerate(rows):
+        _, keys, _, own, _ = suffixes.Chunk(row, []).asked(0)
+        slices.append(suffixes._slices(0, number, keys, own, 0))
+    found = suffixes._totals(pd.concat(slices, ignore_index=True)).set_index("chunk")
+    # the, cat, sat, ran, own, the end.
+    assert found.loc[-1, "n"] == 6
+    first = suffixes.Chunk(rows[0], [suffixes._unpacked(found.loc[0, "answer"], np.int64)])
+    assert first.counts[0].tolist() == [4, 3, 2, 4, 4, 3, 1, 4, 4, 2, 2, 4]
+    at, keys, inverse, own, known = first.asked(1)
+    # the cat, cat sat, sat end; the cat, cat ran (ran: only here; ran end: rare before it); the own, own own, own end.
+    assert at.tolist() == [1, 2, 3, 5, 6, 9, 10, 11]
+    assert known[inverse].tolist() == [False, False, False, False, True, True, True, True]
+    assert own[inverse].tolist() == [2, 1, 1, 2, 1, 1, 1, 1]
+
+
+def test_scores_answer_gains_by_one_bit():
+    """What chunks gain by a context comes back as whether it is retained."""
+    keys = np.array([1 << 40, 1 << 50], np.uint64)
+    least = int(suffixes.DIVERGENCE * suffixes._PART)
+    slices = [suffixes._slices(-1, chunk, keys, np.array(own), 0) for chunk, own in ((0, [least, 5]), (1, [0, least - 6]))]
+    found = suffixes._totals(pd.concat(slices, ignore_index=True)).set_index("chunk")
+    assert [suffixes._unpacked(found.loc[c, "answer"], np.int64).tolist() for c in (0, 1)] == [[1, 0], [1, 0]]
+
+
+def test_scores_delete_what_exchanges_wrote(spark, prose, monkeypatch, tmp_path):
+    """Totals and shuffle files of an exchange do not outlive it, and the session's setting is as before."""
+    monkeypatch.setattr(suffixes, "scratch_path", lambda spark, name: f"{tmp_path}/{name}-{uuid.uuid4().hex}")
+    spark.conf.unset(suffixes._CLEANUP)
+    before = spark.conf.get(suffixes._CLEANUP, None)
+    suffixes.text_scores(spark.createDataFrame(_texts(prose), "doc_id long, text string"))
+    assert spark.conf.get(suffixes._CLEANUP, None) == before
+    assert sorted({f.name.split("-")[0] for f in tmp_path.iterdir()}) == ["chunks", *(f"exchange{k}" for k in range(suffixes.DEPTH + 2))]
+
+
 def test_scores_are_probabilities_and_beat_single_words(spark, prose):
     """Every word after a state adds up to one, unknown words included; held-out texts gain from the contexts."""
     found = suffixes.text_scores(spark.createDataFrame(_texts(prose), "doc_id long, text string")).where("held_out").agg(F.sum("score"), F.sum("base_score")).first()
