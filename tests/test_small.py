@@ -7,9 +7,13 @@ from pyspark.sql import functions as F
 
 from ledgerloom.functions import bands, documents, scalars
 from ledgerloom.operators import aggregates, fraud, governance, models, quality, workload
+from ledgerloom.plans import load
+from ledgerloom.plans.registry import QUERIES
 from ledgerloom.session import drop_scratch, scratch_path, written_table
 from ledgerloom.sources import readers, writers
 
+load()
+
 #: A shipment: nested three deep, with numbers, an empty object, a list of objects and a text that begins with a bracket.
 DOC = (
     '{"shipment":88,"route":[{"port":"Riga","days":2},{"port":"Bergen","days":5}],'
@@ -245,6 +249,44 @@ def test_generated_orders_need_no_dense_keys(spark):
     assert out.select("order_id").distinct().count() == 21
 
 
+def test_generated_orders_match_a_plain_version(spark):
+    keys = [(5, 0), (-3, 0), (205, 0), (205, 0), (None, 0)]
+    rows = [(100, 1, 2.0), (900, 1, 3.0), (900, 2, 4.0), (900, 2, 4.0), (41, 1, None), (None, 1, 7.0)]
+    headers, details = spark.createDataFrame(keys, "o int, x int"), spark.createDataFrame(rows, "o int, line int, q double")
+    seeds = sorted({k for k, _, _ in rows if k is not None})
+    expected = [
+        (o * 4 + c, c, line, q, i + 1)
+        for o, _ in keys if o is not None for c in range(4) for i in [(o * 7919 + c * 104729) % 3] for k, line, q in rows if k == seeds[i]
+    ]
+    order = lambda found: sorted(map(tuple, found), key=str)
+    assert order(readers.generate_orders(headers, details, "o", "o", 4, seed="seed").collect()) == order(expected)
+    assert order(readers.generate_orders(headers, details, "o", "o", 4).collect()) == order(r[:-1] for r in expected)
+    assert readers.generate_orders(headers, details.limit(0), "o", "o", 4).count() == 0
+
+
+def test_generated_orders_are_shuffled_once(spark, tmp_path):
+    spark.createDataFrame([(i,) for i in range(50)], "o_orderkey bigint").write.parquet(f"{tmp_path}/orders.parquet")
+    lines = spark.createDataFrame([(i % 20, i, i, float(i)) for i in range(60)], "l_orderkey bigint, l_linenumber int, l_partkey bigint, l_quantity double")
+    lines.write.parquet(f"{tmp_path}/lineitem.parquet")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        out = QUERIES["order_generator"](spark, str(tmp_path))
+        plan = out._jdf.queryExecution().executedPlan().toString().splitlines()
+        assert sum(r["n_orders"] for r in out.collect()) == 1000
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    depth = lambda line: next(i for i, c in enumerate(line) if c.isalnum())
+    at = next(i for i, line in enumerate(plan) if "Generate explode" in line)
+    above, left = [], depth(plan[at])
+    for line in reversed(plan[:at]):
+        if any(c.isalnum() for c in line) and depth(line) < left:
+            left = depth(line)
+            above.append(line)
+    # One by the seed's number, one of the sums by copy.
+    assert sum("Exchange" in line for line in above) == 2
+
+
 def test_scratch_tables_can_be_dropped(spark):
     import os
 
