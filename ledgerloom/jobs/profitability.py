@@ -16,8 +16,8 @@ from ledgerloom.functions import bands, finance
 from ledgerloom.functions.scalars import months_since_model_year, year_month
 from ledgerloom.operators.joins import lookup_equi
 from ledgerloom.operators.lookups import Override, band_join, metric_lookup, override_lookups
-from ledgerloom.operators.sweep import Dated, sweep
-from ledgerloom.session import written_table
+from ledgerloom.operators.sweep import FEW, Dated, sweep
+from ledgerloom.session import tidy_shuffles, written_table
 
 EQUITY_COST = 0.1  # fixed value: cost of equity
 EARNING_RATE = 0.0435  # fixed value: earning rate on subsidised contracts
@@ -98,8 +98,10 @@ def _curve_type(t: ProfitTables) -> Dated:
 
 
 def with_dimensions(df: DataFrame, t: ProfitTables, rules: ProfitRules) -> DataFrame:
-    """Stage flags, market metrics, and all dated lookups: one sweep for all whose keys are known, then the next."""
+    """Stage flags, bands, market metrics, and all dated lookups: one sweep for all whose keys are known, then the next."""
+    # Rows are shuffled by account before anything is added to them.
     df = lookup_equi(df, t.stage, {"account_no": "account_no"}, {"new_used_flag": "new_used_flag", "grade": "stage_grade"})
+    df = with_bands(df.withColumn("line", F.lit(rules.line)))
     df = df.withColumn("region", bands.code_map(F.col("dealer_location"), rules.region_codes) if rules.region_codes else F.lit(None).cast("string"))
     df = metric_lookup(df, t.metrics, {"booking_date": "as_of"}, "label", "value", {"1m": "index_1m", "24m": "index_24m"})
     driver = lambda key, out: Dated(t.drivers, {}, "lease_date", {"measure": out}, constants={"line": rules.line, "dim_key": key})
@@ -120,7 +122,7 @@ def with_dimensions(df: DataFrame, t: ProfitTables, rules: ProfitRules) -> DataF
     line = {"business_line": "business_line", "curve_type": "curve_type"}
     df = sweep(df, [Dated(t.credit_adjustments, line, "booking_date", _same("credit_adjustment"))])
     # Written here: the run-off, adjustors and expenses are then planned on a table and not on all these joins once more.
-    return written_table(df.withColumn("subordinated_debt", F.col("senior_debt")), "dimensions")
+    return written_table(df.withColumn("subordinated_debt", F.col("senior_debt")), "dimensions", codec="zstd")
 
 
 def _curve_names(df: DataFrame) -> DataFrame:
@@ -132,7 +134,9 @@ def _moments(t: ProfitTables) -> tuple[DataFrame, DataFrame]:
     """Curves reduced to the moments of the banded terms, written once: every pass reads these two small tables."""
     terms = [label for _, _, label in bands.TERM_BANDS] + [bands.TERM_DEFAULT]
     reduced = lambda curves: finance.by_curve(finance.curve_moments(curves, "name", "curve", max(terms), terms=terms))
-    return written_table(reduced(t.curves), "curves"), written_table(reduced(t.liquidity_curves), "liquidity")
+    written = written_table(reduced(t.curves), "curves"), written_table(reduced(t.liquidity_curves), "liquidity")
+    # A curve has a few hundred bytes; few of them are sent to the tasks, so contracts are not shuffled by their names.
+    return tuple(F.broadcast(c) if c.count() <= FEW else c for c in written)
 
 
 _COMMON = ("capital_cost", "residual", "term_band", "speed", "wacc")
@@ -172,11 +176,12 @@ def with_fees(df: DataFrame) -> DataFrame:
     )
 
 
-def with_adjustors(df: DataFrame, t: ProfitTables) -> DataFrame:
+def with_adjustors(df: DataFrame, t: ProfitTables, occurring: DataFrame | None = None) -> DataFrame:
     """Keys replaced by their overrides, then dealer, loyalty and portfolio loss adjustors.
 
     Keys that the contracts do not carry have the fixed values of the report: any manufacturer and channel, all dealer
-    groups, franchise dealers, no certification, an income ratio of 0.
+    groups, franchise dealers, no certification, an income ratio of 0. ``occurring`` is a stored table with the lines and
+    booked periods of the contracts.
     """
     df = df.fillna(0, ["score", "credit_score"]).withColumns(
         {
@@ -205,7 +210,7 @@ def with_adjustors(df: DataFrame, t: ProfitTables) -> DataFrame:
         Override("portfolio", "income_ratio", "income_ratio", "portfolio_income_ratio"),
         Override("portfolio", "make", "make_id", "portfolio_make"),
         Override("portfolio", "subsidised", "subsidised", "portfolio_subsidised"),
-    ], "booked_period", "line")
+    ], "booked_period", "line", occurring)
     df = band_join(
         df, t.dealer_adjustors,
         {"dealer_make": "make_id", "dealer_manufacturer": "manufacturer_id", "dealer_channel": "channel_id",
@@ -271,18 +276,20 @@ def with_weights(df: DataFrame) -> DataFrame:
 def profitability(tables: ProfitTables, rules: ProfitRules) -> DataFrame:
     """All contracts with their profit measures."""
     base = tables.contracts.toDF(*[c.lower() for c in tables.contracts.columns])
-    df = with_dimensions(with_bands(base.withColumn("line", F.lit(rules.line))), tables, rules)
-    df = with_fees(with_run_off(df, tables))
-    df = with_adjustors(df, tables)
-    return with_weights(with_expenses(df, tables, rules))
+    with tidy_shuffles(base.sparkSession):
+        dimensions = with_dimensions(base, tables, rules)
+        df = with_fees(with_run_off(dimensions, tables))
+        df = with_adjustors(df, tables, dimensions)
+        return with_weights(with_expenses(df, tables, rules))
 
 
 def balances(tables: ProfitTables) -> DataFrame:
     """Booking period, business line and average balance ``anr`` of all contracts: of the job only what these need."""
     base = tables.contracts.toDF(*[c.lower() for c in tables.contracts.columns])
-    df = sweep(with_bands(base), _dealer_lookups(tables))
-    df = _curve_names(sweep(df, [_curve_type(tables)])).withColumn("wacc", F.lit(START_WACC))
-    return _booked_run_off(df, *_moments(tables)).select("booked_period", "business_line", "anr")
+    with tidy_shuffles(base.sparkSession):
+        df = sweep(with_bands(base), _dealer_lookups(tables))
+        df = _curve_names(sweep(df, [_curve_type(tables)])).withColumn("wacc", F.lit(START_WACC))
+        return _booked_run_off(df, *_moments(tables)).select("booked_period", "business_line", "anr")
 
 
 def period_totals(profit: DataFrame) -> DataFrame:

@@ -13,6 +13,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ledgerloom.session import written_table
+
 
 def month_number(date: Column) -> Column:
     """Months since year 0 of a date."""
@@ -152,6 +154,10 @@ def band_join(
     return df.join(keep, cond, how).drop(*limits, *[f"__k_{b}" for b in on.values()])
 
 
+#: Pairs of line and period, and rules in force for them, to be sent to every task: some MB at most.
+FEW_FORCE = 10_000
+
+
 @dataclass(frozen=True)
 class Override:
     """One value to be replaced: ``out`` is the override of ``variable`` in ``lookup`` that holds ``value``, else ``value``."""
@@ -162,7 +168,9 @@ class Override:
     out: str
 
 
-def override_lookups(df: DataFrame, overrides: DataFrame, wanted: Sequence[Override], period: str, line: str) -> DataFrame:
+def override_lookups(
+    df: DataFrame, overrides: DataFrame, wanted: Sequence[Override], period: str, line: str, occurring: DataFrame | None = None
+) -> DataFrame:
     """Any number of overrides by one join on ``line`` and ``period``.
 
     ``overrides``: line, lookup, lookup_var, beg, end, min_val, max_val, override. Names are compared as literals; nothing is
@@ -171,6 +179,9 @@ def override_lookups(df: DataFrame, overrides: DataFrame, wanted: Sequence[Overr
 
     The rules in force are gathered for the pairs of line and period that occur, each variable's in an array, so an open
     end costs nothing. Two rules that hold the same value at the same time fail the job.
+
+    ``occurring`` is a stored table with all those pairs, for a ``df`` that is costly to read twice. What is gathered is then
+    written, and few rows of it (:data:`FEW_FORCE`) are sent to the tasks: by the pairs, which are few, ``df`` would be dealt unevenly.
     """
     kinds = {f.name: f.dataType for f in df.schema.fields}
     which = F.coalesce(*[F.when((F.col("lookup") == F.lit(w.lookup)) & (F.col("lookup_var") == F.lit(w.variable)), F.lit(i)) for i, w in enumerate(wanted)])
@@ -180,7 +191,7 @@ def override_lookups(df: DataFrame, overrides: DataFrame, wanted: Sequence[Overr
         F.col("line").alias("__l"), F.col("beg").alias("__beg"), F.col("end").alias("__end"), which.alias("__which"),
         F.struct(F.col("min_val").cast("string").alias("lo"), F.col("max_val").cast("string").alias("hi"), F.col("override").cast("string").alias("to")).alias("__rule"),
     ).filter("__which is not null")
-    asked = df.select(F.col(line).alias("__line"), F.col(period).alias("__period")).distinct()
+    asked = (df if occurring is None else occurring).select(F.col(line).alias("__line"), F.col(period).alias("__period")).distinct()
     # Joined by year too, so there is an equality left where the line is a constant; rules are cut to the years that occur.
     year = lambda c: F.floor(F.col(c) / 100).cast("int")
     span = asked.agg(F.struct(F.min(year("__period")).alias("lo"), F.max(year("__period")).alias("hi"))).scalar()
@@ -190,6 +201,10 @@ def override_lookups(df: DataFrame, overrides: DataFrame, wanted: Sequence[Overr
     force = asked.join(rules, (F.col("__line") == F.col("__l")) & held)
     gathered = [F.collect_list(F.when(F.col("__which") == i, F.col("__rule"))).alias(f"__rules{i}") for i in range(len(wanted))]
     force = force.groupBy("__line", "__period").agg(*gathered)
+    if occurring is not None:
+        force = written_table(force, "force")
+        rows = force.agg(F.count(F.lit(1)), F.sum(sum(F.size(f"__rules{i}") for i in range(len(wanted))))).first()
+        force = F.broadcast(force) if rows[0] + (rows[1] or 0) <= FEW_FORCE else force
     out = df.join(force, (F.col(line) == F.col("__line")) & (F.col(period) == F.col("__period")), "left")
 
     def replaced(i: int, w: Override) -> Column:

@@ -10,7 +10,7 @@ from ledgerloom.functions import bands
 from ledgerloom.jobs import enrichment, profitability
 from ledgerloom.operators.changes import merge_upsert
 from ledgerloom.plans.registry import mean, query, rounded, table, total
-from ledgerloom.session import written_table
+from ledgerloom.session import tidy_shuffles, written_table
 
 AS_OF = date(1998, 6, 20)
 
@@ -188,6 +188,9 @@ def profit_tables(spark, d) -> profitability.ProfitTables:
             "rate_programme": F.col("markup_rate"),
         }
     )
+    # The lookup tables made of contracts are made of the written ones.
+    with tidy_shuffles(spark):
+        contracts = written_table(contracts, "contracts", codec="zstd")
     account = (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("account_no")
     stage = lines.groupBy(account).agg(
         F.max("l_linestatus").alias("new_used_flag"),
@@ -215,7 +218,7 @@ def profit_tables(spark, d) -> profitability.ProfitTables:
     capital = with_cust.groupBy(F.col("o_orderpriority").alias("model"), key.alias("make_id"), year.alias("y")).agg(
         mean("o_totalprice").alias("capital")
     ).withColumns({**span, "capital_market": F.col("capital"), "capital_standard": F.col("capital")})
-    by_maker = base.groupBy("c_nationkey", "term_band", "model").agg(F.sum("markup_amount").alias("s"), total().alias("n"))
+    by_maker = contracts.groupBy("c_nationkey", "term_band", "model").agg(F.sum("markup_amount").alias("s"), total().alias("n"))
     owned = by_maker.join(nation, key == F.col("n_nationkey")).groupBy("n_regionkey", "term_band", "model").agg(
         rounded(F.sum("s") / F.sum("n"), 6).alias("return_rate")
     )
@@ -312,12 +315,12 @@ def profit_tables(spark, d) -> profitability.ProfitTables:
         makers.select("manufacturer_id", *[((F.col("manufacturer_id") + i) / 100).alias(f"{c}_rate") for i, c in enumerate(names)]),
         "1990-01-01", "2100-12-31",
     )
-    losses = base.groupBy(key.alias("make_id"), F.col("term_band").alias("term")).agg(
+    losses = contracts.groupBy(key.alias("make_id"), F.col("term_band").alias("term")).agg(
         rounded(F.max("tax"), 6).alias("net_loss")
     ).select("*", F.explode(F.array(F.lit("tier0"), F.lit("tier2"))).alias("grade"))
     relations = orders.select(F.col("o_orderkey").alias("application_id"), F.col("o_custkey").alias("deposits"))
     return profitability.ProfitTables(
-        written_table(contracts, "contracts"), stage, drivers, metrics, dealers, capital, returns, curve_types, dated.union(plain), liquidity, fees, credit,
+        contracts, stage, drivers, metrics, dealers, capital, returns, curve_types, dated.union(plain), liquidity, fees, credit,
         overrides, dealer_adj, loyalty_adj, portfolio_adj, expenses, losses, relations, marginal,
     )
 

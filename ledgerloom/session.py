@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -57,11 +59,26 @@ def drop_scratch(spark: SparkSession) -> None:
     delete_path(spark, f"{shared_dir(spark).rstrip('/')}/ledgerloom/{spark.sparkContext.applicationId}")
 
 
-def written_table(df: DataFrame, name: str) -> DataFrame:
+@contextmanager
+def tidy_shuffles(spark: SparkSession) -> Iterator[None]:
+    """Queries that run inside lose their shuffle files at their end, not when the driver happens to collect garbage."""
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(name)
+        else:
+            spark.conf.set(name, before)
+
+
+def written_table(df: DataFrame, name: str, codec: str | None = None) -> DataFrame:
     """Write to a fresh table in the shared folder and read it back, which cuts the lineage.
 
-    Lost executors then neither change nor lose the rows.
+    Lost executors then neither change nor lose the rows. ``codec`` is another than the session's, for tables of many wide rows.
     """
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=codec)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ledgerloom.operators.lookups import Override, band_join, override_lookups
-from ledgerloom.operators.sweep import Dated, sweep
+from ledgerloom.operators.sweep import FEW, Dated, sweep
 
 DAY = date(2020, 1, 1)
 
@@ -61,6 +61,49 @@ def test_sweep_rejects_overlaps(spark, ranges):
             sweep(df, [Dated(dim, {"k": "k"}, "d", {"v": "v"})], ranges).collect()
 
 
+@pytest.mark.parametrize("most", [FEW, 3])
+def test_few_periods_give_the_same(spark, monkeypatch, most):
+    """Short lookup tables are sent, also beside one that is swept; NULL keys, open ends, a constant, no key at all."""
+    monkeypatch.setattr("ledgerloom.operators.sweep.FEW", most)
+    rng = random.Random(7)
+    periods = _periods(rng, ["x", "y"]) + [("w", DAY, date(9999, 12, 31), 5), (None, DAY, DAY, 6), ("x", None, DAY, 7), ("u", DAY, DAY - timedelta(1), 9)]
+    always = [(DAY, DAY + timedelta(9), 1), (DAY + timedelta(20), date(9999, 1, 1), 2)]
+    facts = [(i, rng.choice(["x", "y", "w", "u", None]), rng.choice([None, DAY + timedelta(rng.randrange(60))])) for i in range(200)] * 2
+    df = spark.createDataFrame(facts, "id int, k string, d date")
+    dim, plain = spark.createDataFrame(periods, "key string, beg date, end date, v int"), spark.createDataFrame(always, "beg date, end date, v int")
+    lookups = [Dated(dim, {"k": "key"}, "d", {"v": "one", "key": "two"}), Dated(plain, {}, "d", {"v": "three"}), Dated(plain, {}, "d", {"v": "four"}, constants={"v": 9})]
+
+    def held(k, d):
+        a = [p for p in periods if k is not None and d and p[0] == k and p[1] and p[1] <= d <= p[2]]
+        b = [p for p in always if d and p[0] <= d <= p[1]]
+        return (*((a[0][3], k) if a else (None, None)), b[0][2] if b else None, None)
+
+    assert sorted(map(tuple, sweep(df, lookups).collect()), key=str) == sorted([(*f, *held(*f[1:])) for f in facts], key=str)
+
+
+def test_few_periods_that_overlap_raise(spark):
+    df = spark.createDataFrame([("x", DAY)], "k string, d date")
+    for key in ("x", "y", None):
+        dim = spark.createDataFrame([(key, DAY, DAY + timedelta(9), 1), (key, DAY + timedelta(9), DAY + timedelta(12), 2)], "k string, beg date, end date, v int")
+        for on in ({"k": "k"}, {}):
+            with pytest.raises(Exception, match="overlapping"):
+                sweep(df, [Dated(dim, on, "d", {"v": "v"})]).collect()
+
+
+def test_rows_are_not_shuffled_for_few_periods(spark):
+    df = spark.range(1000).select(F.col("id").alias("k"), F.lit(DAY).alias("d"))
+    dim = spark.createDataFrame([(1, DAY, DAY + timedelta(9), 4)], "k int, beg date, end date, v int")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        out = sweep(df, [Dated(dim, {"k": "k"}, "d", {"v": "v"}), Dated(dim, {}, "d", {"v": "w"})])
+        assert out.agg(F.sum("v"), F.sum("w")).first() == (4, 4000)
+        plan = out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "SortMergeJoin" not in plan and "NestedLoopJoin" not in plan
+
+
 def test_sweep_of_nothing(spark):
     none = spark.createDataFrame([], "k string, d date")
     dim = spark.createDataFrame([("x", DAY, DAY, 1)], "k string, beg date, end date, v int")
@@ -130,3 +173,18 @@ def test_overlapping_overrides_raise(spark):
     rules = spark.createDataFrame([("lease", "L", "V", 201901, 202012, "4", "6", "1"), ("lease", "L", "V", 202001, 999912, "5", "9", "2")], OVERRIDE)
     with pytest.raises(Exception, match="overlapping overrides"):
         override_lookups(df, rules, [Override("L", "V", "v", "o")], "period", "line").collect()
+
+
+def test_overrides_in_force_are_sent(spark):
+    """The pairs come from another table that holds them; the rows are not shuffled by them."""
+    df = spark.createDataFrame([(1, "l", 202001, 5), (2, "l", 202007, 5), (3, None, 202001, 5), (4, "l", None, 5)], "id int, line string, period int, v int")
+    rules = spark.createDataFrame([("l", "L", "V", 201901, 202003, "1", "9", "70")], "line string, lookup string, lookup_var string, beg int, end int, min_val string, max_val string, override string")
+    pairs = df.select("line", "period").union(spark.createDataFrame([("z", 202001)], "line string, period int"))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        out = override_lookups(df, rules, [Override("L", "V", "v", "o")], "period", "line", pairs)
+        assert sorted((r["id"], r["o"]) for r in out.collect()) == [(1, 70), (2, 5), (3, 5), (4, 5)]
+        assert "SortMergeJoin" not in out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
